@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from starfold.functions.text import digits_to_date, fold_accents, null_token
 from starfold.schema import DOSE_DATE, FEED, LOT
+from starfold.session import keep_methods_compilable
 
 
 def map_text_columns(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
@@ -23,9 +24,11 @@ def map_text_columns(df: DataFrame, change: Callable[[Column], Column]) -> DataF
 
 
 def clean_text_columns(df: DataFrame, fold: str = "default") -> DataFrame:
-    """Strip spaces and fold accents in every text column."""
-    trimmed = map_text_columns(df, F.trim)
-    return map_text_columns(trimmed, lambda text: fold_accents(text, fold))
+    """Strip spaces and fold accents in every text column.
+
+    Folding never yields a space, so stripping may come last, where it is written once.
+    """
+    return map_text_columns(df, lambda text: F.trim(fold_accents(text, fold)))
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
@@ -73,5 +76,6 @@ def conform(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, dates: bool = True, fold: str = "default") -> DataFrame:
     """All cleaning steps in order."""
+    keep_methods_compilable(df.sparkSession)
     cleaned = normalise_lot(null_tokens(clean_text_columns(df, fold)))
     return normalise_date(cleaned) if dates else cleaned

@@ -58,7 +58,9 @@ def lookup(
 def derive(df: DataFrame, keys: list[str], role: str, null_safe: bool = False) -> DataFrame:
     """Add the surrogate key without reading the dimension.
 
-    Equal to ``lookup`` when the dimension is known to hold every key of ``df``
-    that has no null part: the key is then a pure function of the row.
+    Equal to ``lookup`` when the dimension is known to hold every key of ``df``:
+    the key is then a pure function of the row. Without ``null_safe`` a key with
+    a null part finds nothing, as in the join.
     """
-    return df.withColumn(role, F.when(all_present(keys), surrogate_key(keys, null_safe)))
+    key = surrogate_key(keys, null_safe)
+    return df.withColumn(role, key if null_safe else F.when(all_present(keys), key))

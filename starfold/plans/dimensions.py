@@ -43,20 +43,20 @@ def municipalities(silver: DataFrame, null_safe: bool = False) -> DataFrame:
     """Establishment and patient addresses together, codes in one spelling.
 
     Rows with a name win over rows without, so dropping the rows that have
-    neither country nor name can happen before the shuffle.
+    neither country nor name can happen before the shuffle. Few addresses repeat
+    many times: they are made distinct as they are, and only then respelled.
     """
     establishment_role = silver.select(
-        canonical_code(F.col("estabelecimento_municipio_codigo")).alias("CD_MUNICIPIO_IBGE"),
+        F.col("estabelecimento_municipio_codigo").cast("string").alias("CD_MUNICIPIO_IBGE"),
         F.lit(str(HOME_COUNTRY_CODE)).alias("CD_PAIS"),
         F.col("estabelecimento_municipio_nome").alias("NM_MUNICIPIO"),
         F.lit(HOME_COUNTRY_NAME).alias("NM_PAIS"),
         F.col("estabelecimento_uf").alias("SG_UF"),
     )
-    patient_role = pick(silver, MUNICIPALITIES.columns).withColumns(
-        {code: canonical_code(F.col(code)) for code in MUNICIPALITIES.keys}
-    )
-    rows = drop_if_all_null(establishment_role.unionByName(patient_role), ["CD_PAIS", "NM_MUNICIPIO"])
-    rows = one_per_key(rows, list(MUNICIPALITIES.keys), filled=["NM_MUNICIPIO"], few=True)
+    both_roles = establishment_role.unionByName(pick(silver, MUNICIPALITIES.columns))
+    rows = drop_if_all_null(both_roles, ["CD_PAIS", "NM_MUNICIPIO"]).distinct()
+    rows = rows.withColumns({code: canonical_code(F.col(code)) for code in MUNICIPALITIES.keys})
+    rows = one_per_key(rows, list(MUNICIPALITIES.keys), filled=["NM_MUNICIPIO"])
     return keyed(rows, MUNICIPALITIES, null_safe=null_safe)
 
 

@@ -14,7 +14,7 @@ from starfold.paths import ALL_DATES, LakePaths, dated, days_between, parse_day
 from starfold.plans.dimensions import BUILDERS, patients_by_race
 from starfold.plans.fact import COMPLETE, FACT_SCHEMA, fact_rows, keyed_fact
 from starfold.plans.silver import load_csv, load_hits
-from starfold.schema import DIMENSIONS, FACT, FACT_ID, PATIENTS
+from starfold.schema import DIMENSIONS, FACT, FACT_ID, MUNICIPALITIES, PATIENTS
 from starfold.sources import files
 from starfold.sources.feed import read_silver
 from starfold.sources.sinks import publish
@@ -44,10 +44,15 @@ def load_dimension(
     patient_rows: str = LATEST,
     rebuild: bool = False,
     silver: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> None:
-    """Merge one dimension from the silver of a run date (or all), or rebuild it."""
+    """Merge one dimension from the silver of a run date (or all), or rebuild it.
+
+    ``null_safe`` makes nulls part of the surrogate keys and must then be given
+    to every load of the lake.
+    """
     build = patients_by_race if (name, patient_rows) == (PATIENTS.name, BY_RACE) else BUILDERS[name]
-    rows = build(read_silver(spark, paths.silver, day) if silver is None else silver)
+    rows = build(read_silver(spark, paths.silver, day) if silver is None else silver, null_safe)
     table = dimension_table(spark, paths, name)
     if rebuild:
         table.replace(rows)
@@ -57,8 +62,11 @@ def load_dimension(
 
 
 def load_dimensions(spark: SparkSession, paths: LakePaths, **options) -> None:
-    """All dimensions at once: they do not depend on each other, and the short
-    tail of one job leaves room for the next."""
+    """All dimensions at once.
+
+    They do not depend on each other, and the short tail of one job leaves room
+    for the next.
+    """
 
     @inheritable_thread_target(spark)
     def load(name: str) -> None:
@@ -77,39 +85,67 @@ def load_fact(
     complete: Iterable[str] = (),
     patient_rows: str = LATEST,
     silver: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> None:
     """Build the fact rows of a run date and store them.
 
     ``mode``: ``new_only`` adds doses no other load date has stored; ``batch``
     adds the whole batch without reading stored rows. Both replace what an
     earlier run of the same load date stored, so a rerun changes nothing.
-    ``append`` adds blindly. ``reload`` starts the table over.
+    ``add_new`` adds doses stored nowhere and replaces nothing, for several
+    batches on one load date. ``append`` adds blindly. ``reload`` starts the
+    table over.
     """
     load_date = str(parse_day(run_date or (date.today() if day == ALL_DATES else day)))
     rows = fact_rows(read_silver(spark, paths.silver, day) if silver is None else silver)
     table = fact_table(spark, paths)
     if mode == "new_only":
         rows = only_unknown(table, rows, [FACT_ID], load_date)
+    elif mode == "add_new":
+        rows = only_unknown(table, rows, [FACT_ID])
     dims = {name: dimension_table(spark, paths, name).read() for name in DIMENSIONS if name not in complete}
-    fact = keyed_fact(rows, dims, tuple(complete), patients_unique=patient_rows == LATEST)
+    fact = keyed_fact(rows, dims, tuple(complete), null_safe, patient_rows == LATEST)
     write: Callable[[DataFrame, str], None] = {
         "new_only": table.load_batch,
         "batch": table.load_batch,
         "append": table.append_batch,
+        "add_new": table.append_batch,
         "reload": table.replace_with_batch,
     }[mode]
     write(fact, load_date)
 
 
-def load_star(spark: SparkSession, paths: LakePaths, day: str | date, patient_rows: str = LATEST, **fact_options) -> None:
+def complete_dimensions(patient_rows: str = LATEST, null_safe: bool = False) -> tuple[str, ...]:
+    """Dimensions sure to hold every key of the silver they were loaded from.
+
+    Patients kept per race code are found by patient alone, and null-safe keys
+    also look for municipalities without country, some of which are dropped.
+    """
+    joined = {PATIENTS.name} if patient_rows == BY_RACE else set()
+    if null_safe:
+        joined.add(MUNICIPALITIES.name)
+    return tuple(name for name in COMPLETE if name not in joined)
+
+
+def load_star(
+    spark: SparkSession,
+    paths: LakePaths,
+    day: str | date,
+    patient_rows: str = LATEST,
+    null_safe: bool = False,
+    rebuild: bool = False,
+    **fact_options,
+) -> None:
     """Dimensions, then the fact, from the silver of a run date.
 
     The dimensions are loaded from the same silver just before, so the fact
     derives the keys of those that keep every key and joins the others.
     """
-    complete = tuple(n for n in COMPLETE if patient_rows == LATEST or n != PATIENTS.name)
-    load_dimensions(spark, paths, day=day, patient_rows=patient_rows)
-    load_fact(spark, paths, day, complete=complete, patient_rows=patient_rows, **fact_options)
+    complete = complete_dimensions(patient_rows, null_safe)
+    load_dimensions(spark, paths, day=day, patient_rows=patient_rows, null_safe=null_safe, rebuild=rebuild)
+    load_fact(
+        spark, paths, day, complete=complete, patient_rows=patient_rows, null_safe=null_safe, **fact_options
+    )
 
 
 def run_day(spark: SparkSession, paths: LakePaths, day: str | date, multi_line: bool = False, **options) -> None:

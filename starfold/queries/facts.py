@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from starfold.operators.lookup import lookup
 from starfold.operators.quality import null_counts, unresolved_keys
+from starfold.paths import LakePaths
 from starfold.plans import dimensions as dims
+from starfold.plans import pipeline
 from starfold.plans.fact import COMPLETE, ROLES, build_fact
 from starfold.queries import feed as stand_in
 from starfold.queries.dimensions import CAMPAIGN_SQL, ESTABLISHMENT_SQL, MUNICIPALITY_SQL, PATIENT_SQL, VACCINE_SQL
@@ -15,10 +17,14 @@ from starfold.queries.feed import FEED_SQL, wide_feed
 from starfold.queries.registry import query
 from starfold.schema import CAMPAIGNS, FACT_DATE, FACT_ID, MUNICIPALITIES, PATIENTS, VACCINES
 from starfold.session import scratch_dir
-from starfold.sources.sinks import write_table
+from starfold.sources.feed import read_silver
+from starfold.sources.sinks import write_day, write_table
 from starfold.sources.tables import LOAD_DATE, SnapshotTable, only_unknown
 
 
+EARLY, LATE = "2024-01-01", "2024-01-02"
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     write_table(df, path)
     return df.sparkSession.read.parquet(path)
@@ -26,9 +32,11 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 def stored_star(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Silver and its dimensions as written tables, which is how a fact job meets them."""
-    root = scratch_dir(spark, label)
-    silver = stored(wide_feed(spark, sf_dir, *stand_in.ROLES), f"{root}/silver")
-    return silver, {name: stored(build(silver), f"{root}/{name}") for name, build in dims.BUILDERS.items()}
+    paths = LakePaths(scratch_dir(spark, label))
+    write_day(wide_feed(spark, sf_dir, *stand_in.ROLES), paths.silver, EARLY)
+    pipeline.load_dimensions(spark, paths, day=EARLY)
+    tables = {name: pipeline.dimension_table(spark, paths, name).read() for name in dims.BUILDERS}
+    return read_silver(spark, paths.silver, EARLY), tables
 
 
 def resolved(fact: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
@@ -229,8 +237,6 @@ def lookup_role_playing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.drop("patient_sk", "establishment_sk")
 
 
-EARLY, LATE = "2024-01-01", "2024-01-02"
-
 
 def early_and_all(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two overlapping batches: the doses up to 1998, and all of them."""

@@ -15,6 +15,20 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Whole-stage code for a wide projection is one method, and the JVM only
+# interprets methods above 8000 bytes. With this limit Spark falls back to
+# smaller generated methods there, which the JVM compiles: cleaning all 32
+# columns runs several times faster.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "65535", "8000")
+DEFAULTS[METHOD_LIMIT[0]] = METHOD_LIMIT[2]
+
+
+def keep_methods_compilable(spark: SparkSession) -> None:
+    """Apply the method limit to a session built elsewhere, unless that session chose its own."""
+    key, spark_default, limit = METHOD_LIMIT
+    if spark.conf.get(key, spark_default) == spark_default:
+        spark.conf.set(key, limit)
+
 
 def build_session(app: str = "starfold", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; any of them can be overridden by ``conf``."""

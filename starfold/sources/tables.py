@@ -144,13 +144,17 @@ def gold_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return SnapshotTable(spark, path, schema)
 
 
-def only_unknown(table: SnapshotTable, batch: DataFrame, key: Sequence[str], load_date: str) -> DataFrame:
-    """Rows of ``batch`` whose key no other load date has stored.
+def only_unknown(
+    table: SnapshotTable, batch: DataFrame, key: Sequence[str], load_date: str | None = None
+) -> DataFrame:
+    """Rows of ``batch`` whose key is not stored yet.
 
-    The batch's own load date is left out, which makes a rerun see the same
-    stored rows as the first run did.
+    With a ``load_date`` that date's stored rows are left out of account (and
+    out of the scan), which makes a rerun see what the first run saw.
     """
     if not table.exists():
         return batch
-    others = table.read().filter(F.col(LOAD_DATE) != F.lit(load_date).cast("date"))
-    return not_in(batch, known_among(others, batch, key), key)
+    stored = table.read()
+    if load_date is not None:
+        stored = stored.filter(F.col(LOAD_DATE) != F.lit(load_date).cast("date"))
+    return not_in(batch, known_among(stored, batch, key), key)
