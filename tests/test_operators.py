@@ -1,0 +1,200 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starfold.functions.keys import surrogate_key
+from starfold.functions.text import ACCENTED, ACCENTED_MORE, PLAIN, PLAIN_MORE, canonical_code
+from starfold.operators.dedup import latest_per_key, one_per_key
+from starfold.operators.lookup import derive, lookup
+from starfold.operators.merge import known_among, merge_frames, not_in
+from starfold.operators.project import drop_if_all_null, drop_if_any_null, pick
+from starfold.operators.quality import key_uniqueness, null_counts, unresolved_keys
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_accent_maps_are_aligned():
+    assert len(ACCENTED) == len(PLAIN) == 55 and len(ACCENTED_MORE) == len(PLAIN_MORE)
+    assert not set(ACCENTED) & set(ACCENTED_MORE)
+    assert all(ord(letter) > 127 for letter in ACCENTED + ACCENTED_MORE)
+
+
+def test_canonical_code(spark):
+    texts = spark.createDataFrame([("0355",), ("355",), ("XX",), (None,), ("",)], "c string")
+    assert [r[0] for r in texts.select(canonical_code(F.col("c"))).collect()] == ["355", "355", "XX", None, ""]
+    numbers = spark.createDataFrame([(355,), (None,)], "c int")
+    assert [r[0] for r in numbers.select(canonical_code(F.col("c"))).collect()] == ["355", None]
+
+
+def nulls_first(values):
+    return [(v is not None, v if v is not None else 0) for v in values]
+
+
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]), st.integers(1, 2) | st.none(),
+        st.integers(0, 3) | st.none(), st.sampled_from(["x", "y", None]),
+    ),
+    min_size=1, max_size=30,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS)
+def test_one_per_key_is_the_smallest_row(spark, rows):
+    expected = {}
+    for k1, k2, a, b in rows:
+        best = expected.get((k1, k2))
+        if best is None or nulls_first([b, a]) < nulls_first([best[1], best[0]]):
+            expected[k1, k2] = (a, b)
+    want = sorted(((*k, *v) for k, v in expected.items()), key=str)
+    frame = spark.createDataFrame(rows, "k1 string, k2 int, a int, b string").repartition(3)
+    for few in (False, True):
+        assert rows_of(one_per_key(frame, ["k1", "k2"], lead=["b"], few=few)) == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS)
+def test_latest_per_key_is_the_latest_then_smallest_row(spark, rows):
+    expected = {}
+    for k, _, day, text in rows:
+        rank = (day is None, -(day or 0), nulls_first([text]))
+        if k not in expected or rank < expected[k][0]:
+            expected[k] = (rank, day, text)
+    want = sorted(((k, day, text) for k, (_, day, text) in expected.items()), key=str)
+    frame = spark.createDataFrame([(r[0], r[2], r[3]) for r in rows], "k string, day int, text string")
+    assert rows_of(latest_per_key(frame.repartition(3), ["k"], "day")) == want
+
+
+def test_survivors_do_not_depend_on_order_or_partitioning(spark):
+    rows = [(i % 5, random.Random(i).randint(0, 50), str(i)) for i in range(300)]
+    results = []
+    for seed, parts in ((1, 1), (2, 7), (3, 16)):
+        random.Random(seed).shuffle(rows)
+        frame = spark.createDataFrame(rows, "k int, v int, w string").repartition(parts)
+        results.append((rows_of(one_per_key(frame, ["k"])), rows_of(latest_per_key(frame, ["k"], "v"))))
+    assert results[0] == results[1] == results[2]
+
+
+def test_filled_rows_win(spark):
+    frame = spark.createDataFrame([("a", None, "1"), ("a", "n", "2"), ("b", None, "3")], "k string, n string, o string")
+    assert rows_of(one_per_key(frame, ["k"], filled=["n"])) == [("a", "n", "2"), ("b", None, "3")]
+
+
+def test_key_only_rows(spark):
+    frame = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert rows_of(one_per_key(frame, ["k"])) == [(1,), (None,)]
+
+
+def test_hash_skips_nulls_unless_told(spark):
+    pairs = spark.createDataFrame([(None, 5), (5, None), (None, None)], "a int, b int")
+    plain = [r[0] for r in pairs.select(surrogate_key(["a", "b"])).collect()]
+    safe = [r[0] for r in pairs.select(surrogate_key(["a", "b"], null_safe=True)).collect()]
+    assert plain[0] == plain[1] and plain[2] == 42 and len(set(safe)) == 3
+
+
+def test_key_uniqueness_counts_collisions(spark):
+    pairs = spark.createDataFrame([(None, 5), (5, None), (5, None)], "a int, b int")
+    report = key_uniqueness(pairs.withColumn("sk", surrogate_key(["a", "b"])), ["a", "b"], "sk").first()
+    assert tuple(report) == (3, 2, 1)
+    empty = key_uniqueness(pairs.filter("false").withColumn("sk", surrogate_key(["a", "b"])), ["a", "b"], "sk").first()
+    assert tuple(empty) == (0, 0, 0)
+
+
+@pytest.fixture()
+def dim(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", None), (None, 3)], "k string, n int")
+    return rows.withColumn("sk", surrogate_key(["k", "n"], null_safe=True))
+
+
+def test_lookup_joins(spark, dim):
+    rows = spark.createDataFrame([("a", 1, 10), ("b", None, 11), (None, 3, 12), ("z", 1, 13)], "k string, n int, id int")
+    on = {"k": "k", "n": "n"}
+    plain = {r.id: r.sk for r in lookup(rows, dim, on, "sk").collect()}
+    assert plain[10] is not None and plain[11] is plain[12] is plain[13] is None
+    spread = {r.id: r.sk for r in lookup(rows, dim, on, "sk", spread="id").collect()}
+    assert spread == plain
+    safe = {r.id: r.sk for r in lookup(rows, dim, on, "sk", null_safe=True, spread="id").collect()}
+    assert None not in (safe[10], safe[11], safe[12]) and safe[13] is None
+
+
+def test_lookup_roles_keep_all_rows(spark, dim):
+    rows = spark.createDataFrame([("a", "b", 1), ("a", "x", 1)], "k1 string, k2 string, n int")
+    twice = lookup(rows, dim, {"k1": "k", "n": "n"}, "sk", role="r1")
+    twice = lookup(twice, dim, {"k2": "k", "n": "n"}, "sk", role="r2")
+    assert twice.columns == ["k1", "k2", "n", "r1", "r2"] and twice.count() == 2
+
+
+def test_lookup_on_part_of_the_key_does_not_multiply(spark):
+    dim = spark.createDataFrame([("a", "1", 7), ("a", None, 3), ("b", "2", 5)], "k string, race string, sk long")
+    rows = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")
+    assert rows_of(lookup(rows, dim, {"k": "k"}, "sk", unique=False)) == [("a", 3), ("a", 3), ("c", None)]
+
+
+def test_spread_deals_null_keys_out(spark):
+    """Null keys must not all meet in the partition of null."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(4000).select(F.when(F.col("id") < 10, F.col("id").cast("string")).alias("k"), "id")
+        dim = spark.range(10).select(F.col("id").cast("string").alias("k")).withColumn("sk", surrogate_key(["k"]))
+        sizes = [
+            r[1]
+            for r in lookup(rows, dim, {"k": "k"}, "sk", spread="id")
+            .groupBy(F.spark_partition_id()).count().collect()
+        ]
+        assert len(sizes) == 8 and max(sizes) < 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_derive_equals_lookup_in_a_complete_dimension(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", None), (None, None)], "k string, n int")
+    dim = rows.withColumn("sk", surrogate_key(["k", "n"]))
+    on = {"k": "k", "n": "n"}
+    assert rows_of(derive(rows, ["k", "n"], "sk")) == rows_of(lookup(rows, dim, on, "sk"))
+    safe = rows.withColumn("sk", surrogate_key(["k", "n"], null_safe=True))
+    assert rows_of(derive(rows, ["k", "n"], "sk", True)) == rows_of(lookup(rows, safe, on, "sk", null_safe=True))
+
+
+def test_merge(spark):
+    old = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
+    new = spark.createDataFrame([("new", 2), ("new", 3), ("new", None)], "v string, k int")
+    merged = merge_frames(old, new, ["k"])
+    want = [(1, "old"), (2, "new"), (3, "new"), (None, "new")]
+    assert rows_of(merged.select("k", "v")) == want
+    assert rows_of(merge_frames(merged, new, ["k"]).select("k", "v")) == want
+    assert rows_of(not_in(old, new, ["k"])) == [(1, "old")]
+    assert rows_of(known_among(old, new, ["k"])) == [(2,), (None,)]
+
+
+def test_merge_with_itself_changes_nothing(spark):
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert rows_of(merge_frames(frame, frame, ["k"])) == [(1, "a"), (2, "b")]
+
+
+def test_merge_newer_by(spark):
+    old = spark.createDataFrame([(1, 5), (2, 5), (3, None), (4, None), (5, 9)], "k int, at int")
+    new = spark.createDataFrame([(1, 4), (2, 6), (3, 1), (5, None), (6, None)], "k int, at int")
+    want = [(1, 5), (2, 6), (3, 1), (4, None), (5, 9), (6, None)]
+    assert rows_of(merge_frames(old, new, ["k"], newer_by="at")) == want
+
+
+def test_projections(spark):
+    frame = spark.createDataFrame([(1, None, None), (2, "x", None), (3, "y", "z")], "a int, b string, c string")
+    assert pick(frame, {"A": "a", "A2": "a"}).columns == ["A", "A2"]
+    assert drop_if_any_null(frame, ["b", "c"]).count() == 1
+    assert drop_if_all_null(frame, ["b", "c"]).count() == 2
+    assert tuple(null_counts(frame, ["b", "c"]).first()) == (3, 1, 2)
+
+
+def test_unresolved_keys(spark):
+    fact = spark.createDataFrame([(1, 1), (1, None), (9, 2)], "f long, g long")
+    dim = spark.createDataFrame([(1,), (2,)], "sk long")
+    assert rows_of(unresolved_keys(fact, {"f": (dim, "sk"), "g": (dim, "sk")})) == [("f", 1), ("g", 0)]
