@@ -36,7 +36,7 @@ class LakePaths:
     """Folders of the landing zone, of silver and of gold below one root."""
 
     root: str
-    feed: str = "vacinacao_covid19"
+    feed: str = "vacinacao"
 
     @property
     def landing_csv(self) -> str:

@@ -44,7 +44,7 @@ def municipalities(silver: DataFrame, null_safe: bool = False) -> DataFrame:
 
     Rows with a name win over rows without, so dropping the rows that have
     neither country nor name can happen before the shuffle. Few addresses repeat
-    many times: they are made distinct as they are, and only then respelled.
+    many times: each role is made distinct as it is, and only then respelled.
     """
     establishment_role = silver.select(
         F.col("estabelecimento_municipio_codigo").cast("string").alias("CD_MUNICIPIO_IBGE"),
@@ -53,8 +53,8 @@ def municipalities(silver: DataFrame, null_safe: bool = False) -> DataFrame:
         F.lit(HOME_COUNTRY_NAME).alias("NM_PAIS"),
         F.col("estabelecimento_uf").alias("SG_UF"),
     )
-    both_roles = establishment_role.unionByName(pick(silver, MUNICIPALITIES.columns))
-    rows = drop_if_all_null(both_roles, ["CD_PAIS", "NM_MUNICIPIO"]).distinct()
+    patient_role = drop_if_all_null(pick(silver, MUNICIPALITIES.columns), ["CD_PAIS", "NM_MUNICIPIO"])
+    rows = establishment_role.distinct().unionByName(patient_role.distinct())
     rows = rows.withColumns({code: canonical_code(F.col(code)) for code in MUNICIPALITIES.keys})
     rows = one_per_key(rows, list(MUNICIPALITIES.keys), filled=["NM_MUNICIPIO"])
     return keyed(rows, MUNICIPALITIES, null_safe=null_safe)

@@ -114,7 +114,7 @@ def test_paths():
 
 def test_csv_jobs(spark, tmp_path):
     paths = LakePaths(str(tmp_path))
-    write_csv(list(CASES.values()), tmp_path / "bronze/vacinacao_covid19/csv")
+    write_csv(list(CASES.values()), tmp_path / "bronze/vacinacao/csv")
     load_csv(spark, paths, "2021-06-01")
     load_csv_by_dose_date(spark, paths)
     run_dated, dose_dated = read_silver(spark, paths.silver, "2021-06-01"), spark.read.parquet(paths.trusted)
@@ -125,7 +125,7 @@ def test_csv_jobs(spark, tmp_path):
 
 def test_hits_job_replaces_or_appends(spark, tmp_path):
     paths = LakePaths(str(tmp_path))
-    write_page(list(CASES.values()), tmp_path / "bronze/vacinacao_covid19/json/2021/06/01")
+    write_page(list(CASES.values()), tmp_path / "bronze/vacinacao/json/2021/06/01")
     for _ in range(2):
         load_hits(spark, paths, "2021-06-01")
     assert read_silver(spark, paths.silver).count() == len(CASES)

@@ -7,7 +7,7 @@ from starfold.schema import DIMENSIONS, FACT
 from starfold.sources.tables import LOAD_DATE, SnapshotTable
 from starfold.streaming.landing import load_new_landings
 
-FEED = "bronze/vacinacao_covid19"
+FEED = "bronze/vacinacao"
 DAY1 = [row("1", paciente_id="a"), row("2", paciente_id="b", paciente_racaCor_codigo="1"), row("3", paciente_id="c")]
 DAY2 = [
     row("3", paciente_id="c"),

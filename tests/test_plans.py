@@ -1,0 +1,99 @@
+"""The shape of the physical plans: what is read, what is combined before a shuffle, what is broadcast."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from minifeed import row, silver
+from starfold.operators.dedup import latest_per_key, one_per_key
+from starfold.operators.merge import known_among, merge_frames
+from starfold.plans import dimensions as dims
+from starfold.plans.fact import COMPLETE, build_fact
+from starfold.sources.tables import LOAD_DATE, SnapshotTable
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def full_plan(df) -> str:
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("silver") / "silver")
+    silver(spark, [row(str(n), paciente_id=f"p{n % 7}") for n in range(40)]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def columns_read(df) -> set[str]:
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", full_plan(df))
+    return {field.split(":")[0] for schema in schemas for field in schema.split(",")}
+
+
+def test_dimensions_read_only_their_columns(stored):
+    assert columns_read(dims.vaccines(stored)) == {"vacina_codigo", "vacina_lote", "vacina_fabricante_nome", "vacina_nome"}
+    assert len(columns_read(dims.municipalities(stored))) == 8
+
+
+def test_null_filter_reaches_the_scan(stored):
+    assert "PushedFilters: [IsNotNull(vacina_grupoAtendimento_nome)]" in full_plan(dims.campaigns(stored))
+
+
+def test_rows_are_combined_before_the_shuffle(spark):
+    rows = spark.range(100).selectExpr("id % 3 as k", "id as v")
+    assert "partial_min" in plan(one_per_key(rows, ["k"]))
+    latest = plan(latest_per_key(rows, ["k"], "v"))
+    assert latest.count("WindowGroupLimit") == 2 and "Partial" in latest
+
+
+def test_hot_key_is_cut_in_every_task(spark):
+    """A key with a third of the rows leaves each task as one row."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(0, 9000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id as v")
+        for frame in (one_per_key(rows, ["k"]), latest_per_key(rows, ["k"], "v")):
+            assert frame.count() == 6001
+            before = frame.select("k", "v")
+            before.collect()
+            node = before._jdf.queryExecution().executedPlan()
+            sent = None
+            while node.children().size():
+                if "Exchange" in node.nodeName():
+                    sent = node.metrics().apply("shuffleRecordsWritten").value()
+                node = node.children().apply(0)
+            assert sent == 6000 + 6
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_fact_shuffles_once_when_keys_are_derived(stored):
+    campaigns = dims.campaigns(stored)
+    fact = build_fact(stored, {"dm_campanhas": campaigns.cache()}, complete=COMPLETE)
+    fact_side = plan(fact).split("BroadcastExchange")[0]
+    assert fact_side.count("Exchange hashpartitioning") <= 1
+
+
+def test_no_cross_joins_and_no_forced_broadcast(spark, stored):
+    tables = {name: build(stored) for name, build in dims.BUILDERS.items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(build_fact(stored, tables))
+        assert "Broadcast" not in text and "Cartesian" not in text and text.count("SortMergeJoin") == 6
+        assert "Broadcast" not in plan(merge_frames(tables["dm_vacinas"], tables["dm_vacinas"], ["SK_DM_VACINAS"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_known_keys_are_found_without_shuffling_the_store(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.load_batch(spark.range(100).withColumn("x", F.lit(1)), "2021-06-01")
+    table.load_batch(spark.range(5).withColumn("x", F.lit(1)), "2021-06-02")
+    store = table.read().filter(F.col(LOAD_DATE) != "2021-06-02")
+    known = known_among(store, spark.range(3), ["id"])
+    text = full_plan(known)
+    assert re.search(r"ReadSchema: struct<id:bigint>", text)
+    assert f"PartitionFilters: [isnotnull({LOAD_DATE}" in text
+    assert "BroadcastHashJoin" in text and sorted(r.id for r in known.collect()) == [0, 1, 2]
