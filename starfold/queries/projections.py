@@ -11,7 +11,8 @@ from starfold.queries.feed import EXPRESSIONS, FEED_SQL, ROLES, table, wide_feed
 from starfold.queries.registry import query
 from starfold.schema import FEED, HOME_COUNTRY_CODE, HOME_COUNTRY_NAME, PATIENTS
 from starfold.session import scratch_dir
-from starfold.sources.sinks import write_partitioned
+from starfold.sources.feed import read_silver
+from starfold.sources.sinks import write_day, write_partitioned
 
 # Each typed column as text, some of it beyond casting.
 BROKEN = {
@@ -119,3 +120,31 @@ def date_range_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events_by_day(spark, sf_dir, "date-range-slice")
     kept = events.filter("day >= date'2024-01-10' and day < date'2024-01-20'")
     return kept.select("event_id", "user_id", "event_type", "day")
+
+
+ORDER_DAYS = {"F": "2024-01-30", "O": "2024-01-31", "P": "2024-02-01"}
+
+
+def orders_in_day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The orders in three day folders across a month's end, one per status."""
+    base = scratch_dir(spark, label)
+    for status, day in ORDER_DAYS.items():
+        write_day(table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status), base, day)
+    return base
+
+
+@query("select * from orders where o_orderstatus = 'O'")
+def day_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, orders_in_day_folders(spark, sf_dir, "day-folder"), "2024-01-31")
+
+
+@query("select * from orders where o_orderstatus in ('O', 'P')")
+def day_folder_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the range that were never loaded are skipped."""
+    base = orders_in_day_folders(spark, sf_dir, "day-folder-range")
+    return read_silver(spark, base, "2024-01-31", "2024-02-05")
+
+
+@query("select * from orders")
+def day_folder_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, orders_in_day_folders(spark, sf_dir, "day-folder-all"))

@@ -74,7 +74,11 @@ class SnapshotTable:
         self.replace(merge_frames(self.read(), df, key, newer_by) if self.exists() else df)
 
     def load_batch(self, df: DataFrame, load_date: str) -> None:
-        """Make ``df`` the rows of one load date; loading the date again replaces them."""
+        """Make ``df`` the rows of one load date; loading the date again replaces them.
+
+        The partition is swapped in when the job commits. An empty ``df`` has no
+        partition to swap in and leaves what is stored.
+        """
         if not self.exists():
             return self.replace_with_batch(df, load_date)
         writer = with_load_date(df, load_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
