@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, mixing, sharding
+from starfold.llm import bpe, mixing, sharding, simhash
 from starfold.llm.registry import QUERIES, SQL, query
 from starfold.queries.feed import table
 
@@ -77,3 +77,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op8_mix_sources, MIX_SQL)
+
+
+@query
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
