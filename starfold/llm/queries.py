@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, mixing, sharding, simhash
+from starfold.llm import bpe, collision, mixing, sharding, simhash, topk
 from starfold.llm.registry import QUERIES, SQL, query
 from starfold.queries.feed import table
 
@@ -84,3 +84,32 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About the 20 nearest of every twentieth vector, by inner product."""
+    return collision.nearest(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"))
+
+
+TOP_SQL = """
+    with whole as (
+        select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+        where embedding is not null and vec_id is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+        select q.vec_id as query_id, c.vec_id,
+               coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::bigint as score
+        from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+    select query_id, rank::int as rank, vec_id, score from (
+        select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+    where rank <= 20
+"""
+
+
+def op6_exact_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best scores of every twentieth vector, exactly."""
+    return topk.top_scores(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"), scale=64)
+
+
+query(op6_exact_top_scores, TOP_SQL)
