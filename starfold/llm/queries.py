@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, collision, mixing, sharding, simhash, topk
+from starfold.llm import bpe, collision, langid, mixing, sharding, simhash, topk
 from starfold.llm.registry import QUERIES, SQL, query
 from starfold.queries.feed import table
 
@@ -79,6 +79,20 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 query(op8_mix_sources, MIX_SQL)
 
 
+def held_out() -> Column:
+    """A third of the documents, by id, from which no language is learned."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+@query
+def op4_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~held_out()))
+    found = langid.identify(docs.select("doc_id", "text", held_out().alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 @query
 def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
