@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, collision, htmltext, langid, mixing, sharding, simhash, topk
+from starfold.llm import bpe, collision, htmltext, langid, mixing, repeats, sharding, simhash, topk
 from starfold.llm.registry import QUERIES, SQL, query
 from starfold.queries.feed import table
 
@@ -134,3 +134,10 @@ def op9_tree_scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.without_repeats(docs, repeats.DIGESTS, repeats.digests)
