@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, collision, htmltext, langid, mixing, repeats, sharding, simhash, topk
+from starfold.llm import bpe, collision, htmltext, langid, mixing, pseudo, repeats, sharding, simhash, topk
 from starfold.llm.registry import QUERIES, SQL, query
 from starfold.queries.feed import table
 
@@ -141,3 +141,11 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 200-byte strings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.without_repeats(docs, repeats.DIGESTS, repeats.digests)
+
+
+@query
+def op10_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pseudo-likelihood of every document under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids_of_bins = pseudo.vocabulary(docs)
+    return pseudo.score(docs, ids_of_bins, pseudo.train(docs, ids_of_bins))
