@@ -21,10 +21,10 @@ PROJECTIONS = 128
 THRESHOLD = 0.5
 # ... and the search ends when this share of the shard has been verified, or this many times k.
 VERIFIED_SHARE = 0.08
-VERIFIED_TIMES_K = 20
+VERIFIED_TIMES_K = 30
 # The windows begin with a half width of this many deviations of the projections, and widen by this factor.
 FIRST_WIDTH = 0.3
-WIDENING = 1.15
+WIDENING = 1.1
 SEED = 20260
 
 
@@ -37,44 +37,42 @@ def projections(length: int) -> np.ndarray:
 
 def nearest_in_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
     """Each query's best ``k`` of one shard (see ``vectors.Search``)."""
-    norms = np.einsum("ij,ij->i", rows, rows)
+    scaled, asked = rows / np.abs(rows).max(), queries / np.abs(queries).max(axis=1, keepdims=True)
+    norms = np.einsum("ij,ij->i", scaled, scaled)
     longest = norms.max()
-    lifted = np.c_[rows, np.sqrt(np.maximum(longest - norms, 0))]
-    lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-    centred = np.c_[queries * (np.sqrt(longest) / lengths)[:, None], np.zeros(len(queries))]
+    lifted = np.c_[scaled, np.sqrt(np.maximum(longest - norms, 0))]
+    lengths = np.sqrt(np.einsum("ij,ij->i", asked, asked))
+    centred = np.c_[asked * (np.sqrt(longest) / lengths)[:, None], np.zeros(len(asked))]
     directions = projections(lifted.shape[1])
     hashed = (lifted @ directions).T
-    order = np.argsort(hashed, axis=1, kind="stable").astype(np.int32)
+    order = np.argsort(hashed, axis=1, kind="stable")
     hashed = np.take_along_axis(hashed, order, axis=1)
     wanted = centred @ directions
-    spread = np.sqrt(longest) * FIRST_WIDTH
     # One array for all projections, each shifted past the one before, finds all windows' ends in one search.
-    step = 4 * (max(np.abs(hashed).max(), np.abs(wanted).max()) + spread) + 1
+    step = 4 * max(np.abs(hashed).max(), np.abs(wanted).max()) + 1
     shifts = np.arange(PROJECTIONS) * step
-    flat, flat_order = (hashed + shifts[:, None]).ravel(), order.ravel()
+    flat = (hashed + shifts[:, None]).ravel()
     first = np.arange(PROJECTIONS) * len(ids)
+    # A vector is in a window if its place in the sorted array is; places are what is counted.
+    narrow = np.uint16 if len(ids) < 1 << 16 else np.uint32
+    places = np.empty(hashed.shape, narrow)
+    np.put_along_axis(places, order, np.arange(len(ids), dtype=narrow)[None, :], axis=1)
     enough = min(len(ids), max(VERIFIED_TIMES_K * (k + 1), int(VERIFIED_SHARE * len(ids))))
     threshold = int(np.ceil(THRESHOLD * PROJECTIONS))
     own = np.searchsorted(ids, query_ids)
     out_place, out_id, out_score = [], [], []
+    width = np.sqrt(longest) * FIRST_WIDTH
     for place, centre in enumerate(wanted + shifts):
-        counts = np.zeros(len(ids), np.int64)
-        low = high = None
-        width = spread
+        # Begin a step below where the query before has ended.
+        width /= WIDENING
         while True:
-            lo = np.maximum(np.searchsorted(flat, centre - width), first)
-            hi = np.minimum(np.searchsorted(flat, centre + width, side="right"), first + len(ids))
-            hi = np.maximum(hi, lo)
-            if low is None:
-                slices = [flat_order[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
-            else:
-                slices = [flat_order[a:b] for a, b in zip(lo.tolist(), low.tolist())]
-                slices += [flat_order[a:b] for a, b in zip(high.tolist(), hi.tolist())]
-            counts += np.bincount(np.concatenate(slices), minlength=len(ids))
-            candidates = np.flatnonzero(counts >= threshold)
+            low = np.maximum(np.searchsorted(flat, centre - width) - first, 0).astype(narrow)
+            high = np.minimum(np.searchsorted(flat, centre + width, side="right") - first, len(ids))
+            inside = places - low[:, None] < np.maximum(high - low, 0).astype(narrow)[:, None]
+            candidates = np.flatnonzero(np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8) >= threshold)
             if len(candidates) >= enough:
                 break
-            low, high, width = lo, hi, width * WIDENING
+            width *= WIDENING
         if own[place] < len(ids) and ids[own[place]] == query_ids[place]:
             candidates = candidates[ids[candidates] != query_ids[place]]
         # Products summed row by row: equal vectors get equal scores.
