@@ -14,15 +14,17 @@ import functools
 import hashlib
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PIECE_CHARS = 1 << 16
+ROWS_AT_ONCE = 256
 _BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
 
 
@@ -87,23 +89,37 @@ def token_digests(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def encode_column(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of each text in ``out`` (replaced if there)."""
+def _added(docs: DataFrame, source: str, out: str, kind: T.DataType, make: Callable[[tiktoken.Encoding, pa.Array], pa.Array], rank_path: str, pattern: str) -> DataFrame:
+    """``docs`` with column ``out`` (replaced if there) made from column ``source``, a few rows at a time."""
+    names = [name for name in docs.columns if name != out]
 
-    @F.pandas_udf("array<int>")
-    def ids_of(texts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(rank_path, pattern)
-        return texts.map(lambda value: encode(encoder, value).tolist())
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(low, ROWS_AT_ONCE)
+                made = make(encoder, some.column(len(names)))
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], made], [*names, out])
 
-    return docs.withColumn(out, ids_of(F.col(text)))
+    seen = docs.select(*(F.col(f"`{name}`") for name in names), F.col(source).alias("__source"))
+    return seen.mapInArrow(run, seen.drop("__source").schema.add(out, kind))
+
+
+def encode_column(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """``docs`` with the token ids of each text in ``out``; a null text has no ids."""
+
+    def make(encoder: tiktoken.Encoding, column: pa.Array) -> pa.Array:
+        lists = [np.frombuffer(encode(encoder, value.as_py()), np.uint32).astype(np.int32) for value in column]
+        ends = np.cumsum([0, *map(len, lists)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*lists, np.empty(0, np.int32)])))
+
+    return _added(docs, text, out, T.ArrayType(T.IntegerType()), make, rank_path, pattern)
 
 
 def decode_column(docs: DataFrame, rank_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the raw bytes of each list of ids in ``out``; null decodes to no bytes."""
 
-    @F.pandas_udf("binary")
-    def bytes_of(lists):
-        encoder = encoding(rank_path, pattern)
-        return lists.map(lambda value: b"" if value is None else b"".join(decode(encoder, value)))
+    def make(encoder: tiktoken.Encoding, column: pa.Array) -> pa.Array:
+        return pa.array([b"".join(decode(encoder, value.as_py() or ())) for value in column], pa.binary())
 
-    return docs.withColumn(out, bytes_of(F.col(ids)))
+    return _added(docs, ids, out, T.BinaryType(), make, rank_path, pattern)

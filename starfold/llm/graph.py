@@ -26,7 +26,7 @@ def _toward_least(edges: DataFrame, smaller_only: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """``node``, ``root`` (the least node reachable) for every node of ``edges`` (``a``, ``b``, both long) but the roots.
+    """``node``, ``root`` (the least node reachable) for every node of ``edges`` (``a``, ``b``, of one orderable type) but the roots.
 
     Alternating star steps; the number of rounds grows with the logarithm of the size. Every round is a table in the
     shared folder. Loops and repeated edges do no harm; an empty table has no components.

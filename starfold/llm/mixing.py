@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]"
 # Hexadecimal digits of the key that name its range: 4096 ranges a source.
 RANGE_DIGITS = 3
 MOST_EPOCHS = 3
@@ -85,5 +86,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str
 
 
 def first_words(text: Column, words: Column) -> Column:
-    """The text up to the end of its ``words``-th word."""
-    return F.regexp_substr(text, F.concat(F.lit(r"\A(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), words.cast("string"), F.lit("}")))
+    """The text up to the end of its ``words``-th word, of texts with more words than that."""
+    # A leading gap makes an empty first piece; the last piece is what follows the gap after the last word wanted.
+    pieces = words + F.when(text.rlike(f"^{GAP}"), 2).otherwise(1)
+    rest = F.element_at(F.split(text, f"{GAP}+", pieces.cast("int")), -1)
+    return F.rtrim(F.substring(text, F.lit(1), F.char_length(text) - F.char_length(rest)), F.lit(" \t\n\x0b\x0c\r"))
