@@ -32,7 +32,7 @@ from starfold.llm.suffixes import suffix_array
 
 LENGTH = 200
 # Contexts of one suffix array, on average, where an anchor has more.
-BLOCK_CONTEXTS = 512
+BLOCK_CONTEXTS = 4096
 STARTS_AT_ONCE = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
@@ -109,6 +109,8 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(length: int):
+    """A row per anchor and context of each stretch of text; ``more`` holds the places beside the first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -118,9 +120,16 @@ def _anchor_rows(length: int):
             for hashes, at, a, b, context in anchors_of(data, ends, length):
                 text = np.searchsorted(ends, a, "right") - 1
                 place = (at - ends[text] << 32) | (at - a << 16) | (b - a)
+                order = np.lexsort((context, hashes))
+                h, c, d, n, place = hashes[order], context[order], keys[text][order], sizes[text][order], place[order]
+                first = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+                heads = np.flatnonzero(first)
+                copies = np.diff(np.r_[heads, len(h)])
+                others = pa.StructArray.from_arrays([pa.array(column[~first]) for column in (d, n, place)], ["d", "n", "at"])
+                more = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(copies - 1)], pa.int32()), others, mask=pa.array(copies == 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(keys[text]), pa.array(sizes[text]), pa.array(place), pa.array(context.view(np.int64))],
-                    ["h", "d", "n", "at", "c"],
+                    [*(pa.array(column[heads]) for column in (h.view(np.int64), d, n, place, c.view(np.int64))), pa.array(copies), more],
+                    ["h", "d", "n", "at", "c", "copies", "more"],
                 )
 
     return run
@@ -334,21 +343,23 @@ def without_repeats(
     )
     arrow_outs = to_arrow_schema(outs)
     anchors = source.select("__d", "__n", "__text").filter(F.col("__n") >= length).mapInArrow(
-        _anchor_rows(length), "h long, d long, n long, at long, c long"
+        _anchor_rows(length), "h long, d long, n long, at long, c long, copies long, more array<struct<d: long, n: long, at: long>>"
     )
-    counted = anchors.repartition("h").groupBy("h", "c", "d", "n", "at").agg(F.count("*").alias("copies"))
-    seen = counted.selectExpr(
+    seen = anchors.repartition("h").selectExpr(
         "*", "sum(copies) over (partition by h, c) as same", "row_number() over (partition by h, c order by d, n, at) as nth"
     ).selectExpr(
         "*", "sum(if(nth = 1, 1, 0)) over (partition by h) as contexts", "min(same) over (partition by h) as least_same"
     )
     wanted = "nth = 1 and contexts > 1 and least_same = 1"
+    kind = f"if(same > 1, {_REPEATED}, 0) + if({wanted}, {_WANTED}, 0)"
+    blocks = f"cast(ceil(contexts / {block_contexts}) as int)"
+    own = f"struct(d, n, at, {kind} as kind)"
+    places = f"transform(more, place -> struct(place.d as d, place.n as n, place.at as at, {_REPEATED} as kind))"
+    # Copies of a text have the same places: sets hold them once.
     marks = seen.filter(f"same > 1 or {wanted}").selectExpr(
-        "d", "n",
-        f"""struct(h, at, if(same > 1, {_REPEATED}, 0) + if({wanted}, {_WANTED}, 0) as kind,
-                   cast(pmod(c, ceil(contexts / {block_contexts})) as int) as block,
-                   cast(ceil(contexts / {block_contexts}) as int) as blocks) as mark""",
-    ).groupBy("d", "n").agg(F.collect_list("mark").alias("__marks"))
+        "h", f"cast(pmod(c, {blocks}) as int) as block", f"{blocks} as blocks",
+        f"explode(if(more is null, array({own}), concat(array({own}), {places}))) as place",
+    ).groupBy("place.d", "place.n").agg(F.expr("collect_set(struct(h, place.at, place.kind, block, blocks))").alias("__marks"))
     joined = source.join(marks, (F.col("__d") == F.col("d")) & (F.col("__n") == F.col("n")), "left")
     first_in = joined.select(*(f"`{name}`" for name in names), "__text", "__d", "__n", "__marks")
     first_out = T.StructType([*source.select(*(f"`{name}`" for name in names)).schema, *outs])
