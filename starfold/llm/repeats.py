@@ -359,8 +359,10 @@ def without_repeats(
     marks = seen.filter(f"same > 1 or {wanted}").selectExpr(
         "h", f"cast(pmod(c, {blocks}) as int) as block", f"{blocks} as blocks",
         f"explode(if(more is null, array({own}), concat(array({own}), {places}))) as place",
-    ).groupBy("place.d", "place.n").agg(F.expr("collect_set(struct(h, place.at, place.kind, block, blocks))").alias("__marks"))
-    joined = source.join(marks, (F.col("__d") == F.col("d")) & (F.col("__n") == F.col("n")), "left")
+    ).groupBy(F.col("place.d").alias("__md"), F.col("place.n").alias("__mn")).agg(
+        F.expr("collect_set(struct(h, place.at, place.kind, block, blocks))").alias("__marks")
+    )
+    joined = source.join(marks, (F.col("__d") == F.col("__md")) & (F.col("__n") == F.col("__mn")), "left")
     first_in = joined.select(*(f"`{name}`" for name in names), "__text", "__d", "__n", "__marks")
     first_out = T.StructType([*source.select(*(f"`{name}`" for name in names)).schema, *outs])
     kinds = first_in.schema
@@ -383,8 +385,10 @@ def without_repeats(
     )
     across = met.filter("blocks > 1").select(F.explode("places").alias("place")).select("place.*")
     spans = found.filter("digest is null").select("d", "n", "low", "high").unionByName(across)
-    by_text = spans.groupBy("d", "n").agg(F.collect_list(F.struct("low", "high")).alias("__more"))
-    waiting = partial.filter("__waits").join(by_text, (F.col("__d") == F.col("d")) & (F.col("__n") == F.col("n")), "left")
+    by_text = spans.groupBy(F.col("d").alias("__md"), F.col("n").alias("__mn")).agg(
+        F.collect_list(F.struct("low", "high")).alias("__more")
+    )
+    waiting = partial.filter("__waits").join(by_text, (F.col("__d") == F.col("__md")) & (F.col("__n") == F.col("__mn")), "left")
     last = waiting.select(*(f"`{name}`" for name in names), "__text", "__marks", "__more").mapInArrow(
         _final_pass(len(names), arrow_outs, finish, length), T.StructType(nullable.fields[: len(first_out)])
     )
