@@ -84,10 +84,10 @@ def nearest_in_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray
     return np.concatenate(out_place), np.concatenate(out_id), np.concatenate(out_score)
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: str, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: ``k`` vectors of about the largest inner product with each query.
 
-    ``is_query`` is a condition on ``id``. Rows without id, and vectors that are null, zero, or hold null or non-finite
+    ``is_query`` is an SQL condition on ``id``. Rows without id, and vectors that are null, zero, or hold null or non-finite
     components, take no part. Fewer than ``k`` candidates are all returned.
     """
     find = lambda *block: nearest_in_shard(*block, k)

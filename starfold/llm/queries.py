@@ -103,7 +103,7 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """About the 20 nearest of every twentieth vector, by inner product."""
-    return collision.nearest(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"))
+    return collision.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
 
 
 TOP_SQL = """
@@ -123,7 +123,7 @@ TOP_SQL = """
 
 def op6_exact_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best scores of every twentieth vector, exactly."""
-    return topk.top_scores(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"), scale=64)
+    return topk.top_scores(table(spark, sf_dir, "embeddings"), "id % 20 = 0", scale=64)
 
 
 query(op6_exact_top_scores, TOP_SQL)

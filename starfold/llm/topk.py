@@ -65,10 +65,10 @@ def top_in_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
     return np.concatenate(out_place), np.concatenate(out_id), np.concatenate(out_score)
 
 
-def top_scores(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 1.0) -> DataFrame:
+def top_scores(vectors: DataFrame, is_query: str, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 1.0) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` largest inner products of floor(``scale`` * x), exactly.
 
-    ``is_query`` is a condition on ``id``. Rows without id, and vectors that are null or hold null or non-finite
+    ``is_query`` is an SQL condition on ``id``. Rows without id, and vectors that are null or hold null or non-finite
     components, take no part; zero vectors do. Fewer than ``k`` candidates are all returned. Scores must be below 2^53.
     """
     whole = usable(vectors, key, vector, zero=True).select(

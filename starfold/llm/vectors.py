@@ -38,11 +38,11 @@ def _dealt(column: str, parts: int):
 
 
 def search(
-    vectors: DataFrame, is_query, find: Search, k: int, score: str,
+    vectors: DataFrame, is_query: str, find: Search, k: int, score: str,
     shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the best ``k`` of each query, ties to the smaller id."""
-    total, asked = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
+    total, asked = vectors.agg(F.count("*"), F.count(F.when(F.expr(is_query), 1))).first()
     shards, blocks = max(1, -(-total // shard_rows)), max(1, -(-asked // block_queries))
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     length = F.size("v").alias("dims")
