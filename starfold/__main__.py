@@ -24,13 +24,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--date", default=day, help="run date yyyy-mm-dd, * for all where allowed")
         return sub
 
+    top.add_argument("--gold-form", choices=["snapshots", "delta"], default="snapshots", help="form of the gold tables")
     today = str(date.today())
-    for name in ("silver-csv", "silver-csv-by-dose-date"):
-        csv = job(name, "landed delimited files to silver", today)
-        csv.add_argument("--infer", action="store_true", help="infer column types")
-    hits = job("silver-json", "landed search hits to silver", today)
-    hits.add_argument("--multi-line", action="store_true")
-    hits.add_argument("--untyped", action="store_true", help="neither cast columns nor read dates")
+    csv = job("silver-csv", "landed delimited files to silver", today)
+    csv.add_argument("--infer", action="store_true", help="infer column types, into the untyped folder")
+    job("silver-csv-by-dose-date", "landed delimited files to silver laid out by dose date")
+    hits = job("silver-json", "landed search hits to silver; * for all landed days", today)
+    hits.add_argument("--untyped", action="store_true", help="neither cast columns nor read dates, into the untyped folder")
     hits.add_argument("--append", action="store_true")
 
     dimension = job("dimension", "silver to one dimension, or to all", ALL_DATES)
@@ -39,12 +39,20 @@ def parser() -> argparse.ArgumentParser:
     fact = job("fact", "silver and dimensions to the fact", ALL_DATES)
     fact.add_argument("--mode", choices=["new_only", "add_new", "batch", "append", "reload"], default="new_only")
 
-    loads = [dimension, fact, job("bulk", "first load from delimited files", today)]
-    loads.append(job("day", "daily load from search hits", today))
+    fact.add_argument("--run-date", help="load date to store under; the date by default")
+
+    bulk = job("bulk", "first load from delimited files", today)
+    bulk.add_argument("--by-dose-date", action="store_true", help="through silver laid out by dose date")
+    bulk.add_argument("--dose-from", help="first dose date, with --by-dose-date")
+    bulk.add_argument("--dose-until", help="first dose date not loaded, with --by-dose-date")
+    daily = job("day", "daily load from search hits", today)
+    loads = [dimension, fact, bulk, daily]
     days = job("backfill", "daily loads of a range")
     days.add_argument("--start", required=True)
     days.add_argument("--end", default=today, help="first day not loaded")
     loads.append(days)
+    for sub in (hits, daily, days):
+        sub.add_argument("--line-mode", action="store_true", help="every landed line is one object or array of hits")
     for sub in loads:
         sub.add_argument("--patient-rows", choices=[pipeline.LATEST, pipeline.BY_RACE], default=pipeline.LATEST)
         sub.add_argument("--null-safe-keys", action="store_true")
@@ -58,7 +66,7 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("--dataset", help="prefix of the table names")
     publish.add_argument("--staging-bucket")
     publish.add_argument("--fact-date", help="send only this load date of the fact")
-    publish.add_argument("--fact-mode", choices=["append", "overwrite"], default="append")
+    publish.add_argument("--fact-mode", choices=["append", "overwrite"], help="append goes with --fact-date")
     return top
 
 
@@ -71,7 +79,7 @@ def table_options(args: argparse.Namespace, table: str) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark, paths = build_session(f"starfold-{args.job}", args.master), LakePaths(args.root)
+    spark, paths = build_session(f"starfold-{args.job}", args.master), LakePaths(args.root, gold_form=args.gold_form)
     load = {}
     if hasattr(args, "patient_rows"):
         load = {"patient_rows": args.patient_rows, "null_safe": args.null_safe_keys}
@@ -79,22 +87,24 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "silver-csv":
         silver.load_csv(spark, paths, args.date, args.infer)
     elif args.job == "silver-csv-by-dose-date":
-        silver.load_csv_by_dose_date(spark, paths, args.infer)
+        silver.load_csv_by_dose_date(spark, paths)
     elif args.job == "silver-json":
         mode = "append" if args.append else "overwrite"
-        silver.load_hits(spark, paths, args.date, args.multi_line, not args.untyped, mode)
+        silver.load_hits(spark, paths, args.date, not args.line_mode, not args.untyped, mode)
     elif args.job == "dimension" and args.name == "all":
         pipeline.load_dimensions(spark, paths, day=args.date, rebuild=args.rebuild, **load)
     elif args.job == "dimension":
         pipeline.load_dimension(spark, paths, args.name, args.date, rebuild=args.rebuild, **load)
     elif args.job == "fact":
-        pipeline.load_fact(spark, paths, args.date, mode=args.mode, **load)
+        pipeline.load_fact(spark, paths, args.date, args.run_date, args.mode, **load)
+    elif args.job == "bulk" and args.by_dose_date:
+        pipeline.run_bulk_trusted(spark, paths, args.date, args.dose_from, args.dose_until, **load)
     elif args.job == "bulk":
         pipeline.run_bulk(spark, paths, args.date, **load)
     elif args.job == "day":
-        pipeline.run_day(spark, paths, args.date, **load)
+        pipeline.run_day(spark, paths, args.date, not args.line_mode, **load)
     elif args.job == "backfill":
-        pipeline.backfill(spark, paths, args.start, args.end, **load)
+        pipeline.backfill(spark, paths, args.start, args.end, not args.line_mode, **load)
     elif args.job == "publish":
         pipeline.publish_gold(
             spark, paths, args.format, lambda table: table_options(args, table), args.fact_date, args.fact_mode

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from starfold.functions.text import digits_to_date, fold_accents, null_token
 from starfold.schema import DOSE_DATE, FEED, LOT
-from starfold.session import keep_methods_compilable
 
 
 def map_text_columns(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
@@ -76,6 +75,5 @@ def conform(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, dates: bool = True, fold: str = "default") -> DataFrame:
     """All cleaning steps in order."""
-    keep_methods_compilable(df.sparkSession)
     cleaned = normalise_lot(null_tokens(clean_text_columns(df, fold)))
     return normalise_date(cleaned) if dates else cleaned

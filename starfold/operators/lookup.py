@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from starfold.functions.keys import all_present, surrogate_key
 from starfold.operators.dedup import one_per_key
 
+# Into how many parts rows with a null key part are dealt where they may match.
+SALTS = 64
+
 
 def lookup(
     df: DataFrame,
@@ -31,8 +34,10 @@ def lookup(
     No side is forced into a broadcast: Spark broadcasts the dimension while its
     size is below the session threshold and shuffles beyond it. For a dimension
     expected beyond it, ``spread`` names a well-spread column of ``df``: rows with
-    a null key, which match nothing, are then dealt out by it instead of meeting
-    in one task. A hot key that is not null is split by adaptive execution.
+    a null key part are then dealt out by it instead of meeting in one task. With
+    ``null_safe`` they may match, so the few dimension rows with a null part are
+    repeated for every salt. A hot key that is not null is split by adaptive
+    execution.
     """
     role = role or surrogate
     left_keys, right_keys = list(on), [f"_k{n}" for n, _ in enumerate(on)]
@@ -47,10 +52,14 @@ def lookup(
         same = F.col(left).eqNullSafe(F.col(right)) if null_safe else F.col(left) == F.col(right)
         condition = same if left == left_keys[0] else condition & same
 
-    if spread and not null_safe:
-        dealt = F.when(all_present(left_keys), surrogate_key(left_keys)).otherwise(F.xxhash64(spread))
-        df = df.withColumn("_deal", dealt)
+    if spread:
+        dealt = F.xxhash64(spread) if not null_safe else F.pmod(F.xxhash64(spread), F.lit(SALTS))
+        df = df.withColumn("_deal", F.when(all_present(left_keys), surrogate_key(left_keys)).otherwise(dealt))
         side = side.withColumn("_dealt", surrogate_key(right_keys))
+        if null_safe:
+            salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+            places = F.when(all_present(right_keys), F.array("_dealt")).otherwise(salts)
+            side = side.withColumn("_dealt", F.explode(places))
         condition = (F.col("_deal") == F.col("_dealt")) & condition
     return df.join(side, condition, "left").drop(*right_keys, "_deal", "_dealt")
 

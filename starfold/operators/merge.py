@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.operators.dedup import latest_per_key
+
 
 def _same_key(key: Sequence[str]) -> Column:
     """Key equality in which null equals null, as it does when removing duplicates."""
@@ -23,21 +25,23 @@ def not_in(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return old.join(_keys_of(new, key), _same_key(key), "left_anti")
 
 
+def newest(old: DataFrame, new: DataFrame, key: Sequence[str], by: str) -> DataFrame:
+    """The latest row by ``by`` of each key of ``new``, stored ones included; ties go to the smallest row.
+
+    Of the stored side only rows with a key of the batch take part; a small batch is broadcast to find them.
+    """
+    met = old.join(_keys_of(new, key), _same_key(key), "left_semi")
+    return latest_per_key(met.unionByName(new), key, by)
+
+
 def merge_frames(old: DataFrame, new: DataFrame, key: Sequence[str], newer_by: str | None = None) -> DataFrame:
     """Upsert: rows of ``new`` replace rows of ``old`` with the same key, others are added.
 
-    A small batch is broadcast into the anti join, so the stored side is scanned
-    but not shuffled. ``newer_by`` keeps the stored row where it is the newer one.
+    A small batch is broadcast into the anti join, so the stored side is scanned but not shuffled. With ``newer_by`` the
+    newer row stays, whichever side it is on: batches may arrive in any order, and again.
     """
-    winners = new
-    if newer_by is not None:
-        stored = old.select(*key, F.col(newer_by).alias("_stored"))
-        winners = (
-            new.join(stored, list(key), "left")
-            .filter(F.col("_stored").isNull() | (F.col(newer_by) >= F.col("_stored")))
-            .drop("_stored")
-        )
-    return winners.unionByName(not_in(old, winners, key))
+    winners = new if newer_by is None else newest(old, new, key, newer_by)
+    return winners.unionByName(not_in(old, new, key))
 
 
 def known_among(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -13,12 +14,28 @@ def parse_day(day: str | date) -> date:
 
 
 def dated(base: str, day: str | date) -> str:
-    """``base/yyyy/MM/dd`` for one day, ``base/*/*/*`` for all days."""
+    """``base/yyyy/MM/dd`` for one day, ``base/*/*/*`` for all days (to be read, not written)."""
     if day == ALL_DATES:
         return f"{base}/*/*/*"
     return f"{base}/{parse_day(day):%Y/%m/%d}"
 
 
+def one_day(base: str, day: str | date) -> str:
+    """The folder of one day, for writers."""
+    if day == ALL_DATES:
+        raise ValueError("a day folder is written one day at a time")
+    return dated(base, day)
+
+
+# Finds the day in the path of a file, or of a folder, below a base laid out by day.
+DAY_IN_PATH = r".*/(\d{4})/(\d{2})/(\d{2})(?:/.*)?$"
+
+
+def day_of(path: str) -> date | None:
+    found = re.fullmatch(DAY_IN_PATH, path)
+    return date(*map(int, found.groups())) if found else None
+
+
 def days_between(start: str | date, end: str | date) -> list[date]:
     """Days from ``start`` (included) to ``end`` (excluded)."""
     first, stop = parse_day(start), parse_day(end)
@@ -37,6 +54,8 @@ class LakePaths:
 
     root: str
     feed: str = "vacinacao"
+    # Form of the gold tables: snapshots or delta. A lake keeps the form it was begun with.
+    gold_form: str = "snapshots"
 
     @property
     def landing_csv(self) -> str:
@@ -46,10 +65,21 @@ class LakePaths:
     def landing_json(self) -> str:
         return f"{self.root}/bronze/{self.feed}/json"
 
+    @property
+    def rejected(self) -> str:
+        """Landed records that could not be read."""
+        return f"{self.root}/rejected/{self.feed}"
+
     @property
     def silver(self) -> str:
+        """Silver by run date, all in the declared types."""
         return f"{self.root}/silver/{self.feed}"
 
+    @property
+    def untyped(self) -> str:
+        """Silver by run date in the types it was read with."""
+        return f"{self.root}/untyped/{self.feed}"
+
     @property
     def trusted(self) -> str:
         """Silver laid out by dose date instead of run date."""

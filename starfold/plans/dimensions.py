@@ -60,11 +60,19 @@ def municipalities(silver: DataFrame, null_safe: bool = False) -> DataFrame:
     return keyed(rows, MUNICIPALITIES, null_safe=null_safe)
 
 
+# Date of the dose that a stored patient is described by; not published.
+LAST_DOSE = "last_dose"
+
+
+def patients_with_dose(silver: DataFrame, null_safe: bool = False) -> DataFrame:
+    """Each patient as described by the latest dose, and when that was."""
+    rows = pick(silver, {**PATIENTS.columns, LAST_DOSE: DOSE_DATE})
+    return keyed(latest_per_key(rows, list(PATIENTS.keys), LAST_DOSE), PATIENTS, null_safe=null_safe)
+
+
 def patients(silver: DataFrame, null_safe: bool = False) -> DataFrame:
     """Each patient as described by the latest dose."""
-    rows = pick(silver, {**PATIENTS.columns, "_dose": DOSE_DATE})
-    latest = latest_per_key(rows, list(PATIENTS.keys), "_dose").drop("_dose")
-    return keyed(latest, PATIENTS, null_safe=null_safe)
+    return patients_with_dose(silver, null_safe).drop(LAST_DOSE)
 
 
 def patients_by_race(silver: DataFrame, null_safe: bool = False) -> DataFrame:

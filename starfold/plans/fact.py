@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,7 @@ def same_names(dim: Dimension) -> dict[str, str]:
 
 ROLES = (
     Role(PATIENTS, same_names(PATIENTS), PATIENTS.surrogate, large=True),
-    Role(VACCINES, same_names(VACCINES), VACCINES.surrogate),
+    Role(VACCINES, same_names(VACCINES), VACCINES.surrogate, large=True),
     Role(CAMPAIGNS, same_names(CAMPAIGNS), CAMPAIGNS.surrogate),
     Role(ESTABLISHMENTS, same_names(ESTABLISHMENTS), ESTABLISHMENTS.surrogate),
     Role(
@@ -74,16 +74,18 @@ FACT_SCHEMA = T.StructType(
 )
 
 
-def fact_rows(silver: DataFrame) -> DataFrame:
+def fact_rows(silver: DataFrame, first_by: str | None = None) -> DataFrame:
     """One row per dose with its natural keys, before any lookup.
 
     Duplicates go first: the dimensions are unique per key, so the lookups
     neither add nor remove rows and fewer, narrower rows reach them. The dose
-    date leads the choice among duplicates.
+    date leads the choice among duplicates; ``first_by`` names a silver column
+    that leads before it and stays in the rows.
     """
     rows = pick(
         silver,
         {
+            **({first_by: first_by} if first_by else {}),
             FACT_ID: "document_id",
             FACT_DATE: DOSE_DATE,
             **PATIENTS.keys,
@@ -96,7 +98,8 @@ def fact_rows(silver: DataFrame) -> DataFrame:
     )
     codes = ("CD_MUNICIPIO_IBGE_PACIENTE", "CD_PAIS_PACIENTE", "CD_MUNICIPIO_IBGE_ESTABELECIMENTO")
     rows = rows.withColumns({code: canonical_code(F.col(code)) for code in codes})
-    return one_per_key(rows, [FACT_ID], lead=[FACT_DATE]).withColumn(
+    lead = [first_by, FACT_DATE] if first_by else [FACT_DATE]
+    return one_per_key(rows, [FACT_ID], lead=lead).withColumn(
         "CD_PAIS_ESTABELECIMENTO", F.lit(str(HOME_COUNTRY_CODE))
     )
 
@@ -132,14 +135,20 @@ def keyed_fact(
     complete: Collection[str] = (),
     null_safe: bool = False,
     patients_unique: bool = True,
+    keep: Collection[str] = (),
 ) -> DataFrame:
-    """Fact rows with natural keys to published fact rows.
+    """Fact rows with natural keys to published fact rows, and the columns to ``keep`` beside them.
 
     ``patients_unique=False`` is for the patient dimension kept per race code:
     it is reduced to one row per patient before the lookup.
     """
     keyed = with_keys(rows, dims, complete, null_safe, patients_unique)
-    return keyed.withColumn(FACT_SURROGATE, surrogate_key([FACT_ID])).select(*FACT_COLUMNS)
+    return keyed.withColumn(FACT_SURROGATE, fact_surrogate()).select(*FACT_COLUMNS, *keep)
+
+
+def fact_surrogate() -> Column:
+    """The fact's own key, a hash of the dose id."""
+    return surrogate_key([FACT_ID])
 
 
 def build_fact(silver: DataFrame, dims: Mapping[str, DataFrame], **options) -> DataFrame:

@@ -2,34 +2,47 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starfold.operators.merge import not_in
+from starfold.operators.quality import key_uniqueness
 from starfold.paths import ALL_DATES, LakePaths, dated, days_between, parse_day
-from starfold.plans.dimensions import BUILDERS, patients_by_race
-from starfold.plans.fact import COMPLETE, FACT_SCHEMA, fact_rows, keyed_fact
-from starfold.plans.silver import load_csv, load_hits
-from starfold.schema import DIMENSIONS, FACT, FACT_ID, MUNICIPALITIES, PATIENTS
+from starfold.plans.dimensions import BUILDERS, LAST_DOSE, patients_by_race, patients_with_dose
+from starfold.plans.fact import COMPLETE, FACT_SCHEMA, fact_rows, fact_surrogate, keyed_fact
+from starfold.plans.silver import load_csv, load_csv_by_dose_date, load_hits
+from starfold.schema import DIMENSIONS, FACT, FACT_ID, FACT_SURROGATE, MUNICIPALITIES, PATIENTS
 from starfold.sources import files
-from starfold.sources.feed import read_silver
+from starfold.sources.feed import read_silver, read_trusted, with_day
 from starfold.sources.sinks import publish
 from starfold.sources.tables import LOAD_DATE, SnapshotTable, gold_table, only_unknown
 
 BY_RACE = "by_race"
 LATEST = "latest"
 
+log = logging.getLogger(__name__)
+
 
 def dimension_table(spark: SparkSession, paths: LakePaths, name: str) -> SnapshotTable:
-    return gold_table(spark, paths.gold(name))
+    return gold_table(spark, paths.gold(name), form=paths.gold_form)
+
+
+def read_dimension(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
+    """A dimension as published."""
+    return dimension_table(spark, paths, name).read().drop(LAST_DOSE)
 
 
 def fact_table(spark: SparkSession, paths: LakePaths) -> SnapshotTable:
-    return gold_table(spark, paths.gold(FACT), T.StructType([*FACT_SCHEMA, T.StructField(LOAD_DATE, T.DateType())]))
+    schema = T.StructType([*FACT_SCHEMA, T.StructField(LOAD_DATE, T.DateType())])
+    return gold_table(spark, paths.gold(FACT), schema, paths.gold_form)
 
 
 def read_fact(spark: SparkSession, paths: LakePaths) -> DataFrame:
@@ -45,19 +58,36 @@ def load_dimension(
     rebuild: bool = False,
     silver: DataFrame | None = None,
     null_safe: bool = False,
+    check: bool = True,
 ) -> None:
     """Merge one dimension from the silver of a run date (or all), or rebuild it.
 
-    ``null_safe`` makes nulls part of the surrogate keys and must then be given
-    to every load of the lake.
+    Rows are merged by their natural key, in which nulls are values. Patients also keep the date of the dose they are
+    described by, and a stored patient gives way to a later dose only: days may be loaded in any order, and again.
+    ``null_safe`` makes nulls part of the surrogate keys and must then be given to every load of the lake; patients by
+    race need it. ``check`` counts the stored keys: a natural key there twice is an error, a surrogate shared by two
+    natural keys a warning.
     """
-    build = patients_by_race if (name, patient_rows) == (PATIENTS.name, BY_RACE) else BUILDERS[name]
+    dim, keys, newer_by = DIMENSIONS[name], list(DIMENSIONS[name].keys), None
+    build = BUILDERS[name]
+    if name == PATIENTS.name and patient_rows == BY_RACE:
+        if not null_safe:
+            raise ValueError("a patient without race and a race without patient share a plain key: use null_safe")
+        build, keys = patients_by_race, [*keys, "CD_RACA_COR"]
+    elif name == PATIENTS.name:
+        build, newer_by = patients_with_dose, LAST_DOSE
     rows = build(read_silver(spark, paths.silver, day) if silver is None else silver, null_safe)
     table = dimension_table(spark, paths, name)
     if rebuild:
         table.replace(rows)
     else:
-        table.upsert(rows, [DIMENSIONS[name].surrogate])
+        table.upsert(rows, keys, newer_by)
+    if check:
+        found = key_uniqueness(table.read(), keys, dim.surrogate).first()
+        if found["n_rows"] != found["n_keys"]:
+            raise ValueError(f"{name} holds {found['n_rows']} rows of {found['n_keys']} keys")
+        if found["n_surrogates"] != found["n_keys"]:
+            log.warning("%s: %d keys share %d surrogates", name, found["n_keys"], found["n_surrogates"])
     table.drop_old_snapshots()
 
 
@@ -94,17 +124,19 @@ def load_fact(
     earlier run of the same load date stored, so a rerun changes nothing.
     ``add_new`` adds doses stored nowhere and replaces nothing, for several
     batches on one load date. ``append`` adds blindly. ``reload`` starts the
-    table over.
+    table over. All days at once are stored under ``run_date``, by default
+    today; modes that do not look at stored rows want it said.
     """
+    if day == ALL_DATES and run_date is None and mode in ("batch", "append"):
+        raise ValueError(f"mode {mode} over all days needs a run date: run twice it would store every dose twice")
     load_date = str(parse_day(run_date or (date.today() if day == ALL_DATES else day)))
     rows = fact_rows(read_silver(spark, paths.silver, day) if silver is None else silver)
     table = fact_table(spark, paths)
     if mode == "new_only":
-        rows = only_unknown(table, rows, [FACT_ID], load_date)
+        rows = new_doses(table, rows, [load_date])
     elif mode == "add_new":
-        rows = only_unknown(table, rows, [FACT_ID])
-    dims = {name: dimension_table(spark, paths, name).read() for name in DIMENSIONS if name not in complete}
-    fact = keyed_fact(rows, dims, tuple(complete), null_safe, patient_rows == LATEST)
+        rows = new_doses(table, rows)
+    fact = keyed(spark, paths, rows, complete, patient_rows, null_safe)
     write: Callable[[DataFrame, str], None] = {
         "new_only": table.load_batch,
         "batch": table.load_batch,
@@ -113,6 +145,43 @@ def load_fact(
         "reload": table.replace_with_batch,
     }[mode]
     write(fact, load_date)
+    table.drop_old_snapshots()
+
+
+def new_doses(table: SnapshotTable, rows: DataFrame, load_dates: Iterable[str] = ()) -> DataFrame:
+    """Doses that no other load date has stored; of the history only the 8-byte key is read."""
+    return only_unknown(table, rows, [FACT_ID], load_dates, (FACT_SURROGATE, fact_surrogate()))
+
+
+def keyed(
+    spark: SparkSession, paths: LakePaths, rows: DataFrame, complete: Iterable[str], patient_rows: str, null_safe: bool,
+    keep: Iterable[str] = (),
+) -> DataFrame:
+    """Fact rows with the keys of the stored dimensions."""
+    dims = {name: read_dimension(spark, paths, name) for name in DIMENSIONS if name not in complete}
+    return keyed_fact(rows, dims, tuple(complete), null_safe, patient_rows == LATEST, tuple(keep))
+
+
+def load_fact_range(
+    spark: SparkSession,
+    paths: LakePaths,
+    start: str | date,
+    end: str | date,
+    days: Iterable[date],
+    complete: Iterable[str] = (),
+    patient_rows: str = LATEST,
+    null_safe: bool = False,
+) -> None:
+    """The fact rows of all ``days`` of ``[start, end)`` in one pass, each stored under the first day that has its dose.
+
+    What other load dates have stored is left out; what an earlier run stored for these days is replaced.
+    """
+    load_dates = [str(day) for day in days]
+    silver = with_day(read_silver(spark, paths.silver, start, end), LOAD_DATE)
+    table = fact_table(spark, paths)
+    rows = new_doses(table, fact_rows(silver, first_by=LOAD_DATE), load_dates)
+    table.load_batches(keyed(spark, paths, rows, complete, patient_rows, null_safe, [LOAD_DATE]), load_dates)
+    table.drop_old_snapshots()
 
 
 def complete_dimensions(patient_rows: str = LATEST, null_safe: bool = False) -> tuple[str, ...]:
@@ -134,21 +203,21 @@ def load_star(
     patient_rows: str = LATEST,
     null_safe: bool = False,
     rebuild: bool = False,
+    silver: DataFrame | None = None,
     **fact_options,
 ) -> None:
-    """Dimensions, then the fact, from the silver of a run date.
+    """Dimensions, then the fact, from the silver of a run date, or from ``silver``.
 
     The dimensions are loaded from the same silver just before, so the fact
     derives the keys of those that keep every key and joins the others.
     """
     complete = complete_dimensions(patient_rows, null_safe)
-    load_dimensions(spark, paths, day=day, patient_rows=patient_rows, null_safe=null_safe, rebuild=rebuild)
-    load_fact(
-        spark, paths, day, complete=complete, patient_rows=patient_rows, null_safe=null_safe, **fact_options
-    )
+    shared = {"patient_rows": patient_rows, "null_safe": null_safe, "silver": silver}
+    load_dimensions(spark, paths, day=day, rebuild=rebuild, **shared)
+    load_fact(spark, paths, day, complete=complete, **shared, **fact_options)
 
 
-def run_day(spark: SparkSession, paths: LakePaths, day: str | date, multi_line: bool = False, **options) -> None:
+def run_day(spark: SparkSession, paths: LakePaths, day: str | date, multi_line: bool = True, **options) -> None:
     """Daily load: the hits landed on a day, through silver, into the star."""
     load_hits(spark, paths, day, multi_line=multi_line)
     load_star(spark, paths, day, **options)
@@ -160,11 +229,42 @@ def run_bulk(spark: SparkSession, paths: LakePaths, day: str | date, **options)
     load_star(spark, paths, day, **options)
 
 
-def backfill(spark: SparkSession, paths: LakePaths, start: str | date, end: str | date, **options) -> list[date]:
-    """Daily loads for ``[start, end)`` in date order; days without landed files are skipped."""
+def run_bulk_trusted(
+    spark: SparkSession,
+    paths: LakePaths,
+    day: str | date,
+    dose_from: str | date | None = None,
+    dose_until: str | date | None = None,
+    **options,
+) -> None:
+    """First load through silver laid out by dose date: all doses, or those of ``[dose_from, dose_until)``."""
+    load_csv_by_dose_date(spark, paths)
+    silver = read_trusted(spark, paths.trusted, dose_from, dose_until)
+    load_star(spark, paths, day, silver=silver, **options)
+
+
+def backfill(
+    spark: SparkSession,
+    paths: LakePaths,
+    start: str | date,
+    end: str | date,
+    multi_line: bool = True,
+    patient_rows: str = LATEST,
+    null_safe: bool = False,
+) -> list[date]:
+    """Loads of ``[start, end)``; days without landed files are skipped.
+
+    Each day's hits go to that day's silver. The dimensions and the fact are then loaded once for all days, so a long
+    range neither rewrites a dimension nor scans the fact's history once a day.
+    """
     landed = [d for d in days_between(start, end) if files.exists(spark, dated(paths.landing_json, d))]
     for day in landed:
-        run_day(spark, paths, day, **options)
+        load_hits(spark, paths, day, multi_line=multi_line)
+    if landed:
+        silver = read_silver(spark, paths.silver, start, end)
+        load_dimensions(spark, paths, silver=silver, patient_rows=patient_rows, null_safe=null_safe)
+        complete = complete_dimensions(patient_rows, null_safe)
+        load_fact_range(spark, paths, start, end, landed, complete, patient_rows, null_safe)
     return landed
 
 
@@ -174,16 +274,30 @@ def publish_gold(
     fmt: str,
     options_for: Callable[[str], Mapping[str, str]],
     fact_load_date: str | None = None,
-    fact_mode: str = "append",
+    fact_mode: str | None = None,
 ) -> None:
     """Send gold to a serving store, reading the stored tables back.
 
-    Dimensions replace their copy. The fact sends one load date, or everything
-    when none is given, in ``fact_mode``.
+    Dimensions replace their copy. The whole fact replaces its copy as well. One load date (``fact_load_date``) is added
+    to it: doses that the store already has are left out, so publishing a date again adds nothing.
     """
+    mode = fact_mode or ("overwrite" if fact_load_date is None else "append")
+    if (mode == "append") != (fact_load_date is not None):
+        raise ValueError("the whole fact overwrites its copy, one load date is appended to it")
     for name in DIMENSIONS:
-        publish(dimension_table(spark, paths, name).read(), fmt, options_for(name), "overwrite")
+        publish(read_dimension(spark, paths, name), fmt, options_for(name), "overwrite")
     fact = fact_table(spark, paths).read()
     if fact_load_date is not None:
-        fact = fact.filter(fact[LOAD_DATE] == fact_load_date)
-    publish(fact.drop(LOAD_DATE), fmt, options_for(FACT), fact_mode)
+        fact = unpublished(spark, fact.filter(fact[LOAD_DATE] == fact_load_date), fmt, options_for(FACT))
+    publish(fact.drop(LOAD_DATE), fmt, options_for(FACT), mode)
+
+
+def unpublished(spark: SparkSession, fact: DataFrame, fmt: str, options: Mapping[str, str]) -> DataFrame:
+    """Fact rows whose dose is not in the store; all of them if the store has no fact yet."""
+    try:
+        known = spark.read.format(fmt).options(**options).load().select(FACT_ID)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return fact
+    return not_in(fact, known, [FACT_ID])

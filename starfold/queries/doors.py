@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.operators.clean import clean
 from starfold.paths import LakePaths, dated
 from starfold.plans import pipeline
-from starfold.plans.silver import load_csv_by_dose_date, silver_from_csv, silver_from_hits
+from starfold.plans.silver import load_csv_by_dose_date, load_hits, silver_from_csv, silver_from_hits
 from starfold.queries import feed as stand_in
 from starfold.queries.dimensions import PATIENT_SQL
 from starfold.queries.facts import FACT_CTES, resolved
 from starfold.queries.feed import EXPRESSIONS, FEED_SQL, table, wide_feed
 from starfold.queries.registry import query
-from starfold.schema import DIMENSIONS, DOSE_DATE, FEED, LOT, PATIENTS
+from starfold.schema import DIMENSIONS, DOSE_DATE, FACT, FEED, LOT, PATIENTS
 from starfold.session import scratch_dir
-from starfold.sources.feed import read_feed_csv, read_hits_json
+from starfold.sources.feed import read_feed_csv, read_hits_json, read_silver, read_trusted
 from starfold.sources.sinks import publish, write_day, write_partitioned, write_table
 from starfold.sources.tables import SnapshotTable
 
@@ -49,9 +51,21 @@ def write_csv(df: DataFrame, path: str) -> None:
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def write_hits(df: DataFrame, path: str) -> None:
+def hits(df: DataFrame) -> DataFrame:
+    """The rows as search hits."""
     hit = F.struct(F.struct(*FEED.names).alias("_source"), F.array(DOSE_DATE, "document_id").alias("sort"))
-    df.select(F.to_json(hit).alias("value")).write.text(path)
+    return df.select("document_id", hit.alias("hit"))
+
+
+def write_hits(df: DataFrame, path: str) -> None:
+    """An object a line."""
+    hits(df).select(F.to_json("hit").alias("value")).write.text(path)
+
+
+def landed_csv(spark: SparkSession, sf_dir: str, label: str) -> LakePaths:
+    paths = LakePaths(scratch_dir(spark, label))
+    write_csv(dirty_feed(spark, sf_dir), paths.landing_csv)
+    return paths
 
 
 @query(CLEAN_SQL + " select * from feed")
@@ -68,19 +82,46 @@ def json_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_from_hits(read_hits_json(spark, path))
 
 
-@query(
-    CLEAN_SQL
-    + """ select document_id, paciente_id, cast(paciente_idade as string) as paciente_idade, vacina_lote,
-                 estabelecimento_razaoSocial, paciente_endereco_nmMunicipio from feed"""
+PAGES = 64
+
+
+@query(CLEAN_SQL + " select * from feed")
+def json_pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as they land, an array of hits a line, and a page that broke off, which makes no row."""
+    path = scratch_dir(spark, "json-pages")
+    pages = hits(dirty_feed(spark, sf_dir)).groupBy(F.substring_index("document_id", "-", 1)).agg(F.collect_list("hit").alias("page"))
+    pages.select(F.to_json("page").alias("value")).write.text(path)
+    pages.limit(1).select(F.expr("left(to_json(page), 40)").alias("value")).write.mode("append").text(path)
+    return silver_from_hits(read_hits_json(spark, path))
+
+
+@query(CLEAN_SQL + " select * from feed")
+def json_multiline_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are laid out over many lines, one a file, and one that broke off."""
+    path = scratch_dir(spark, "json-multi-line")
+    rows = hits(dirty_feed(spark, sf_dir)).withColumn("page", F.pmod(F.xxhash64("document_id"), F.lit(PAGES)))
+    pages = rows.groupBy("page").agg(F.to_json(F.collect_list("hit"), {"pretty": "true"}).alias("value"))
+    pages.write.partitionBy("page").text(path)
+    pages.limit(1).select(F.lit(-1).alias("page"), F.left("value", F.lit(99)).alias("value")).write.mode("append").partitionBy("page").text(path)
+    return silver_from_hits(read_hits_json(spark, f"{path}/*", multi_line=True))
+
+
+DIRTY_DATE_SQL = f"""
+    case when paciente_racaCor_valor = '2-HIGH' then strftime({DOSE_DATE}, '%Y%m%d')
+         else concat(cast({DOSE_DATE} as varchar), 'T00:00:00.000Z') end"""
+UNTYPED_SQL = ", ".join(
+    f"case when {DOSE_DATE} is not null then {DIRTY_DATE_SQL} end as {DOSE_DATE}" if f.name == DOSE_DATE
+    else f"cast({f.name} as varchar) as {f.name}"
+    for f in FEED
 )
+
+
+@query(f"{CLEAN_SQL} select {UNTYPED_SQL} from feed")
 def json_to_silver_untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without conforming, values keep the text they came with."""
+    """Without conforming, values keep the text they came with, dates too."""
     path = scratch_dir(spark, "json-untyped")
     write_hits(dirty_feed(spark, sf_dir), path)
-    return silver_from_hits(read_hits_json(spark, path), conformed=False).select(
-        "document_id", "paciente_id", "paciente_idade", LOT, "estabelecimento_razaoSocial",
-        "paciente_endereco_nmMunicipio",
-    )
+    return silver_from_hits(read_hits_json(spark, path), conformed=False)
 
 
 @query(CLEAN_SQL + " select * from feed")
@@ -93,14 +134,12 @@ def clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(typed)
 
 
-@query(CLEAN_SQL + f" select * replace (cast(date_trunc('month', {DOSE_DATE}) as date) as {DOSE_DATE}) from feed")
+@query(CLEAN_SQL + " select * from feed")
 def csv_to_dose_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delimited files to silver laid out by dose date; every dose on the first of its month."""
-    paths = LakePaths(scratch_dir(spark, "csv-dose-dates"))
-    first_of_month = F.regexp_replace(DOSE_DATE, "^(....-?..-?)..", "$101")
-    write_csv(dirty_feed(spark, sf_dir).withColumn(DOSE_DATE, first_of_month), paths.landing_csv)
+    """Delimited files to silver laid out by dose date."""
+    paths = landed_csv(spark, sf_dir, "csv-dose-dates")
     load_csv_by_dose_date(spark, paths)
-    return spark.read.parquet(paths.trusted)
+    return read_trusted(spark, paths.trusted)
 
 
 @query("select * from orders")
@@ -161,25 +200,65 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_dims(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    return {name: pipeline.dimension_table(spark, paths, name).read() for name in DIMENSIONS}
+    return {name: pipeline.read_dimension(spark, paths, name) for name in DIMENSIONS}
 
 
 @query(FACT_CTES + "select * from fact")
 def pipeline_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited files to the star in one load."""
-    paths = LakePaths(scratch_dir(spark, "pipeline-bulk"))
-    write_csv(dirty_feed(spark, sf_dir), paths.landing_csv)
+    paths = landed_csv(spark, sf_dir, "pipeline-bulk")
     pipeline.run_bulk(spark, paths, "2024-01-31")
     return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
 
 
+@query(FACT_CTES + "select * from fact")
+def pipeline_bulk_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through silver laid out by dose date."""
+    paths = landed_csv(spark, sf_dir, "pipeline-bulk-trusted")
+    pipeline.run_bulk_trusted(spark, paths, "2024-01-31")
+    return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
+
+
+def published(spark: SparkSession, sf_dir: str, label: str) -> dict[str, DataFrame]:
+    """The star of one load, published twice through a file connector, as the store has it."""
+    paths, out = landed_csv(spark, sf_dir, label), scratch_dir(spark, f"{label}-store")
+    pipeline.run_bulk(spark, paths, "2024-01-31")
+    for _ in range(2):
+        pipeline.publish_gold(spark, paths, "parquet", lambda name: {"path": f"{out}/{name}"}, "2024-01-31")
+    return {name: spark.read.parquet(f"{out}/{name}") for name in [*DIMENSIONS, FACT]}
+
+
+@query(FACT_CTES + "select * from fact")
+def pipeline_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load date published again adds nothing."""
+    store = published(spark, sf_dir, "pipeline-publish")
+    return resolved(store[FACT], store)
+
+
+PUBLISHED_SQL = " union all ".join(
+    f"select '{name}' as name, count(*) as n_rows from {table_}"
+    for name, table_ in {
+        "dm_campanhas": "campaigns", "dm_estabelecimentos": "establishments", "dm_municipios": "municipalities",
+        "dm_pacientes": "patients", "dm_vacinas": "vaccines", "ft_vacinacao": "fact",
+    }.items()
+)
+
+
+@query(FACT_CTES + PUBLISHED_SQL)
+def pipeline_publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every published table is there once."""
+    store = published(spark, sf_dir, "pipeline-publish-tables")
+    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows") for name, df in store.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(FACT_CTES + "select * from fact")
 def pipeline_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hits of one day to the star, then the same day again."""
     paths = LakePaths(scratch_dir(spark, "pipeline-day"))
     write_hits(dirty_feed(spark, sf_dir), dated(paths.landing_json, "2024-01-31"))
     for _ in range(2):
-        pipeline.run_day(spark, paths, "2024-01-31")
+        pipeline.run_day(spark, paths, "2024-01-31", multi_line=False)
     return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
 
 
@@ -200,7 +279,7 @@ def pipeline_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day by day in dose order gives the fact of one bulk load; days without files are skipped."""
     paths = LakePaths(scratch_dir(spark, "pipeline-backfill"))
     land_in_order(spark, sf_dir, paths)
-    pipeline.backfill(spark, paths, "2024-01-28", "2024-02-03")
+    pipeline.backfill(spark, paths, "2024-01-28", "2024-02-03", multi_line=False)
     return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
 
 
@@ -209,5 +288,25 @@ def pipeline_backfill_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day by day in dose order gives the latest patients of one bulk load."""
     paths = LakePaths(scratch_dir(spark, "backfill-patients"))
     land_in_order(spark, sf_dir, paths)
-    pipeline.backfill(spark, paths, "2024-01-28", "2024-02-03")
-    return pipeline.dimension_table(spark, paths, PATIENTS.name).read().drop(PATIENTS.surrogate)
+    pipeline.backfill(spark, paths, "2024-01-28", "2024-02-03", multi_line=False)
+    return pipeline.read_dimension(spark, paths, PATIENTS.name).drop(PATIENTS.surrogate)
+
+
+@query(FEED_SQL + PATIENT_SQL)
+def pipeline_day_rerun_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days one after the other and the first day again: the patients of one bulk load."""
+    paths = LakePaths(scratch_dir(spark, "rerun-old"))
+    land_in_order(spark, sf_dir, paths)
+    for day in ("2024-01-29", "2024-01-30", "2024-01-31", "2024-01-29"):
+        pipeline.run_day(spark, paths, day, multi_line=False)
+    return pipeline.read_dimension(spark, paths, PATIENTS.name).drop(PATIENTS.surrogate)
+
+
+@query(CLEAN_SQL + " select * from feed")
+def json_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed days in one go, twice: each to its own day's silver."""
+    paths = LakePaths(scratch_dir(spark, "json-all-days"))
+    land_in_order(spark, sf_dir, paths)
+    for _ in range(2):
+        load_hits(spark, paths, "*", multi_line=False)
+    return read_silver(spark, paths.silver)

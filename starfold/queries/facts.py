@@ -15,11 +15,11 @@ from starfold.queries import feed as stand_in
 from starfold.queries.dimensions import CAMPAIGN_SQL, ESTABLISHMENT_SQL, MUNICIPALITY_SQL, PATIENT_SQL, VACCINE_SQL
 from starfold.queries.feed import FEED_SQL, wide_feed
 from starfold.queries.registry import query
-from starfold.schema import CAMPAIGNS, FACT_DATE, FACT_ID, MUNICIPALITIES, PATIENTS, VACCINES
+from starfold.schema import CAMPAIGNS, FACT_DATE, FACT_ID, FACT_SURROGATE, MUNICIPALITIES, PATIENTS, VACCINES
 from starfold.session import scratch_dir
 from starfold.sources.feed import read_silver
 from starfold.sources.sinks import write_day, write_table
-from starfold.sources.tables import LOAD_DATE, SnapshotTable, only_unknown
+from starfold.sources.tables import LOAD_DATE, SnapshotTable
 
 
 EARLY, LATE = "2024-01-01", "2024-01-02"
@@ -35,7 +35,7 @@ def stored_star(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame
     paths = LakePaths(scratch_dir(spark, label))
     write_day(wide_feed(spark, sf_dir, *stand_in.ROLES), paths.silver, EARLY)
     pipeline.load_dimensions(spark, paths, day=EARLY)
-    tables = {name: pipeline.dimension_table(spark, paths, name).read() for name in dims.BUILDERS}
+    tables = {name: pipeline.read_dimension(spark, paths, name) for name in dims.BUILDERS}
     return read_silver(spark, paths.silver, EARLY), tables
 
 
@@ -102,28 +102,27 @@ def fact_build_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{FACT_CTES},
     races as (select distinct paciente_id, paciente_racaCor_codigo from feed where paciente_id is not null)
-    select CD_VACINACAO, CD_PACIENTE, first_race as CD_RACA_COR
+    select fact.*, first_race as CD_RACA_COR
     from fact left join (
         select paciente_id, case when bool_or(paciente_racaCor_codigo is null) then null
                                  else min(paciente_racaCor_codigo) end as first_race
         from races group by paciente_id) on CD_PACIENTE = paciente_id
 """)
 def fact_build_by_race(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the patient dimension kept per race code, a dose still is one row.
+    """With the patient dimension kept per race code, a dose still is one row; all keys, and the race found.
 
     The plain hash gives patient '5' without race the key of race '5' without
     patient, so this dimension is keyed null-safely.
     """
-    silver = wide_feed(spark, sf_dir, *stand_in.ROLES)
-    root = scratch_dir(spark, "fact-by-race")
-    silver = stored(silver, f"{root}/silver")
-    patients = stored(dims.patients_by_race(silver, null_safe=True), f"{root}/patients")
+    silver, tables = stored_star(spark, sf_dir, "fact-by-race")
+    patients = stored(dims.patients_by_race(silver, null_safe=True), scratch_dir(spark, "patients-by-race"))
+    # The reduction to one row per patient takes the least surrogate: lead it by the race.
     first_race = patients.withColumn(PATIENTS.surrogate, F.struct("CD_RACA_COR", PATIENTS.surrogate))
-    others = {n: b(silver) for n, b in dims.BUILDERS.items() if n == CAMPAIGNS.name}
     complete = tuple(n for n in COMPLETE if n != PATIENTS.name)
-    fact = build_fact(silver, {**others, PATIENTS.name: first_race}, complete=complete, patients_unique=False)
+    fact = build_fact(silver, {**tables, PATIENTS.name: first_race}, complete=complete, patients_unique=False)
     fact = fact.withColumn(PATIENTS.surrogate, F.col(f"{PATIENTS.surrogate}.{PATIENTS.surrogate}"))
-    return fact.join(patients, PATIENTS.surrogate, "left").select(FACT_ID, "CD_PACIENTE", "CD_RACA_COR")
+    races = fact.join(patients, PATIENTS.surrogate, "left").select(FACT_ID, "CD_RACA_COR")
+    return resolved(fact, {**tables, PATIENTS.name: patients}).join(races, FACT_ID)
 
 
 @query(f"""{FACT_CTES}
@@ -140,12 +139,35 @@ def fact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_counts(build_fact(silver, tables), [role.column for role in ROLES])
 
 
-@query(" union all ".join(f"select '{role.column}' as foreign_key, 0 as n_unresolved" for role in ROLES))
+LACKING = {"dm_estabelecimentos": "CD_ESTABELECIMENTO % 3 = 0", "dm_pacientes": "CD_PACIENTE like '%7'"}
+UNRESOLVED_SQL = " union all ".join(
+    f"select '{role.column}' as foreign_key, count(*) filter ({LACKING.get(role.dim.name, 'false')}) as n_unresolved from fact"
+    for role in ROLES
+)
+
+
+@query(FACT_CTES + UNRESOLVED_SQL)
 def fact_unresolved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derived keys must all point at a row."""
+    """Derived keys that point at no row, of dimensions from which rows are missing and of whole ones."""
     silver, tables = stored_star(spark, sf_dir, "fact-unresolved")
     fact = build_fact(silver, tables, complete=COMPLETE)
-    return unresolved_keys(fact, {r.column: (tables[r.dim.name], r.dim.surrogate) for r in ROLES})
+    left = {
+        name: df.filter(~F.coalesce(F.expr(LACKING[name]), F.lit(False))) if name in LACKING else df
+        for name, df in tables.items()
+    }
+    return unresolved_keys(fact, {r.column: (left[r.dim.name], r.dim.surrogate) for r in ROLES})
+
+
+@query(FACT_CTES + """
+    select count(*) as n_rows, count(distinct CD_VACINACAO) as n_ids, count(distinct CD_VACINACAO) as n_surrogates from fact
+""")
+def fact_own_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many surrogates as doses."""
+    silver, tables = stored_star(spark, sf_dir, "fact-own-keys")
+    return build_fact(silver, tables, complete=COMPLETE).agg(
+        F.count("*").alias("n_rows"), F.count_distinct(FACT_ID).alias("n_ids"),
+        F.count_distinct(FACT_SURROGATE).alias("n_surrogates"),
+    )
 
 
 def looked_up(spark: SparkSession, sf_dir: str, dim, build, *roles: str, spread: str | None = None) -> DataFrame:
@@ -251,7 +273,7 @@ def fact_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     for load_date, batch in zip((EARLY, LATE), early_and_all(silver)):
         for _ in range(2):
             rows = build_fact(batch, tables, complete=COMPLETE)
-            fact.load_batch(only_unknown(fact, rows, [FACT_ID], load_date), load_date)
+            fact.load_batch(pipeline.new_doses(fact, rows, [load_date]), load_date)
     return resolved(fact.read().drop(LOAD_DATE), tables)
 
 
@@ -273,3 +295,14 @@ def fact_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     for load_date, batch in zip((EARLY, LATE), early_and_all(silver)):
         fact.replace_with_batch(build_fact(batch, tables, complete=COMPLETE), load_date)
     return resolved(fact.read().drop(LOAD_DATE), tables)
+
+
+@query(FACT_CTES + "select * from fact where DT_VACINACAO < date '1999-01-01'")
+def fact_rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load date whose rerun has no rows is left with none."""
+    silver, tables = stored_star(spark, sf_dir, "fact-rerun-empty")
+    fact = SnapshotTable(spark, scratch_dir(spark, "fact-rerun-empty-table"))
+    early, everything = early_and_all(silver)
+    for load_date, batch in ((EARLY, early), (LATE, everything), (LATE, everything.limit(0))):
+        fact.load_batch(build_fact(batch, tables, complete=COMPLETE), load_date)
+    return resolved(fact.read().drop(LOAD_DATE), tables)

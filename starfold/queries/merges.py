@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.functions.keys import surrogate_key
 from starfold.functions.text import canonical_code
+from starfold.operators.dedup import latest_per_key
 from starfold.operators.merge import merge_frames, not_in
 from starfold.plans import dimensions as dims
 from starfold.queries.dimensions import PATIENT_SQL, VACCINE_SQL
@@ -17,11 +19,13 @@ from starfold.sources.tables import SnapshotTable
 
 CUT = "2001-01-01"
 OLD = f"vacina_dataAplicacao < date'{CUT}'"
-NEW = f"vacina_dataAplicacao >= date'{CUT}'"
+# Doses without date come with the second batch.
+NEW = f"(vacina_dataAplicacao >= date'{CUT}' or vacina_dataAplicacao is null)"
+PATIENT_KEY = list(PATIENTS.keys)
 BATCHES_SQL = f"""{FEED_SQL},
     all_doses as (select * from feed),
-    old as (with feed as (select * from all_doses where vacina_dataAplicacao < date '{CUT}') {{dim}}),
-    new as (with feed as (select * from all_doses where vacina_dataAplicacao >= date '{CUT}') {{dim}})
+    old as (with feed as (select * from all_doses where {OLD}) {{dim}}),
+    new as (with feed as (select * from all_doses where {NEW}) {{dim}})
 """
 PATIENT_BATCHES = BATCHES_SQL.format(dim=PATIENT_SQL)
 MERGED_PATIENTS = f"""{PATIENT_BATCHES}
@@ -40,7 +44,7 @@ def patient_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 """)
 def anti_join_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = patient_batches(spark, sf_dir)
-    return not_in(old, new, [PATIENTS.surrogate]).drop(PATIENTS.surrogate)
+    return not_in(old, new, PATIENT_KEY).drop(PATIENTS.surrogate)
 
 
 @query("""
@@ -64,14 +68,14 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(MERGED_PATIENTS)
 def upsert_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = patient_batches(spark, sf_dir)
-    return merge_frames(old, new, [PATIENTS.surrogate]).drop(PATIENTS.surrogate)
+    return merge_frames(old, new, PATIENT_KEY).drop(PATIENTS.surrogate)
 
 
 @query(f"{FEED_SQL} {VACCINE_SQL}")
 def upsert_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First use creates the table."""
     stored = SnapshotTable(spark, scratch_dir(spark, "upsert-create"))
-    stored.upsert(dims.vaccines(wide_feed(spark, sf_dir, "vaccine")), [VACCINES.surrogate])
+    stored.upsert(dims.vaccines(wide_feed(spark, sf_dir, "vaccine")), list(VACCINES.keys))
     return stored.read().drop(VACCINES.surrogate)
 
 
@@ -81,30 +85,42 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = patient_batches(spark, sf_dir)
     stored = SnapshotTable(spark, scratch_dir(spark, "upsert-twice"))
     for batch in (old, new, new):
-        stored.upsert(batch, [PATIENTS.surrogate])
+        stored.upsert(batch, PATIENT_KEY)
     return stored.read().drop(PATIENTS.surrogate)
 
 
-@query("""
-    with old as (
-        select o_custkey as customer, cast(o_orderdate as date) as day, o_orderkey as order_id from orders
-        where o_orderstatus = 'F'
-        qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1),
-    new as (
-        select o_custkey as customer, cast(o_orderdate as date) as day, o_orderkey as order_id from orders
-        where o_orderstatus = 'O'
-        qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1)
-    select customer, case when o.day is null or n.day >= o.day then n.day else o.day end as day,
-           case when o.day is null or n.day >= o.day then n.order_id else o.order_id end as order_id
-    from old o full join new n using (customer)
+LATEST_ORDERS_SQL = """
+    select o_custkey as customer, cast(o_orderdate as date) as day, o_orderkey as order_id from orders
+    where o_orderstatus {status}
+    qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1
+"""
+
+
+@query(f"""
+    with batches as ({LATEST_ORDERS_SQL.format(status="= 'F'")} union all {LATEST_ORDERS_SQL.format(status="<> 'F'")})
+    select * from batches qualify row_number() over (partition by customer order by day desc, order_id) = 1
 """)
 def upsert_newer_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored row stays where it is the newer one, so batches may arrive out of order."""
-    from starfold.operators.dedup import latest_per_key
-
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey as customer", "cast(o_orderdate as date) as day", "o_orderkey as order_id", "o_orderstatus"
     )
     old = latest_per_key(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), ["customer"], "day")
-    new = latest_per_key(orders.filter("o_orderstatus = 'O'").drop("o_orderstatus"), ["customer"], "day")
+    new = latest_per_key(orders.filter("o_orderstatus <> 'F'").drop("o_orderstatus"), ["customer"], "day")
     return merge_frames(old, new, ["customer"], newer_by="day")
+
+
+@query("""
+    select c_custkey as a, null as b, case when c_nationkey < 12 then 'new' else 'old' end as batch from customer
+    union all select null, c_custkey, 'new' from customer
+""")
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that differ in where they are null share a plain surrogate, and are merged apart."""
+    customers = table(spark, sf_dir, "customer")
+    left = customers.selectExpr("c_custkey as a", "cast(null as bigint) as b", "'old' as batch")
+    again = customers.filter("c_nationkey < 12").selectExpr("c_custkey as a", "cast(null as bigint) as b", "'new' as batch")
+    right = customers.selectExpr("cast(null as bigint) as a", "c_custkey as b", "'new' as batch")
+    stored = SnapshotTable(spark, scratch_dir(spark, "upsert-null-keys"))
+    for batch in (left, again.unionByName(right)):
+        stored.upsert(batch.withColumn("surrogate", surrogate_key(["a", "b"])), ["a", "b"])
+    return stored.read().drop("surrogate")

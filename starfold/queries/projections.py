@@ -125,26 +125,26 @@ def date_range_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_DAYS = {"F": "2024-01-30", "O": "2024-01-31", "P": "2024-02-01"}
 
 
-def orders_in_day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """The orders in three day folders across a month's end, one per status."""
+def orders_by_day(spark: SparkSession, sf_dir: str, label: str, *days: str) -> DataFrame:
+    """The orders in three day folders across a month's end, one per status, and what is read of them."""
     base = scratch_dir(spark, label)
+    orders = table(spark, sf_dir, "orders")
     for status, day in ORDER_DAYS.items():
-        write_day(table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status), base, day)
-    return base
+        write_day(orders.filter(F.col("o_orderstatus") == status), base, day)
+    return read_silver(spark, base, *days, schema=orders.schema)
 
 
 @query("select * from orders where o_orderstatus = 'O'")
 def day_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_silver(spark, orders_in_day_folders(spark, sf_dir, "day-folder"), "2024-01-31")
+    return orders_by_day(spark, sf_dir, "day-folder", "2024-01-31")
 
 
 @query("select * from orders where o_orderstatus in ('O', 'P')")
 def day_folder_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of the range that were never loaded are skipped."""
-    base = orders_in_day_folders(spark, sf_dir, "day-folder-range")
-    return read_silver(spark, base, "2024-01-31", "2024-02-05")
+    return orders_by_day(spark, sf_dir, "day-folder-range", "2024-01-31", "2024-02-05")
 
 
 @query("select * from orders")
 def day_folder_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_silver(spark, orders_in_day_folders(spark, sf_dir, "day-folder-all"))
+    return orders_by_day(spark, sf_dir, "day-folder-all")

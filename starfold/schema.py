@@ -59,8 +59,13 @@ HIT = T.StructType(
     [
         T.StructField("_source", T.StructType([T.StructField(f.name, T.StringType()) for f in FEED])),
         T.StructField("sort", T.ArrayType(T.StringType())),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
+CORRUPT = "_corrupt_record"
+
+# Silver as stored: the feed with its dose date read.
+SILVER = T.StructType([T.StructField(f.name, T.DateType() if f.name == DOSE_DATE else f.dataType) for f in FEED])
 
 # The country of every establishment.
 HOME_COUNTRY_CODE = 10

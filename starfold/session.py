@@ -15,19 +15,10 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
-# Whole-stage code for a wide projection is one method, and the JVM only
-# interprets methods above 8000 bytes. With this limit Spark falls back to
-# smaller generated methods there, which the JVM compiles: cleaning all 32
-# columns runs several times faster.
-METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "65535", "8000")
-DEFAULTS[METHOD_LIMIT[0]] = METHOD_LIMIT[2]
-
-
-def keep_methods_compilable(spark: SparkSession) -> None:
-    """Apply the method limit to a session built elsewhere, unless that session chose its own."""
-    key, spark_default, limit = METHOD_LIMIT
-    if spark.conf.get(key, spark_default) == spark_default:
-        spark.conf.set(key, limit)
+# Whole-stage code for a wide projection is one method, and the JVM only interprets methods above 8000 bytes. With this
+# limit Spark falls back to smaller generated methods there, which the JVM compiles: cleaning all 32 columns runs several
+# times faster. Sessions built elsewhere should set it too.
+DEFAULTS["spark.sql.codegen.hugeMethodLimit"] = "8000"
 
 
 def build_session(app: str = "starfold", master: str | None = None, **conf: str) -> SparkSession:
@@ -65,7 +56,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="starfold-")
         spark.conf.set("spark.checkpoint.dir", root)
+        _delete_on_exit(spark, root)
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _delete_on_exit(spark, path)
+    return path
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path

@@ -26,3 +26,20 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _folder(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, its folder included."""
+    fs, hadoop_path = _folder(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a file that readers see."""
+    return any(not name.startswith(("_", ".")) for name in child_names(spark, path))
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in order."""
+    fs, hadoop_path = _folder(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(hadoop_path) or ())

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from starfold.paths import dated
+from starfold.paths import one_day
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -17,7 +17,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_day(df: DataFrame, base: str, day: str | date, mode: str = "overwrite") -> None:
     """One day folder; the default makes a rerun replace the day."""
-    df.write.mode(mode).parquet(dated(base, day))
+    df.write.mode(mode).parquet(one_day(base, day))
 
 
 def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwrite", dynamic: bool = False) -> None:

@@ -1,21 +1,21 @@
 """Gold tables.
 
-With the Delta package on the classpath a gold table is a Delta table. Without
-it, a table is a folder of full Parquet snapshots: every replacement is written
-beside the one being read, and Spark's own ``_SUCCESS`` file makes it current,
-so a lost executor or a failed job never damages what readers see. One writer
-per table at a time is assumed.
+A gold table is either a Delta table or a folder of Parquet snapshots; which one is said by the caller, and a folder that
+holds the other form is refused. A snapshot is the whole table, or one folder per load date with numbered versions. What is
+written becomes visible with an empty ``_COMMITTED`` file that follows it, so a lost executor or a failed job never changes
+what readers see. One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.operators.merge import known_among, merge_frames, not_in
+from starfold.operators.merge import known_among, merge_frames, newest, not_in
+from starfold.session import scratch_dir
 from starfold.sources import files
 
 try:
@@ -24,7 +24,10 @@ except ImportError:
     DeltaTable = None
 
 LOAD_DATE = "load_date"
+VERSION = "version"
 PREFIX = "snapshot-"
+COMMITTED = "_COMMITTED"
+SNAPSHOTS, DELTA = "snapshots", "delta"
 
 
 def with_load_date(df: DataFrame, load_date: str) -> DataFrame:
@@ -32,10 +35,9 @@ def with_load_date(df: DataFrame, load_date: str) -> DataFrame:
 
 
 class SnapshotTable:
-    """A Parquet table replaced as a whole, or appended to by load date.
+    """A Parquet table replaced as a whole, or loaded by load date.
 
-    ``schema`` spares the look into a file footer and lets a table whose batches
-    were all empty be read.
+    ``schema`` spares the look into a file footer and lets a table whose batches were all empty be read.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
@@ -45,11 +47,14 @@ class SnapshotTable:
 
     def snapshots(self) -> list[str]:
         """Finished snapshots, oldest first."""
-        return [
-            name
-            for name in files.child_names(self.spark, self.path)
-            if name.startswith(PREFIX) and files.exists(self.spark, f"{self.path}/{name}/_SUCCESS")
-        ]
+        return self._committed(self.path, PREFIX)
+
+    def _committed(self, path: str, prefix: str) -> list[str]:
+        names = files.child_names(self.spark, path)
+        return [n for n in names if n.startswith(prefix) and files.exists(self.spark, f"{path}/{n}/{COMMITTED}")]
+
+    def _commit(self, path: str) -> None:
+        files.touch(self.spark, f"{path}/{COMMITTED}")
 
     def exists(self) -> bool:
         return bool(self.snapshots())
@@ -62,42 +67,79 @@ class SnapshotTable:
         number = int(taken[-1].removeprefix(PREFIX)) + 1 if taken else 1
         return f"{self.path}/{PREFIX}{number:08d}"
 
+    def batches(self, snapshot: str) -> dict[str, list[str]]:
+        """Load dates of a snapshot with the folders of their current versions: a replacement and what was appended."""
+        found = {}
+        for name in files.child_names(self.spark, snapshot):
+            if name.startswith(f"{LOAD_DATE}="):
+                versions = self._committed(f"{snapshot}/{name}", f"{VERSION}=")
+                replaced = [v for v in versions if v.endswith("r")]
+                live = [v for v in versions if not replaced or v >= replaced[-1]]
+                found[name.removeprefix(f"{LOAD_DATE}=")] = [f"{snapshot}/{name}/{v}" for v in live]
+        return found
+
     def read(self) -> DataFrame:
-        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return reader.parquet(self.current())
+        """The current rows; of a table loaded by date only the folders of current versions are listed."""
+        snapshot = self.current()
+        batches = self.batches(snapshot)
+        reader = self.spark.read
+        if not batches:
+            return (reader if self.schema is None else reader.schema(self.schema)).parquet(snapshot)
+        if self.schema is not None:
+            reader = reader.schema(T.StructType([*self.schema, T.StructField(VERSION, T.StringType())]))
+        folders = [path for date in batches for path in batches[date] if files.has_data(self.spark, path)]
+        if not folders and self.schema is None:
+            folders = [path for date in batches for path in batches[date]]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return reader.option("basePath", snapshot).parquet(*folders).drop(VERSION)
 
     def replace(self, df: DataFrame) -> None:
-        df.write.parquet(self.next())
+        path = self.next()
+        df.write.parquet(path)
+        self._commit(path)
 
     def upsert(self, df: DataFrame, key: Sequence[str], newer_by: str | None = None) -> None:
         """Create the table on first use, merge into it afterwards."""
         self.replace(merge_frames(self.read(), df, key, newer_by) if self.exists() else df)
 
     def load_batch(self, df: DataFrame, load_date: str) -> None:
-        """Make ``df`` the rows of one load date; loading the date again replaces them.
-
-        The partition is swapped in when the job commits. An empty ``df`` has no
-        partition to swap in and leaves what is stored.
-        """
-        if not self.exists():
-            return self.replace_with_batch(df, load_date)
-        writer = with_load_date(df, load_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(LOAD_DATE).parquet(self.current())
+        """Make ``df`` the rows of one load date; loading the date again replaces them, also by nothing."""
+        self.load_batches(with_load_date(df, load_date), [load_date])
 
     def append_batch(self, df: DataFrame, load_date: str) -> None:
         """Add ``df`` without looking at what is stored."""
-        if not self.exists():
-            return self.replace_with_batch(df, load_date)
-        with_load_date(df, load_date).write.mode("append").partitionBy(LOAD_DATE).parquet(self.current())
+        self.load_batches(with_load_date(df, load_date), [load_date], append=True)
+
+    def load_batches(self, df: DataFrame, load_dates: Iterable[str], append: bool = False) -> None:
+        """Make the rows of ``df``, which bear their load date, those of ``load_dates``, in one job."""
+        self._write_batches(df, load_dates, self.current() if self.exists() else self.next(), append)
 
     def replace_with_batch(self, df: DataFrame, load_date: str) -> None:
         """Start the table over with one load date."""
-        with_load_date(df, load_date).write.partitionBy(LOAD_DATE).parquet(self.next())
+        self._write_batches(with_load_date(df, load_date), [load_date], self.next())
+
+    def _write_batches(self, df: DataFrame, load_dates: Iterable[str], snapshot: str, append: bool = False) -> None:
+        dates = list(load_dates)
+        taken = [n for d in dates for n in files.child_names(self.spark, f"{snapshot}/{LOAD_DATE}={d}") if n.startswith(VERSION)]
+        number = max((int(n.removeprefix(f"{VERSION}=")[:8]) for n in taken), default=0) + 1
+        version = f"{number:08d}{'a' if append else 'r'}"
+        rows = df.withColumn(VERSION, F.lit(version))
+        rows.write.mode("append").partitionBy(LOAD_DATE, VERSION).parquet(snapshot)
+        for load_date in dates:
+            self._commit(f"{snapshot}/{LOAD_DATE}={load_date}/{VERSION}={version}")
+        self._commit(snapshot)
 
     def drop_old_snapshots(self, keep: int = 2) -> None:
-        """Free replaced snapshots; ``keep`` leaves the newest for readers still on them."""
+        """Free what is replaced; ``keep`` leaves the newest for readers still on them."""
         for name in self.snapshots()[: -max(keep, 1)]:
             files.delete(self.spark, f"{self.path}/{name}")
+        snapshot = self.current() if self.exists() else None
+        for load_date, live in self.batches(snapshot).items() if snapshot else ():
+            folder = f"{snapshot}/{LOAD_DATE}={load_date}"
+            old = [v for v in self._committed(folder, f"{VERSION}=") if f"{folder}/{v}" < min(live)]
+            for name in old[: len(old) + 1 - max(keep, 1)]:
+                files.delete(self.spark, f"{folder}/{name}")
 
 
 class DeltaBackedTable(SnapshotTable):
@@ -115,23 +157,18 @@ class DeltaBackedTable(SnapshotTable):
     def upsert(self, df: DataFrame, key: Sequence[str], newer_by: str | None = None) -> None:
         if not self.exists():
             return self.replace(df)
-        same_key = " AND ".join(f"stored.{k} = batch.{k}" for k in key)
-        newer = None if newer_by is None else (
-            f"stored.{newer_by} IS NULL OR batch.{newer_by} >= stored.{newer_by}"
-        )
-        merge = DeltaTable.forPath(self.spark, self.path).alias("stored").merge(df.alias("batch"), same_key)
-        merge.whenMatchedUpdateAll(condition=newer).whenNotMatchedInsertAll().execute()
-
-    def load_batch(self, df: DataFrame, load_date: str) -> None:
-        writer = with_load_date(df, load_date).write.format("delta").partitionBy(LOAD_DATE).mode("overwrite")
-        if self.exists():
-            writer = writer.option("replaceWhere", f"{LOAD_DATE} = date'{load_date}'")
+        rows = df if newer_by is None else newest(self.read(), df, key, newer_by)
+        same_key = " AND ".join(f"stored.{k} <=> batch.{k}" for k in key)
+        merge = DeltaTable.forPath(self.spark, self.path).alias("stored").merge(rows.alias("batch"), same_key)
+        merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+
+    def load_batches(self, df: DataFrame, load_dates: Iterable[str], append: bool = False) -> None:
+        writer = df.write.format("delta").partitionBy(LOAD_DATE).mode("append" if append else "overwrite")
+        if self.exists() and not append:
+            dates = ", ".join(f"date'{d}'" for d in load_dates)
+            writer = writer.option("replaceWhere", f"{LOAD_DATE} in ({dates})")
         writer.save(self.path)
 
-    def append_batch(self, df: DataFrame, load_date: str) -> None:
-        writer = with_load_date(df, load_date).write.format("delta").partitionBy(LOAD_DATE)
-        writer.mode("append").save(self.path)
-
     def replace_with_batch(self, df: DataFrame, load_date: str) -> None:
         writer = with_load_date(df, load_date).write.format("delta").partitionBy(LOAD_DATE)
         writer.mode("overwrite").save(self.path)
@@ -140,25 +177,48 @@ class DeltaBackedTable(SnapshotTable):
         """Delta keeps and vacuums its own history."""
 
 
-def gold_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> SnapshotTable:
-    """Delta where the session has its extension, Parquet snapshots otherwise."""
-    extensions = spark.conf.get("spark.sql.extensions", None) or ""
-    if DeltaTable is not None and "DeltaSparkSessionExtension" in extensions:
-        return DeltaBackedTable(spark, path)
-    return SnapshotTable(spark, path, schema)
+def gold_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, form: str = SNAPSHOTS
+) -> SnapshotTable:
+    """A gold table in the form asked for, ``snapshots`` or ``delta``; never in the folder of the other form."""
+    found = DELTA if files.exists(spark, f"{path}/_delta_log") else None
+    if found is None and any(name.startswith(PREFIX) for name in files.child_names(spark, path)):
+        found = SNAPSHOTS
+    if form not in (SNAPSHOTS, DELTA) or found not in (None, form):
+        raise ValueError(f"{path} holds {found or 'no table'} and cannot be used as {form}")
+    if form == SNAPSHOTS:
+        return SnapshotTable(spark, path, schema)
+    if DeltaTable is None:
+        raise ValueError("delta tables need the delta package")
+    return DeltaBackedTable(spark, path)
 
 
 def only_unknown(
-    table: SnapshotTable, batch: DataFrame, key: Sequence[str], load_date: str | None = None
+    table: SnapshotTable,
+    batch: DataFrame,
+    key: Sequence[str],
+    load_dates: Iterable[str] = (),
+    hashed: tuple[str, F.Column] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
-    With a ``load_date`` that date's stored rows are left out of account (and
-    out of the scan), which makes a rerun see what the first run saw.
+    The stored rows of ``load_dates`` are left out of account (and out of the scan), which makes a rerun see what the
+    first run saw. ``hashed`` names a stored column with a hash of the key, and how the batch has it: then only that
+    column of the history is read, and the key itself only of the rows whose hash the batch has, if there are any.
     """
     if not table.exists():
         return batch
     stored = table.read()
-    if load_date is not None:
-        stored = stored.filter(F.col(LOAD_DATE) != F.lit(load_date).cast("date"))
+    dates = list(load_dates)
+    if dates:
+        stored = stored.filter(~F.col(LOAD_DATE).isin([F.lit(d).cast("date") for d in dates]))
+    if hashed is not None:
+        column, of_batch = hashed
+        met = known_among(stored.select(column), batch.select(of_batch.alias(column)), [column])
+        path = scratch_dir(batch.sparkSession, "known-hashes")
+        met.write.parquet(path)
+        met = batch.sparkSession.read.schema(met.schema).parquet(path)
+        if met.isEmpty():
+            return batch
+        stored = stored.join(met, column, "left_semi")
     return not_in(batch, known_among(stored, batch, key), key)

@@ -1,13 +1,16 @@
 from datetime import date
+from functools import partial
 
 import pytest
 
 from minifeed import CASES, row, write_csv, write_page
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from starfold.paths import LakePaths, dated, dated_range, days_between
 from starfold.plans.silver import load_csv, load_csv_by_dose_date, load_hits, silver_from_csv, silver_from_hits
 from starfold.schema import DOSE_DATE, FEED, HIT
-from starfold.sources.feed import read_feed_csv, read_hits_json, read_silver
+from starfold.sources.feed import read_feed_csv, read_hits_json, read_silver, read_untyped, with_day
+from starfold.sources.feed import read_silver as read_days
 from starfold.sources.sinks import jdbc_options, publish, warehouse_options, write_day, write_partitioned
 
 
@@ -99,6 +102,7 @@ def test_day_folders(spark, tmp_path):
     def days(frame):
         return sorted(r.day for r in frame.collect())
 
+    read_silver = partial(read_days, schema=T.StructType([T.StructField("day", T.StringType())]))
     assert days(read_silver(spark, base)) == ["2021-05-06", "2021-05-07", "2021-06-01"]
     assert days(read_silver(spark, base, "2021-05-07")) == ["2021-05-07"]
     assert days(read_silver(spark, base, "2021-05-07", "2021-06-02")) == ["2021-05-07", "2021-06-01"]

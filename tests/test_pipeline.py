@@ -112,7 +112,8 @@ def test_publish_gold(spark, tmp_path):
     for _ in range(2):
         pipeline.publish_gold(spark, paths, "parquet", lambda t: {"path": f"{tmp_path}/out/{t}"}, "2021-06-01")
     out = {t: spark.read.parquet(f"{tmp_path}/out/{t}") for t in [*DIMENSIONS, FACT]}
-    assert out["dm_pacientes"].count() == 3 and out[FACT].count() == 6
+    assert out["dm_pacientes"].count() == 3 and out[FACT].count() == 3
+    assert "last_dose" not in out["dm_pacientes"].columns
     assert LOAD_DATE not in out[FACT].columns
 
 
