@@ -14,5 +14,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
