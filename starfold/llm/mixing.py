@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.recovery import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
 # Hexadecimal digits of the key that name its range: 4096 ranges a source.
@@ -63,6 +65,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str
         F.col(key).alias("__key"), F.col(source).alias("__source"), F.col(size).cast("long").alias("__size"),
         F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("__at"),
     ).withColumn("__range", F.substring("__at", 1, RANGE_DIGITS))
+    # Three passes follow; written once, the sizes are not counted from the texts each time.
+    rows = written(rows, "mix-sizes")
     targets = source_targets(rows, "__source", "__size", cap)
     ranges = rows.groupBy("__source", "__range").agg(F.sum("__size").alias("__total"))
     starts = ranges.select(
