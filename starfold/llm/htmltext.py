@@ -53,6 +53,10 @@ DROPPED_WORDS = frozenset(
     "footnav masthead topbar share sharing social related recommended recommendations outbrain taboola widget widgets pagination "
     "pager skip toolbar".split()
 )
+# Beginnings of words that do so too.
+DROPPED_STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "adsby")
+# Inline elements whose class or id can name an advert or a notice.
+INLINE = frozenset("span ins a label font small".split())
 # Beside one of these words the ones above only describe a layout.
 SPARED_WORDS = frozenset("wrap wrapper layout container has with no page without body".split())
 
@@ -109,15 +113,17 @@ def parse(page: str) -> list[Node]:
     pieces: list[tuple[str, bool]] = []
     in_link = False
     anchors = 0
+    # The inline element being left out, and how deep in elements of its name.
+    hushed, depth = "", 0
 
     def flush() -> None:
         nonlocal anchors
-        if pieces:
+        if any(piece for piece, _ in pieces):
             text = " ".join(html.unescape("".join(piece for piece, _ in pieces)).split())
             if text:
                 linked = sum(len(" ".join(piece.split())) for piece, link in pieces if link)
                 here.parts.append(Block(text, min(linked, len(text)), anchors))
-            pieces.clear()
+        pieces.clear()
         anchors = 0
 
     def end(tags: set[str], within: set[str] | frozenset[str]) -> None:
@@ -132,11 +138,10 @@ def parse(page: str) -> list[Node]:
     position = 0
     while True:
         tag_match = _TAG.search(page, position)
+        if not hushed:
+            pieces.append((page[position : tag_match.start() if tag_match else len(page)], in_link))
         if tag_match is None:
-            pieces.append((page[position:], in_link))
             break
-        if tag_match.start() > position:
-            pieces.append((page[position : tag_match.start()], in_link))
         position = tag_match.end()
         tag = tag_match[2] or tag_match[5]
         if tag is None:
@@ -150,6 +155,11 @@ def parse(page: str) -> list[Node]:
             if not closing and not attributes.endswith("/"):
                 ending = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, position)
                 position = ending.end() if ending else len(page)
+        elif hushed and tag not in BLOCKS:
+            depth += (tag == hushed) * (-1 if closing else 1)
+            hushed = hushed if depth else ""
+        elif tag in INLINE and attributes and unwanted_inline(attributes):
+            hushed, depth = tag, 1
         elif tag == "a":
             in_link = not closing
             anchors += in_link
@@ -159,6 +169,7 @@ def parse(page: str) -> list[Node]:
                 flush()
         elif tag in BLOCKS:
             flush()
+            hushed, depth = "", 0
             if closing:
                 at = here
                 while at is not root and at.tag != tag:
@@ -204,7 +215,17 @@ def unwanted(node: Node) -> bool:
         return True
     if spared or words & SPARED_WORDS:
         return False
-    return bool(words & DROPPED_WORDS) or "header" in words and node.tag == "div" and not node.in_article
+    return dropping(words) or "header" in words and node.tag == "div" and not node.in_article
+
+
+def dropping(words: set[str]) -> bool:
+    return bool(words & DROPPED_WORDS) or any(word.startswith(DROPPED_STEMS) and word != "commentary" for word in words)
+
+
+def unwanted_inline(attributes: str) -> bool:
+    """Whether an inline element is an advert, a notice or the like, by the words of its class and id."""
+    values = [value for name, value in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id")]
+    return dropping({word.lower() for value in values for word in _WORDS.findall(html.unescape(value))})
 
 
 def prune(found: list[Node]) -> None:

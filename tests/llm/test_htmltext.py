@@ -44,6 +44,15 @@ def test_boilerplate_within_the_article_goes(junk):
     assert main_text(page(f"<article><h1>Title</h1><p>{P1}</p>{junk}<p>{P2}</p></article>")) == "\n\n".join(["Title", P1, P2])
 
 
+def test_inline_adverts_go():
+    body = f'<article><p>{P1} <span class="ad">Buy <span>now</span> here</span> on.</p><p><ins class="adsbygoogle">x{P2}</p><p>{P3}</p></article>'
+    assert main_text(page(body)) == "\n\n".join([f"{P1} on.", P3])
+    kept = '<article><p class="lead"><span class="title">Commentary</span> <a href="/x" class="link">stays</a></p></article>'
+    assert main_text(page(kept)) == "Commentary stays"
+    comments = f'<article><p>{P1}</p><p>{P2}</p></article><ol class="commentlist"><li>{P3}</li></ol>'
+    assert main_text(page(comments)) == f"{P1}\n\n{P2}"
+
+
 def test_siblings_are_kept():
     body = f"<div><h2>Title</h2><div><p>{P1}</p><p>{P2}</p></div><div><p>{P3}</p><p>{P1}</p></div><p>Short end.</p></div>"
     assert main_text(page(body)) == "\n\n".join(["Title", P1, P2, P3, P1, "Short end."])
