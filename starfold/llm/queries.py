@@ -136,13 +136,46 @@ def op9_tree_scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-@query
+# Every string of every text by its digest; hexadecimal text, so that bytes are pairs of characters.
+REPEATS_SQL = """
+    with hexed as (
+        select row_number() over () as row_id, doc_id, lower(hex(encode(coalesce(text, '')))) as bytes from documents),
+    starts as (
+        select row_id, unnest(range(0, octet_length(unhex(bytes)) - 199)) as start, bytes from hexed
+        where octet_length(unhex(bytes)) >= 200),
+    strings as (select row_id, start, md5(substr(bytes, 2 * start::bigint + 1, 400)) as string from starts),
+    repeated as (select row_id, start from strings qualify count(*) over (partition by string) > 1),
+    gaps as (
+        select *, lag(start) over (partition by row_id order by start) as previous from repeated),
+    islands as (
+        select *, sum(case when previous is null or start > previous + 200 then 1 else 0 end)
+                      over (partition by row_id order by start) as island
+        from gaps),
+    spans as (
+        select row_id, island, min(start) as low, max(start) + 200 as high from islands group by row_id, island),
+    pieces as (
+        select row_id, low, high, lag(high, 1, 0) over (partition by row_id order by low) as after from spans),
+    kept as (
+        select row_id, count(*) as n_spans, sum(high - low) as n_removed, max(high) as last,
+               string_agg(substr(any_bytes, 2 * after::bigint + 1, 2 * (low - after)::bigint), '' order by low) as bytes
+        from (select p.*, h.bytes as any_bytes from pieces p join hexed h using (row_id)) group by row_id)
+    select h.doc_id, (length(h.bytes) // 2)::bigint as n_bytes, coalesce(k.n_removed, 0)::bigint as n_removed,
+           coalesce(k.n_spans, 0)::bigint as n_spans,
+           sha256(unhex(case when k.row_id is null then h.bytes
+                             else k.bytes || substr(h.bytes, 2 * k.last::bigint + 1) end)) as kept_sha256
+    from hexed h left join kept k using (row_id)
+"""
+
+
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 200-byte strings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.without_repeats(docs, repeats.DIGESTS, repeats.digests)
 
 
+query(op1_suffix_array_dedup, REPEATS_SQL)
+
+
 @query
 def op10_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pseudo-likelihood of every document under a network trained on all of them."""
