@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starfold.llm import bpe, langid, mixing, repeats, simhash
 from starfold.llm.recovery import written
+from starfold.llm.registry import importable
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # SQL can say neither the learned languages nor the fingerprints; tests/llm compares with a plain version.
@@ -77,6 +78,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
