@@ -151,3 +151,18 @@ def test_command_line(spark, tmp_path):
     main([*root, "backfill", "--start", "2021-06-02", "--end", "2021-06-03"])
     main([*root, "bulk", "--date", "2021-06-01"])
     assert fact_ids(spark, paths) == ["1", "2", "3", "4", "5"]
+
+
+def test_command_line_of_all_days_and_dose_dates(spark, tmp_path):
+    root = ["--root", str(tmp_path)]
+    write_page(DAY1, tmp_path / FEED / "json/2021/06/01", indent=2)
+    write_page(DAY2, tmp_path / FEED / "json/2021/06/02", indent=2)
+    main([*root, "silver-json", "--date", "*"])
+    main([*root, "dimension", "all"])
+    main([*root, "fact", "--run-date", "2021-06-05", "--mode", "batch"])
+    main([*root, "fact", "--run-date", "2021-06-05", "--mode", "batch"])
+    paths = LakePaths(str(tmp_path))
+    assert fact_ids(spark, paths) == ["1", "2", "3", "4", "5"]
+    write_csv(DAY1 + DAY2, tmp_path / FEED / "csv")
+    main([*root, "bulk", "--date", "2021-06-05", "--by-dose-date", "--dose-from", "2021-06-01"])
+    assert fact_ids(spark, paths) == ["4", "5"]
