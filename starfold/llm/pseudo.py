@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ HIDDEN = 16
 BATCH = 8192
 RATE = 0.1
 SEED = 42
-DOCS_AT_ONCE = 512
+BYTES_AT_ONCE = 1 << 21
+WORDS_AT_ONCE = 1 << 17
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([code + 32 if 65 <= code <= 90 else code for code in range(256)], np.uint64) + np.uint64(1)
@@ -59,12 +61,22 @@ def word_bins(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, last = np.flatnonzero(starts), np.flatnonzero(stops) + 1
     if not len(first):
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    bins = np.concatenate([
+        _hashed(data, inside, first[low : low + WORDS_AT_ONCE], last[low : low + WORDS_AT_ONCE])
+        for low in range(0, len(first), WORDS_AT_ONCE)
+    ])
+    return bins, np.searchsorted(limits, first, "right") - 1
+
+
+def _hashed(data: np.ndarray, inside: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Bins of consecutive words, given where each begins and ends."""
     lengths = last - first
-    letters = np.flatnonzero(inside)
-    place = np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    hashes = np.add.reduceat(_LOWER[data[letters]] * _WEIGHTS[place & 63], np.cumsum(lengths) - lengths)
+    heads = np.cumsum(lengths) - lengths
+    letters = data[first[0] : last[-1]][inside[first[0] : last[-1]]]
+    place = np.arange(len(letters)) - np.repeat(heads, lengths)
+    hashes = np.add.reduceat(_LOWER[letters] * _WEIGHTS[place & 63], heads)
     hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return (hashes >> np.uint64(48)).astype(np.int64), np.searchsorted(limits, first, "right") - 1
+    return (hashes >> np.uint64(48)).astype(np.int64)
 
 
 def windows(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -77,9 +89,14 @@ def windows(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``BYTES_AT_ONCE`` of text, which is the last column, or one longer text."""
     for batch in batches:
-        for low in range(0, batch.num_rows, DOCS_AT_ONCE):
-            yield batch.slice(low, DOCS_AT_ONCE)
+        sizes = pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // BYTES_AT_ONCE
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for low, high in zip(np.r_[0, cuts].tolist(), np.r_[cuts, batch.num_rows].tolist()):
+            if high > low:
+                yield batch.slice(low, high - low)
 
 
 def count_bins(docs: DataFrame, text: str = "text") -> DataFrame:

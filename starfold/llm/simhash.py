@@ -17,6 +17,7 @@ shingle is one shingle. Null ids are fingerprinted and grouped, but name no comp
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
@@ -33,8 +34,9 @@ BITS_APART = 2
 SEED = 42
 # Keys with more fingerprints than this are split by further bits.
 CROWDED = 4096
-HASHES_AT_ONCE = 1 << 16
+STRETCH_BYTES = 1 << 19
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _PAIRS = list(combinations(range(4), 2))
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -47,18 +49,28 @@ _CHOICES = np.stack([np.random.default_rng(SEED + block).choice(WIDE_BITS, BLOCK
 
 
 def _shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
-    """Hashes of all shingles, a stretch of the text at a time."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return
+    """Hashes of all shingles, a stretch of the text at a time; the last words of one go on into the next."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    words: list[bytes] = []
+    start, whole = 0, True
+    while start < len(data):
+        gap = _GAP.search(data, start + STRETCH_BYTES)
+        end = gap.start() if gap else len(data)
+        words += data[start:end].split()
+        start = end
+        if len(words) >= shingle:
+            yield _hashes(words, shingle)
+            words, whole = words[len(words) - shingle + 1 :], False
+    if words and whole:
+        yield _hashes(words, len(words))
+
+
+def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     joined = b" ".join(words)
     ends = list(accumulate(len(word) + 1 for word in words))
     starts = [0, *ends]
-    ends = ends[min(shingle, len(words)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    for low in range(0, len(ends), HASHES_AT_ONCE):
-        spans = zip(starts[low : low + HASHES_AT_ONCE], ends[low : low + HASHES_AT_ONCE], strict=False)
-        yield np.array([digest(joined[start : end - 1], SEED) for start, end in spans], dtype="<u8")
+    return np.array([digest(joined[low : high - 1], SEED) for low, high in zip(starts, ends[shingle - 1 :])], dtype="<u8")
 
 
 def _majority(stretches: Iterator[np.ndarray], width: int) -> np.ndarray:

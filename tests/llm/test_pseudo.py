@@ -25,6 +25,18 @@ def test_words_and_rows():
     assert len(pseudo.word_bins(pa.array([None, "", " "], pa.string()))[0]) == 0
 
 
+def test_words_and_slices_of_bounded_size(monkeypatch):
+    texts = pa.array([*TEXTS, words(3, 500), "", None, words(4, 10)])
+    whole = pseudo.word_bins(texts)
+    monkeypatch.setattr(pseudo, "WORDS_AT_ONCE", 7)
+    again = pseudo.word_bins(texts)
+    assert (whole[0] == again[0]).all() and (whole[1] == again[1]).all()
+    monkeypatch.setattr(pseudo, "BYTES_AT_ONCE", 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], ["i", "text"])
+    parts = list(pseudo._slices([batch, batch.slice(0, 0)]))
+    assert len(parts) > 5 and [i for part in parts for i in part.column(0).to_pylist()] == list(range(len(texts)))
+
+
 def test_windows_end_with_the_text():
     ids, rows = np.array([5, 6, 7, 8]), np.array([0, 0, 2, 2])
     edge = pseudo.EDGE

@@ -50,8 +50,10 @@ def test_fingerprints():
 def test_long_texts_in_stretches(monkeypatch):
     text = words(7, 1000)
     whole = simhash.fingerprint(text), simhash.wide_fingerprint(text)
-    monkeypatch.setattr(simhash, "HASHES_AT_ONCE", 17)
-    assert (simhash.fingerprint(text), simhash.wide_fingerprint(text)) == whole
+    for size in (1, 17, 100):
+        monkeypatch.setattr(simhash, "STRETCH_BYTES", size)
+        assert (simhash.fingerprint(text), simhash.wide_fingerprint(text)) == whole
+        assert [simhash.fingerprint(one) for one in TEXTS] == [brute_print(one) for one in TEXTS]
 
 
 @pytest.mark.parametrize("crowded", [2, 4096])
