@@ -376,7 +376,9 @@ def without_repeats(
         _context_rows(length),
         "h long, block int, blocks int, d long, n long, at long, left binary, right binary, anchor binary",
     )
-    dealt = contexts.repartition("h", "block").sortWithinPartitions("h", "block", "d", "n", "at")
+    # A suffix array costs far more than its bytes tell: partitions are not to be merged by their size.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = contexts.repartition(tasks, "h", "block").sortWithinPartitions("h", "block", "d", "n", "at")
     found = written(
         dealt.mapInArrow(_block_rows(length), "d long, n long, low long, high long, h long, digest binary"), "repeats-found"
     )
