@@ -2,13 +2,17 @@
 
 A small network sees the two words before and the two after a place and predicts the word that is masked there: each
 neighbour adds the vector of its word at that distance, a tanh layer follows, and the word is predicted as a class of words
-and a member of the class. A document's score is the sum over all its words of the log-probability of each given the words on
-both sides.
-
-The vocabulary is the most frequent of hashed words, counted over all documents; all other words are one. The network is
-trained in numpy by every task on all of its documents, from the same start, and the tasks' networks are averaged by the
-number of words they saw. Both steps go through every document, once each by default. The average depends on how the input
-is split into tasks, so scores are compared within a run.
+and a member of the class. The 1,023 most frequent words are members of 32 classes; all others are one more class, whose
+members are the leaves of a binary tree. A document's score is the sum over all its words of the log-probability of each given
+the words on both sides.
+
+The vocabulary is every word that occurs ``FREQUENT`` times or more in all documents, and the 4,095 most frequent in any case,
+so it grows with the corpus; words meet by 64-bit hashes. Each word beyond it has the probability of an unknown word there
+times that of its spelling, by a model of byte trigrams counted over all such words. The network is trained in numpy by every
+task on all of its documents, from the same start, and the tasks' networks are averaged: what all words share by the number of
+words a task saw, a word's vectors and a tree node's weights by how often the task met them. All steps go through every
+document, once each by default. The driver and each task hold one network, of some 330 bytes a word of the vocabulary. The
+average depends on how the input is split into tasks, so scores are compared within a run.
 
 Words are what stands between ASCII white space, A-Z in lower case. Null and empty texts have no words and score 0.
 """
@@ -24,7 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BINS = 1 << 16
+# Words seen so often are in the vocabulary, and so many words in any case.
+FREQUENT = 50
+LEAST = 4095
 CLASSES = MEMBERS = 32
 WORDS = CLASSES * MEMBERS
 EDGE = WORDS
@@ -35,6 +41,12 @@ RATE = 0.1
 SEED = 42
 BYTES_AT_ONCE = 1 << 21
 WORDS_AT_ONCE = 1 << 17
+# Different words that a task counts before it hands its counts on.
+COUNTED_AT_ONCE = 1 << 20
+# Bytes of words, lower case and from 1 on, and the end of a word.
+LETTERS = 257
+# How many sightings the shorter context's guess is worth in a spelling.
+TRUST = 5.0
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([code + 32 if 65 <= code <= 90 else code for code in range(256)], np.uint64) + np.uint64(1)
@@ -44,12 +56,18 @@ Params = list[np.ndarray]
 
 
 def word_bins(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Of a string column: the bin of every word, and the row it is in."""
+    """Of a string column: the hash of every word, and the row it is in."""
+    return _words(column)[:2]
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hash and row of every word, all bytes, and where in them each word begins and ends."""
     column = column.cast(pa.large_binary())
     _, offsets, buffer = column.buffers()
     ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    none = np.empty(0, np.int64)
     if ends[-1] == ends[0]:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint8), none, none
     data = np.frombuffer(buffer, np.uint8)[ends[0] : ends[-1]]
     limits = ends - ends[0]
     inside = ~_SPACE[data]
@@ -60,23 +78,23 @@ def word_bins(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     stops[:-1] &= ~inside[1:] | apart[1:-1]
     first, last = np.flatnonzero(starts), np.flatnonzero(stops) + 1
     if not len(first):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, data, none, none
     bins = np.concatenate([
         _hashed(data, inside, first[low : low + WORDS_AT_ONCE], last[low : low + WORDS_AT_ONCE])
         for low in range(0, len(first), WORDS_AT_ONCE)
     ])
-    return bins, np.searchsorted(limits, first, "right") - 1
+    return bins, np.searchsorted(limits, first, "right") - 1, data, first, last
 
 
 def _hashed(data: np.ndarray, inside: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Bins of consecutive words, given where each begins and ends."""
+    """Hashes of consecutive words, given where each begins and ends."""
     lengths = last - first
     heads = np.cumsum(lengths) - lengths
     letters = data[first[0] : last[-1]][inside[first[0] : last[-1]]]
     place = np.arange(len(letters)) - np.repeat(heads, lengths)
     hashes = np.add.reduceat(_LOWER[letters] * _WEIGHTS[place & 63], heads)
     hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return (hashes >> np.uint64(48)).astype(np.int64)
+    return (hashes ^ (hashes >> np.uint64(29))).view(np.int64)
 
 
 def windows(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -99,32 +117,124 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(low, high - low)
 
 
-def count_bins(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``bin`` and ``n``: how many words of all documents fall into each bin."""
+def _counted(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values and the sum of each one's counts."""
+    found, at = np.unique(values, return_inverse=True)
+    return found, np.bincount(at, counts, len(found)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BINS, np.int64)
-        for batch in _slices(batches):
-            counts += np.bincount(word_bins(batch.column(0))[0], minlength=BINS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], ["bin", "n"])
 
-    return docs.select(text).mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+def _count(docs: DataFrame, text: str, name: str, seen) -> DataFrame:
+    """``name`` and ``n``: how often ``seen`` gives each whole number for the texts of all documents."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in _slices(batches):
+            for more in seen(batch.column(0)):
+                found, n = np.unique(more, return_counts=True)
+                values, counts = _counted(np.r_[values, found], np.r_[counts, n])
+                if len(values) > COUNTED_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], [name, "n"])
+                    values, counts = values[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], [name, "n"])
 
-def vocabulary(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The word id of each bin: 1 for the most frequent bin, and so on; 0 for all bins beyond the vocabulary."""
-    top = count_bins(docs, text).orderBy(F.desc("n"), "bin").limit(WORDS - 1).collect()
-    ids = np.zeros(BINS, np.int64)
-    ids[[row["bin"] for row in top]] = np.arange(1, len(top) + 1)
-    return ids
+    return docs.select(text).mapInArrow(run, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
 
 
-def fresh() -> Params:
-    """Vectors of the words at each offset, hidden bias, class weights and bias, member weights and bias."""
+def spelled(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of words, ends included, as numbers, and the word each is of."""
+    lengths = last - first
+    heads = np.cumsum(lengths + 2) - lengths
+    word = np.repeat(np.arange(len(first)), lengths)
+    place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    stream = np.zeros(int((lengths + 2).sum()) + 1, np.int64)
+    at = heads[word] + place
+    stream[at] = _LOWER[data[first[word] + place]]
+    at = np.r_[at, heads + lengths]
+    return (stream[at - 2] * LETTERS + stream[at - 1]) * LETTERS + stream[at], np.r_[word, np.arange(len(first))]
+
+
+class Spelling:
+    """Chances of a byte after two others, backed by those after one and after none."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        order = np.argsort(codes)
+        self.codes, self.counts = codes[order], counts[order]
+        pairs = np.bincount(self.codes % LETTERS**2, self.counts, LETTERS**2).reshape(LETTERS, LETTERS)
+        single = (pairs.sum(axis=0) + 1) / (pairs.sum() + LETTERS)
+        self.short = ((pairs + TRUST * single) / (pairs.sum(axis=1, keepdims=True) + TRUST)).ravel()
+        self.before = np.bincount(self.codes // LETTERS, self.counts, LETTERS**2)
+
+    def log_chances(self, codes: np.ndarray) -> np.ndarray:
+        seen = np.zeros(len(codes))
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            seen = np.where(self.codes[at] == codes, self.counts[at], 0)
+        return np.log((seen + TRUST * self.short[codes % LETTERS**2]) / (self.before[codes // LETTERS] + TRUST))
+
+
+class Vocabulary:
+    """Word ids by hash: 1 for the most frequent word, and so on, without ``EDGE``; 0 for what is not in it."""
+
+    def __init__(self, hashes: np.ndarray):
+        order = np.argsort(hashes.view(np.uint64))
+        # One more of each ends the last run; no word can be found there.
+        self.hashes, self.ids = np.append(hashes[order], 0), np.append(order + 1 + (order + 1 >= EDGE), 0)
+        # The first bits of a hash name a run of the sorted hashes.
+        self.shift = np.uint64(64 - (len(hashes).bit_length() + 3))
+        slots = hashes[order].view(np.uint64) >> self.shift
+        self.starts = np.searchsorted(slots, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.starts).max())
+        self.rare = max(0, len(hashes) + 1 - WORDS)
+        self.spelling = Spelling(np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
+        wanted = np.asarray(hashes, np.int64)
+        at = self.starts[wanted.view(np.uint64) >> self.shift]
+        ids = np.zeros(wanted.shape, np.int64)
+        for step in range(self.longest):
+            here = np.minimum(at + step, len(self.hashes) - 1)
+            ids = np.where(self.hashes[here] == wanted, self.ids[here], ids)
+        return ids
+
+
+def _unknown(vocabulary: Vocabulary, found: tuple[np.ndarray, ...], ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the words without id, some at a time: their trigrams, and the row each is in."""
+    _, rows, data, first, last = found
+    unknown = np.flatnonzero(ids == 0)
+    for low in range(0, len(unknown), WORDS_AT_ONCE):
+        part = unknown[low : low + WORDS_AT_ONCE]
+        codes, word = spelled(data, first[part], last[part])
+        yield codes, rows[part[word]]
+
+
+def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
+    """All frequent words of all documents, and the spelling of the others."""
+    counts = _count(docs, text, "hash", lambda column: [word_bins(column)[0]])
+    top = counts.filter(F.col("n") >= FREQUENT).toArrow()
+    if top.num_rows < LEAST:
+        top = counts.orderBy(F.desc("n"), "hash").limit(LEAST).toArrow()
+    hashes, n = (top.column(name).to_numpy().astype(np.int64) for name in ("hash", "n"))
+    known = Vocabulary(hashes[np.lexsort((hashes, -n))])
+
+    def trigrams(column: pa.Array) -> Iterator[np.ndarray]:
+        found = _words(column)
+        return (codes for codes, _ in _unknown(known, found, known[found[0]]))
+
+    seen = _count(docs, text, "code", trigrams).toArrow()
+    known.spelling = Spelling(*(seen.column(name).to_numpy().astype(np.int64) for name in ("code", "n")))
+    return known
+
+
+def fresh(rare: int = 0) -> Params:
+    """Vectors of the words at each offset, hidden bias, class weights and bias, member weights and bias.
+
+    With ``rare`` words from id ``EDGE`` + 1 on there are one more class and its tree: a node's weights and last its bias.
+    """
     draws = np.random.default_rng(SEED)
-    shapes = [(len(OFFSETS) * (WORDS + 1), HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,), (CLASSES, HIDDEN, MEMBERS), (CLASSES, MEMBERS)]
-    return [draws.normal(0, 0.1, shape).astype(np.float32) if len(shape) > 1 else np.zeros(shape, np.float32) for shape in shapes]
+    classes = CLASSES + (rare > 0)
+    shapes = [(len(OFFSETS) * (WORDS + 1 + rare), HIDDEN), (HIDDEN,), (HIDDEN, classes), (classes,), (CLASSES, HIDDEN, MEMBERS), (CLASSES, MEMBERS)]
+    params = [draws.normal(0, 0.1, shape).astype(np.float32) if len(shape) > 1 else np.zeros(shape, np.float32) for shape in shapes]
+    return params + ([np.zeros((rare, HIDDEN + 1), np.float32)] if rare else [])
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -141,18 +251,20 @@ class Pass:
     hidden: np.ndarray
     classes: np.ndarray
     members: list[tuple[int, np.ndarray, np.ndarray]]
+    # Of the words in the tree: their places, the nodes above them, the nodes' weights, and the slopes there.
+    tree: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None
 
 
 def forward(params: Params, around: np.ndarray, ids: np.ndarray) -> Pass:
     """Log-probability of each word given its window; ``around`` has a row per offset."""
-    vectors, hidden_bias, class_w, class_b, member_w, member_b = params
-    rows = around + (np.arange(len(OFFSETS)) * (WORDS + 1))[:, None]
+    vectors, hidden_bias, class_w, class_b, member_w, member_b, *nodes_w = params
+    rows = around + (np.arange(len(OFFSETS)) * (len(vectors) // len(OFFSETS)))[:, None]
     total = np.take(vectors, rows[0], axis=0)
     for row in rows[1:]:
         total += np.take(vectors, row, axis=0)
     hidden = np.tanh(total + hidden_bias)
     classes = _softmax(hidden @ class_w + class_b)
-    kinds = (ids // MEMBERS).astype(np.int8)
+    kinds = np.minimum(ids // MEMBERS, CLASSES).astype(np.int8)
     log_p = np.log(classes[np.arange(len(ids)), kinds])
     order = np.argsort(kinds, kind="stable")
     ends = np.cumsum(np.bincount(kinds, minlength=CLASSES))
@@ -163,14 +275,46 @@ def forward(params: Params, around: np.ndarray, ids: np.ndarray) -> Pass:
             chances = _softmax(hidden[here] @ member_w[kind] + member_b[kind])
             log_p[here] += np.log(chances[np.arange(len(here)), ids[here] % MEMBERS])
             members.append((kind, here, chances))
-    return Pass(log_p, rows, hidden, classes, members)
+    here, tree = order[ends[CLASSES - 1] :], None
+    if len(here):
+        # Leaves are numbered on from the nodes as in a heap: half a number is the node above, its last bit the side.
+        leaves = ids[here] - EDGE - 1 + len(nodes_w[0])
+        up = np.arange(int(leaves.max()).bit_length() - 1)
+        nodes, side = leaves[:, None] >> (up + 1), np.where(leaves[:, None] >> up & 1, 1, -1).astype(hidden.dtype)
+        weights = np.take(nodes_w[0], nodes, axis=0)
+        logits = np.einsum("ndh,nh->nd", weights[:, :, :-1], hidden[here]) + weights[:, :, -1]
+        odds = np.where(nodes > 0, np.exp(np.minimum(-side * logits, 80)), 0)
+        log_p[here] -= np.log1p(odds).sum(axis=1)
+        tree = here, nodes, weights, -side * odds / (1 + odds)
+    return Pass(log_p, rows, hidden, classes, members, tree)
 
 
-def gradients(params: Params, done: Pass, ids: np.ndarray) -> Params:
-    """Of the mean negative log-probability; uses up what the pass has left."""
-    _, _, class_w, _, member_w, member_b = params
+@dataclass
+class Sparse:
+    """Gradient of the rows that a batch has met, and how often it has met each."""
+
+    rows: np.ndarray
+    values: np.ndarray
+    met: np.ndarray
+
+
+def _row_sums(rows: np.ndarray, columns: Iterator[np.ndarray], width: int, size: int) -> Sparse:
+    seen, place = np.zeros(size, bool), np.empty(size, np.int32)
+    seen[rows] = True
+    found = np.flatnonzero(seen)
+    place[found] = np.arange(len(found))
+    at = place[rows]
+    values = np.empty((len(found), width), np.float32)
+    for number, column in enumerate(columns):
+        values[:, number] = np.bincount(at, column, len(found))
+    return Sparse(found, values, np.bincount(at, minlength=len(found)))
+
+
+def _gradients(params: Params, done: Pass, ids: np.ndarray) -> list[np.ndarray | Sparse]:
+    """Of the mean negative log-probability, sparse for vectors and tree; uses up what the pass has left."""
+    vectors, _, class_w, _, member_w, member_b, *nodes_w = params
     count = np.float32(len(ids))
-    done.classes[np.arange(len(ids)), ids // MEMBERS] -= 1
+    done.classes[np.arange(len(ids)), np.minimum(ids // MEMBERS, CLASSES)] -= 1
     back = done.classes @ class_w.T
     member_w_g, member_b_g = np.zeros_like(member_w), np.zeros_like(member_b)
     for kind, here, chances in done.members:
@@ -178,60 +322,114 @@ def gradients(params: Params, done: Pass, ids: np.ndarray) -> Params:
         member_w_g[kind] = done.hidden[here].T @ chances
         member_b_g[kind] = chances.sum(axis=0)
         back[here] += chances @ member_w[kind].T
+    tree = []
+    if nodes_w:
+        tree = [Sparse(np.empty(0, np.int64), np.empty((0, HIDDEN + 1), np.float32), np.empty(0, np.int64))]
+    if done.tree is not None:
+        here, nodes, weights, slopes = done.tree
+        back[here] += np.einsum("nd,ndh->nh", slopes, weights[:, :, :-1])
+        real = nodes > 0
+        flat, slope, word = nodes[real], slopes[real], np.broadcast_to(here[:, None], nodes.shape)[real]
+        columns = (slope * done.hidden[word, column] if column < HIDDEN else slope for column in range(HIDDEN + 1))
+        tree = [_row_sums(flat, columns, HIDDEN + 1, len(nodes_w[0]))]
     back *= 1 - done.hidden**2
-    flat = done.rows.ravel()
-    vectors_g = np.empty((len(OFFSETS) * (WORDS + 1), HIDDEN), np.float32)
-    for column in range(HIDDEN):
-        vectors_g[:, column] = np.bincount(flat, np.tile(back[:, column], len(OFFSETS)), len(vectors_g))
-    found = [vectors_g, back.sum(axis=0), done.hidden.T @ done.classes, done.classes.sum(axis=0), member_w_g, member_b_g]
-    return [gradient / count for gradient in found]
+    columns = (np.tile(back[:, column], len(OFFSETS)) for column in range(HIDDEN))
+    vectors_g = _row_sums(done.rows.ravel(), columns, HIDDEN, len(vectors))
+    found = [vectors_g, back.sum(axis=0), done.hidden.T @ done.classes, done.classes.sum(axis=0), member_w_g, member_b_g, *tree]
+    for gradient in found:
+        values = gradient.values if isinstance(gradient, Sparse) else gradient
+        values /= count
+    return found
 
 
-def train_on(params: Params, squares: Params, around: np.ndarray, ids: np.ndarray) -> None:
-    """One Adagrad step a batch, in place."""
+def gradients(params: Params, done: Pass, ids: np.ndarray) -> Params:
+    """Of the mean negative log-probability; uses up what the pass has left."""
+    found = []
+    for value, gradient in zip(params, _gradients(params, done, ids)):
+        if isinstance(gradient, Sparse):
+            whole = np.zeros(value.shape, np.float32)
+            whole[gradient.rows] = gradient.values
+            gradient = whole
+        found.append(gradient)
+    return found
+
+
+def train_on(params: Params, squares: Params, around: np.ndarray, ids: np.ndarray, met: dict[int, np.ndarray] | None = None) -> None:
+    """One Adagrad step a batch, in place; the sparse ones have one rate a row, and ``met`` adds up how often each was met."""
     for low in range(0, len(ids), BATCH):
         part = ids[low : low + BATCH]
         done = forward(params, around[:, low : low + BATCH], part)
-        for value, square, gradient in zip(params, squares, gradients(params, done, part)):
-            square += gradient**2
-            value -= RATE * gradient / (np.sqrt(square) + 1e-6)
+        for number, (value, square, gradient) in enumerate(zip(params, squares, _gradients(params, done, part))):
+            if isinstance(gradient, Sparse):
+                sums = square[gradient.rows, 0] + np.einsum("ij,ij->i", gradient.values, gradient.values) / gradient.values.shape[1]
+                square[gradient.rows, 0] = sums
+                gradient.values *= (RATE / (np.sqrt(sums) + 1e-6))[:, None]
+                value[gradient.rows] -= gradient.values
+                if met is not None:
+                    met[number][gradient.rows] += gradient.met
+            else:
+                square += gradient**2
+                value -= RATE * gradient / (np.sqrt(square) + 1e-6)
+
+
+# Networks are added up in rows of so many numbers.
+WIDTH = HIDDEN + 1
+SPARSE = (0, 6)
 
 
-def train(docs: DataFrame, ids_of_bins: np.ndarray, text: str = "text", rounds: int = 1) -> Params:
+def _in_rows(value: np.ndarray, number: int) -> np.ndarray:
+    """A parameter in rows of ``WIDTH``, filled up with zeros."""
+    if number in SPARSE:
+        return np.pad(value, ((0, 0), (0, WIDTH - value.shape[1])))
+    return np.pad(value.ravel(), (0, -value.size % WIDTH)).reshape(-1, WIDTH)
+
+
+def train(docs: DataFrame, ids_of_bins: Vocabulary, text: str = "text", rounds: int = 1) -> Params:
     """The average of the networks that the tasks have trained on all their documents; the driver holds one network."""
-    params = fresh()
+    params = fresh(ids_of_bins.rare)
+    columns = [f"x{column}" for column in range(WIDTH)]
+    sizes = [len(_in_rows(value, number)) for number, value in enumerate(params)]
+    starts = np.cumsum([0, *sizes]).tolist()
     for _ in range(rounds):
         start = params
 
         def run(batches: Iterator[pa.RecordBatch], start: Params = start) -> Iterator[pa.RecordBatch]:
             own = [value.copy() for value in start]
-            squares = [np.zeros_like(value) for value in own]
+            squares = [np.zeros_like(value[:, :1] if number in SPARSE else value) for number, value in enumerate(own)]
+            met = {number: np.zeros(len(own[number]), np.int64) for number in SPARSE if number < len(own)}
             words = 0
             for batch in _slices(batches):
                 bins, rows = word_bins(batch.column(0))
                 if len(bins):
                     ids = ids_of_bins[bins]
-                    train_on(own, squares, windows(ids, rows), ids)
+                    train_on(own, squares, windows(ids, rows), ids, met)
                     words += len(ids)
-            if words:
-                values = np.concatenate([value.ravel() for value in own]).astype(np.float64) * words
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(values) + 1), pa.int32()), pa.array(np.append(values, float(words)))], ["i", "x"]
-                )
-
-        sums = docs.select(text).mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+            for number, value in enumerate(own if words else []):
+                rows = _in_rows(value, number)
+                weights = met.get(number, np.full(len(rows), words))
+                at = np.flatnonzero(weights)
+                for low in range(0, len(at), BATCH):
+                    part = at[low : low + BATCH]
+                    arrays = [pa.array(starts[number] + part, pa.int32()), pa.array(weights[part], pa.int64())]
+                    arrays += [pa.array(np.ascontiguousarray(column), pa.float32()) for column in rows[part].T]
+                    yield pa.RecordBatch.from_arrays(arrays, ["i", "w", *columns])
+
+        schema = ", ".join(["i int, w long", *(f"{column} float" for column in columns)])
+        means = [(F.sum(F.col("w") * F.col(column).cast("double")) / F.sum("w")).cast("float").alias(column) for column in columns]
+        # Each task hands on a network: one for each core, however large the input, not one for each split.
+        tasks = docs.sparkSession.sparkContext.defaultParallelism
+        sums = docs.select(text).coalesce(tasks).mapInArrow(run, schema).groupBy("i").agg(*means).toArrow()
         if sums.num_rows:
-            values = np.empty(sums.num_rows)
-            values[sums.column("i").to_numpy()] = sums.column("x").to_numpy()
-            means, at = values[:-1] / values[-1], 0
+            whole = np.concatenate([_in_rows(value, number) for number, value in enumerate(start)])
+            whole[sums.column("i").to_numpy()] = np.stack([sums.column(column).to_numpy() for column in columns], axis=1)
             params = []
-            for value in start:
-                params.append(means[at : at + value.size].reshape(value.shape).astype(np.float32))
-                at += value.size
+            for number, value in enumerate(start):
+                rows = whole[starts[number] : starts[number + 1]]
+                params.append(rows[:, : value.shape[1]].copy() if number in SPARSE else rows.ravel()[: value.size].reshape(value.shape))
     return params
 
 
-def score(docs: DataFrame, ids_of_bins: np.ndarray, params: Params, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_words``, ``log_likelihood`` and its mean a word (null without words).
 
     Columns of these names are replaced.
@@ -241,11 +439,14 @@ def score(docs: DataFrame, ids_of_bins: np.ndarray, params: Params, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            bins, rows = word_bins(batch.column(len(names)))
+            found = _words(batch.column(len(names)))
+            bins, rows = found[:2]
             sums = np.zeros(batch.num_rows)
             if len(bins):
                 ids = ids_of_bins[bins]
                 around = windows(ids, rows)
+                for codes, row in _unknown(ids_of_bins, found, ids):
+                    sums += np.bincount(row, ids_of_bins.spelling.log_chances(codes), batch.num_rows)
                 for low in range(0, len(ids), BATCH):
                     log_p = forward(params, around[:, low : low + BATCH], ids[low : low + BATCH]).log_p
                     sums += np.bincount(rows[low : low + BATCH], log_p, batch.num_rows)

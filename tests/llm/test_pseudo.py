@@ -122,3 +122,40 @@ def test_query(spark):
     rows = op10_masked_likelihood(spark, "/root/testdata/sf0.001").collect()
     assert len({row["doc_id"] for row in rows}) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert all(row["log_likelihood"] < 0 for row in rows)
+
+
+def test_chances_and_gradients_of_a_grown_vocabulary():
+    words = np.r_[: pseudo.EDGE, pseudo.EDGE + 1 : pseudo.EDGE + 78]
+    params = [value.astype(np.float64) for value in pseudo.fresh(77)]
+    params[6] += np.random.default_rng(3).normal(0, 0.3, params[6].shape)
+    around = np.random.default_rng(4).integers(0, pseudo.EDGE + 78, (len(pseudo.OFFSETS), 1))
+    log_p = pseudo.forward(params, np.repeat(around, len(words), axis=1), words).log_p
+    assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-4)
+    draws = np.random.default_rng(5)
+    around, ids = draws.integers(0, pseudo.EDGE + 78, (len(pseudo.OFFSETS), 300)), draws.choice(words, 300)
+    found = pseudo.gradients(params, pseudo.forward(params, around, ids), ids)
+    for number, value in enumerate(params):
+        flat, gradient = value.reshape(-1), np.asarray(found[number]).reshape(-1)
+        at = int(np.abs(gradient).argmax())
+        sides = []
+        for step in (1e-5, -2e-5):
+            flat[at] += step
+            sides.append(-pseudo.forward(params, around, ids).log_p.mean())
+        flat[at] += 1e-5
+        assert gradient[at] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-2, abs=1e-6)
+
+
+def test_vocabulary_grows_and_other_words_are_spelled(spark):
+    frequent = [f"word{i}" for i in range(5000)]
+    rare = [f"{a}{b}and{c}" for a in "bcd" for b in "aeiou" for c in "klm"]
+    texts = [" ".join(frequent)] * pseudo.FREQUENT + rare
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    ids = pseudo.vocabulary(docs)
+    found = ids[pseudo.word_bins(pa.array([" ".join(frequent)]))[0]]
+    assert sorted(found.tolist()) == [i for i in range(1, 5002) if i != pseudo.EDGE]
+    assert not ids[pseudo.word_bins(pa.array([" ".join(rare)]))[0]].any()
+    assert np.exp(ids.spelling.log_chances(np.arange(pseudo.LETTERS) + 99 * pseudo.LETTERS)).sum() == pytest.approx(1)
+    params = pseudo.train(docs, ids)
+    tests = spark.createDataFrame([(0, "bakandk baandm"), (1, "xq9zv7 w0jjqx"), (2, "word1 bakandk"), (3, "word1 candand")], "doc_id long, text string")
+    scores = {row["doc_id"]: row["log_likelihood"] for row in pseudo.score(tests, ids, params).collect()}
+    assert scores[0] > scores[1] + 5 and scores[2] != scores[3]
