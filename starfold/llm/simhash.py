@@ -228,53 +228,90 @@ def bits_apart(similarity: float, bits: int = WIDE_BITS) -> int:
     return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wide_keys(column: pa.Array) -> Iterator[np.ndarray]:
+    """The keys of fingerprints, one block after the other."""
     values = 1 << np.arange(BLOCK_BITS)
+    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE_BITS // 8)
+    bits = np.unpackbits(packed, axis=1, bitorder="little")
+    for block, choice in enumerate(_CHOICES):
+        yield (bits[:, choice] @ values) | block << BLOCK_BITS
+
+
+def _wide_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, BUCKET_AT_ONCE):
-            column = batch.column(0).slice(low, BUCKET_AT_ONCE)
-            packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE_BITS // 8)
-            bits = np.unpackbits(packed, axis=1, bitorder="little")
-            for block, choice in enumerate(_CHOICES):
-                keys = (bits[:, choice] @ values) | block << BLOCK_BITS
-                yield pa.RecordBatch.from_arrays([pa.array(keys), column], ["key", "fingerprint"])
+            for keys in _wide_keys(batch.column(0).slice(low, BUCKET_AT_ONCE)):
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
 
-def _wide_links(apart: int):
-    """Links of sorted (key, fingerprint) rows, a bounded number of rows at a time.
+def _wide_cells(crowded: dict[int, int], rows: int):
+    """Rows of key, cell and fingerprint.
 
-    A bucket larger than that is taken in stretches; the first of each group found in a stretch is carried to the next.
+    A key of more than ``rows`` fingerprints is dealt into parts of about half as many, and each two parts meet in a cell,
+    so that all its pairs meet and no cell holds many more than ``rows``.
     """
+    many = np.array(sorted(crowded), np.int64)
+    parts_of_many = np.array([-(-2 * crowded[key] // rows) for key in many.tolist()], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(prints: list[bytes]) -> tuple[list[tuple[bytes, bytes]], list[bytes]]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, rows):
+                column = batch.column(0).slice(low, rows)
+                dealt = np.array([xxhash.xxh64_intdigest(value, SEED) >> 1 for value in column.to_pylist()], np.int64)
+                for keys in _wide_keys(column):
+                    parts = np.ones(len(keys), np.int64)
+                    if len(many):
+                        at = np.minimum(np.searchsorted(many, keys), len(many) - 1)
+                        parts = np.where(many[at] == keys, parts_of_many[at], 1)
+                    part = dealt % parts
+                    for other in range(int(parts.max())):
+                        here = np.flatnonzero(other < parts)
+                        cells = np.minimum(part[here], other) * parts[here] + np.maximum(part[here], other)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(keys[here]), pa.array(cells), column.take(pa.array(here))], ["key", "cell", "fingerprint"]
+                        )
+
+    return run
+
+
+def _wide_links(apart: int):
+    """Links of sorted (key, cell, fingerprint) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(prints: list[bytes]) -> list[tuple[bytes, bytes]]:
             values = np.frombuffer(b"".join(prints), np.uint64).reshape(len(prints), -1)
-            edges = forest(values, apart)
-            joined = {there for _, there in edges}
-            return [(prints[a], prints[b]) for a, b in edges], [one for i, one in enumerate(prints) if i not in joined]
+            return [(prints[a], prints[b]) for a, b in forest(values, apart)]
 
         bucket, prints, out = None, [], []
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key != bucket:
+            for key, cell, value in zip(*(column.to_pylist() for column in batch.columns)):
+                if (key, cell) != bucket:
                     if len(prints) > 1:
-                        out += links(prints)[0]
-                    bucket, prints = key, []
+                        out += links(prints)
+                    bucket, prints = (key, cell), []
                 prints.append(value)
-                if len(prints) % BUCKET_AT_ONCE == 0:
-                    edges, prints = links(prints)
-                    out += edges
             if out:
                 yield _wide_edges(out)
                 out = []
         if len(prints) > 1:
-            out += links(prints)[0]
+            out += links(prints)
         if out:
             yield _wide_edges(out)
 
     return run
 
 
+def wide_links(distinct: DataFrame, apart: int) -> DataFrame:
+    """Edges ``a`` < ``b`` that connect what meets under a key within ``apart`` bits, of a table of distinct wide ``fingerprint``."""
+    prints = distinct.select("fingerprint")
+    rows = BUCKET_AT_ONCE
+    counts = prints.mapInArrow(_wide_counts, "key long").groupBy("key").agg(F.count("*").alias("n"))
+    crowded = {row["key"]: row["n"] for row in counts.filter(F.col("n") > rows).toLocalIterator()}
+    keyed = prints.mapInArrow(_wide_cells(crowded, rows), "key long, cell long, fingerprint binary")
+    dealt = keyed.repartition("key", "cell").sortWithinPartitions("key", "cell", "fingerprint")
+    return dealt.mapInArrow(_wide_links(apart), "a binary, b binary")
+
+
 def _wide_edges(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     pairs = [(min(pair), max(pair)) for pair in edges]
     return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs)], ["a", "b"])
@@ -299,9 +336,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
     prints = written(docs.select(key, hashed.alias("hash"), text).mapInArrow(run, schema), "wide-fingerprints")
     least = F.min(F.struct(key, "hash")).alias("least")
     distinct = written(prints.groupBy("fingerprint").agg(least), "distinct-wide-fingerprints")
-    keyed = distinct.select("fingerprint").mapInArrow(_wide_keys, "key long, fingerprint binary")
-    dealt = keyed.repartition("key").sortWithinPartitions("key", "fingerprint")
-    roots = components(dealt.mapInArrow(_wide_links(bits_apart(similarity)), "a binary, b binary"))
+    roots = components(wide_links(distinct, bits_apart(similarity)))
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         F.coalesce("root", "fingerprint").alias("root"), "least"
     )

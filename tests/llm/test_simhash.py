@@ -132,3 +132,24 @@ def test_near_copies_of_a_crowd(spark, monkeypatch):
     assert [row["doc_id"] for row in simhash.near_copies(docs).collect()] == [0]
     assert simhash.near_copies(docs.limit(0)).count() == 0
     assert simhash.near_copies(docs.filter(F.col("doc_id") < 3).unionByName(docs.filter(F.col("doc_id") < 3))).count() == 1
+
+
+def test_crowded_keys_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET_AT_ONCE", 50)
+    # One key, so that no other can make up for a lost link.
+    monkeypatch.setattr(simhash, "_CHOICES", simhash._CHOICES[:1])
+    free = [bit for bit in range(simhash.WIDE_BITS) if bit not in set(simhash._CHOICES[0].tolist())]
+    draws = random.Random(8)
+    values = set()
+    for _ in range(60):
+        value = sum(1 << bit for bit in free if draws.random() < 0.5)
+        for _ in range(6):
+            values.add(value)
+            for bit in draws.sample(free, 30):
+                value ^= 1 << bit
+    values = sorted(values)
+    frame = spark.createDataFrame([(value.to_bytes(32, "little"),) for value in values], "fingerprint binary")
+    roots = {bytes(row["node"]): bytes(row["root"]) for row in components(simhash.wide_links(frame, 39)).collect()}
+    found = [roots.get(one, one) for one in (value.to_bytes(32, "little") for value in values)]
+    want = brute_components([(value.to_bytes(32, "little"), value) for value in values], 39)
+    assert found == want and len(set(want)) == 60
