@@ -6,7 +6,8 @@ lies between the list's last value and the value at the depth, which bounds the
 whose upper bound is below the k-th best lower bound is an outsider. Reading ends when few enough vectors are not
 outsiders; their scores are then resolved.
 
-The bounds of many queries are matrix products over the shard; components are whole numbers and the sums exact.
+The method is evaluated, not carried out by reading: at four fixed depths the bounds of many queries are dense matrix products
+over the whole shard, and what is left is resolved from the full rows. Components are whole numbers and the sums exact.
 """
 
 from __future__ import annotations
