@@ -18,7 +18,7 @@ SF = Path("/root/testdata/sf0.001")
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(name.split("_")[0] for name in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(name.split("_")[0] for name in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert {name: __spark_entry__.oracle_sql()[name] for name in SQL} == SQL
 
 
