@@ -153,7 +153,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str,
     count = decided.count()
     chosen = decided.filter(share_below(F.col("__key"), rows / count)) if count > rows else decided
     met = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    met = met.join(chosen, F.col("__id") == F.col("__key"))
+    # Counted: no more than about ``rows`` ids and labels, whatever the input.
+    met = met.join(F.broadcast(chosen), F.col("__id") == F.col("__key"))
     return met.groupBy("__key", "__label").agg(F.min("__text").alias("__text")), min(count, rows)
 
 

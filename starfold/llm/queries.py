@@ -243,13 +243,20 @@ RUNS_SQL = f"""
 def planted(text: Column, key: Column) -> Column:
     """Texts with a period planted in a tenth of them, by id; rows without id stay as they are."""
     spaces = F.lit(" \t\n\x0b\x0c\r")
-    words = F.split(F.rtrim(F.ltrim(text, spaces), spaces), r"[\x20\x09-\x0D]+")
-    h, n = F.crc32(key.cast("string").cast("binary")), F.size(words)
+    h = F.crc32(key.cast("string").cast("binary"))
     g = F.floor(h / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    repeated = F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
-    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(repeated, " ")).otherwise(text)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+
+    # As a lambda's argument the text is split once.
+    words = F.split(F.rtrim(F.ltrim(text, spaces), spaces), r"[\x20\x09-\x0D]+")
+    made = F.get(F.transform(F.array(words), repeated), F.lit(0))
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), made).otherwise(text)
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
