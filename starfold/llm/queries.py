@@ -285,11 +285,10 @@ DAMAGE_SQL = f"""
         from given, range(case harm when 0 then 0 when 3 then 2 else 1 end)),
     ordered as (
         select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i,
-               row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as again,
                right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as mark
         from damaged),
     turns as (
-        select *, left(role, 1) as initial, case when mark = '' then 1 when again then 2 when mark in ('.', '!', '?') then 0 else 3 end as fault,
+        select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again, left(role, 1) as initial, case when mark = '' then 1 when again then 2 when mark in ('.', '!', '?') then 0 else 3 end as fault,
                concat(lag(left(role, 1)) over (partition by conv_id order by i), left(role, 1)) not in ('su', 'ua', 'au') as clash
         from ordered),
     counted as (
