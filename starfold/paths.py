@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -48,6 +49,12 @@ def dated_range(base: str, start: str | date, end: str | date) -> str:
     return f"{base}/{{{folders}}}"
 
 
+def dated_days(base: str, days: Iterable[date]) -> str:
+    """One glob over the folders of some days."""
+    folders = ",".join(f"{day:%Y/%m/%d}" for day in sorted(days))
+    return f"{base}/{{{folders}}}"
+
+
 @dataclass(frozen=True)
 class LakePaths:
     """Folders of the landing zone, of silver and of gold below one root."""
@@ -85,5 +92,10 @@ class LakePaths:
         """Silver laid out by dose date instead of run date."""
         return f"{self.root}/trusted/{self.feed}"
 
+    @property
+    def ledger(self) -> str:
+        """Which landed files each day was loaded from."""
+        return f"{self.root}/ledger/{self.feed}"
+
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"

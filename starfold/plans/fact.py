@@ -74,13 +74,14 @@ FACT_SCHEMA = T.StructType(
 )
 
 
-def fact_rows(silver: DataFrame, first_by: str | None = None) -> DataFrame:
+def fact_rows(silver: DataFrame, first_by: str | None = None, per_first: bool = False) -> DataFrame:
     """One row per dose with its natural keys, before any lookup.
 
     Duplicates go first: the dimensions are unique per key, so the lookups
     neither add nor remove rows and fewer, narrower rows reach them. The dose
     date leads the choice among duplicates; ``first_by`` names a silver column
-    that leads before it and stays in the rows.
+    that leads before it and stays in the rows; with ``per_first`` there is one
+    row per dose and value of it.
     """
     rows = pick(
         silver,
@@ -99,7 +100,10 @@ def fact_rows(silver: DataFrame, first_by: str | None = None) -> DataFrame:
     codes = ("CD_MUNICIPIO_IBGE_PACIENTE", "CD_PAIS_PACIENTE", "CD_MUNICIPIO_IBGE_ESTABELECIMENTO")
     rows = rows.withColumns({code: canonical_code(F.col(code)) for code in codes})
     lead = [first_by, FACT_DATE] if first_by else [FACT_DATE]
-    return one_per_key(rows, [FACT_ID], lead=lead).withColumn(
+    keys = [FACT_ID]
+    if per_first:
+        keys, lead = [FACT_ID, first_by], [FACT_DATE]
+    return one_per_key(rows, keys, lead=lead).withColumn(
         "CD_PAIS_ESTABELECIMENTO", F.lit(str(HOME_COUNTRY_CODE))
     )
 
@@ -110,9 +114,10 @@ def with_keys(
     complete: Collection[str] = (),
     null_safe: bool = False,
     patients_unique: bool = True,
+    roles: Collection[Role] = ROLES,
 ) -> DataFrame:
-    """Add every foreign key; ``complete`` names the dimensions whose keys are derived."""
-    for role in ROLES:
+    """Add every foreign key, or those of ``roles``; ``complete`` names the dimensions whose keys are derived."""
+    for role in roles:
         if role.dim.name in complete:
             rows = derive(rows, list(role.on), role.column, null_safe)
             continue

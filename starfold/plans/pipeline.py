@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.operators.merge import not_in
 from starfold.operators.quality import key_uniqueness
 from starfold.paths import ALL_DATES, LakePaths, dated, days_between, parse_day
 from starfold.plans.dimensions import BUILDERS, LAST_DOSE, patients_by_race, patients_with_dose
@@ -21,8 +19,7 @@ from starfold.plans.fact import COMPLETE, FACT_SCHEMA, fact_rows, fact_surrogate
 from starfold.plans.silver import load_csv, load_csv_by_dose_date, load_hits
 from starfold.schema import DIMENSIONS, FACT, FACT_ID, FACT_SURROGATE, MUNICIPALITIES, PATIENTS
 from starfold.sources import files
-from starfold.sources.feed import read_silver, read_trusted, with_day
-from starfold.sources.sinks import publish
+from starfold.sources.feed import read_silver, read_silver_days, read_trusted, read_untyped
 from starfold.sources.tables import LOAD_DATE, SnapshotTable, gold_table, only_unknown
 
 BY_RACE = "by_race"
@@ -59,13 +56,14 @@ def load_dimension(
     silver: DataFrame | None = None,
     null_safe: bool = False,
     check: bool = True,
+    keep_filled: bool = False,
 ) -> None:
     """Merge one dimension from the silver of a run date (or all), or rebuild it.
 
     Rows are merged by their natural key, in which nulls are values. Patients also keep the date of the dose they are
     described by, and a stored patient gives way to a later dose only: days may be loaded in any order, and again.
     ``null_safe`` makes nulls part of the surrogate keys and must then be given to every load of the lake; patients by
-    race need it. ``check`` counts the stored keys: a natural key there twice is an error, a surrogate shared by two
+    race need it. With ``keep_filled`` an attribute that a winning row lacks stays as the other row has it. ``check`` counts the stored keys: a natural key there twice is an error, a surrogate shared by two
     natural keys a warning.
     """
     dim, keys, newer_by = DIMENSIONS[name], list(DIMENSIONS[name].keys), None
@@ -81,7 +79,7 @@ def load_dimension(
     if rebuild:
         table.replace(rows)
     else:
-        table.upsert(rows, keys, newer_by)
+        table.upsert(rows, keys, newer_by, list(dim.attributes) if keep_filled else ())
     if check:
         found = key_uniqueness(table.read(), keys, dim.surrogate).first()
         if found["n_rows"] != found["n_keys"]:
@@ -162,22 +160,21 @@ def keyed(
     return keyed_fact(rows, dims, tuple(complete), null_safe, patient_rows == LATEST, tuple(keep))
 
 
-def load_fact_range(
+def load_fact_days(
     spark: SparkSession,
     paths: LakePaths,
-    start: str | date,
-    end: str | date,
     days: Iterable[date],
     complete: Iterable[str] = (),
     patient_rows: str = LATEST,
     null_safe: bool = False,
 ) -> None:
-    """The fact rows of all ``days`` of ``[start, end)`` in one pass, each stored under the first day that has its dose.
+    """The fact rows of all ``days`` in one pass, each stored under the first day that has its dose.
 
     What other load dates have stored is left out; what an earlier run stored for these days is replaced.
     """
+    days = list(days)
     load_dates = [str(day) for day in days]
-    silver = with_day(read_silver(spark, paths.silver, start, end), LOAD_DATE)
+    silver = read_silver_days(spark, paths.silver, days, LOAD_DATE)
     table = fact_table(spark, paths)
     rows = new_doses(table, fact_rows(silver, first_by=LOAD_DATE), load_dates)
     table.load_batches(keyed(spark, paths, rows, complete, patient_rows, null_safe, [LOAD_DATE]), load_dates)
@@ -223,10 +220,13 @@ def run_day(spark: SparkSession, paths: LakePaths, day: str | date, multi_line:
     load_star(spark, paths, day, **options)
 
 
-def run_bulk(spark: SparkSession, paths: LakePaths, day: str | date, **options) -> None:
-    """First load: every landed delimited file, through silver, into the star."""
-    load_csv(spark, paths, day)
-    load_star(spark, paths, day, **options)
+def run_bulk(spark: SparkSession, paths: LakePaths, day: str | date, infer: bool = False, **options) -> None:
+    """First load: every landed delimited file, through silver, into the star.
+
+    With ``infer`` it goes through the untyped folder, in the types found in the files, and is conformed when read.
+    """
+    load_csv(spark, paths, day, infer)
+    load_star(spark, paths, day, silver=read_untyped(spark, paths.untyped, day) if infer else None, **options)
 
 
 def run_bulk_trusted(
@@ -258,46 +258,23 @@ def backfill(
     range neither rewrites a dimension nor scans the fact's history once a day.
     """
     landed = [d for d in days_between(start, end) if files.exists(spark, dated(paths.landing_json, d))]
-    for day in landed:
-        load_hits(spark, paths, day, multi_line=multi_line)
     if landed:
-        silver = read_silver(spark, paths.silver, start, end)
-        load_dimensions(spark, paths, silver=silver, patient_rows=patient_rows, null_safe=null_safe)
-        complete = complete_dimensions(patient_rows, null_safe)
-        load_fact_range(spark, paths, start, end, landed, complete, patient_rows, null_safe)
+        load_landed_days(spark, paths, landed, multi_line, patient_rows, null_safe)
     return landed
 
 
-def publish_gold(
+def load_landed_days(
     spark: SparkSession,
     paths: LakePaths,
-    fmt: str,
-    options_for: Callable[[str], Mapping[str, str]],
-    fact_load_date: str | None = None,
-    fact_mode: str | None = None,
+    days: list[date],
+    multi_line: bool = True,
+    patient_rows: str = LATEST,
+    null_safe: bool = False,
+    **dimension_options,
 ) -> None:
-    """Send gold to a serving store, reading the stored tables back.
-
-    Dimensions replace their copy. The whole fact replaces its copy as well. One load date (``fact_load_date``) is added
-    to it: doses that the store already has are left out, so publishing a date again adds nothing.
-    """
-    mode = fact_mode or ("overwrite" if fact_load_date is None else "append")
-    if (mode == "append") != (fact_load_date is not None):
-        raise ValueError("the whole fact overwrites its copy, one load date is appended to it")
-    for name in DIMENSIONS:
-        publish(read_dimension(spark, paths, name), fmt, options_for(name), "overwrite")
-    fact = fact_table(spark, paths).read()
-    if fact_load_date is not None:
-        fact = unpublished(spark, fact.filter(fact[LOAD_DATE] == fact_load_date), fmt, options_for(FACT))
-    publish(fact.drop(LOAD_DATE), fmt, options_for(FACT), mode)
-
-
-def unpublished(spark: SparkSession, fact: DataFrame, fmt: str, options: Mapping[str, str]) -> DataFrame:
-    """Fact rows whose dose is not in the store; all of them if the store has no fact yet."""
-    try:
-        known = spark.read.format(fmt).options(**options).load().select(FACT_ID)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return fact
-    return not_in(fact, known, [FACT_ID])
+    """The hits landed on some days, each to its own silver, and then the star from all of them at once."""
+    for day in days:
+        load_hits(spark, paths, day, multi_line=multi_line)
+    silver = read_silver_days(spark, paths.silver, days)
+    load_dimensions(spark, paths, silver=silver, patient_rows=patient_rows, null_safe=null_safe, **dimension_options)
+    load_fact_days(spark, paths, days, complete_dimensions(patient_rows, null_safe), patient_rows, null_safe)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starfold.operators.clean import clean, conform, flatten_hits, pick_feed
 from starfold.paths import ALL_DATES, LakePaths, one_day
 from starfold.schema import CORRUPT, DOSE_DATE, FEED
+from starfold.sources import files
 from starfold.sources.feed import bad_hit, days_below, read_feed_csv, read_hits_for
 from starfold.sources.sinks import write_day, write_partitioned
 
@@ -28,6 +29,11 @@ def silver_from_hits(hits: DataFrame, conformed: bool = True, fold: str = "defau
     return clean(rows, dates=conformed, fold=fold)
 
 
+def rejected_texts(hits: DataFrame) -> DataFrame:
+    """The records that could not be read, as texts."""
+    return hits.filter(bad_hit(hits)).select(F.coalesce(CORRUPT, F.to_json(F.struct("*"))).alias("value"))
+
+
 def load_csv(spark: SparkSession, paths: LakePaths, day: str | date, infer: bool = False) -> None:
     """All landed delimited files to the silver folder of a run date.
 
@@ -63,7 +69,9 @@ def load_hits(
     counted = hits.observe(seen, F.count_if(bad_hit(hits)).alias("bad"))
     write_day(silver_from_hits(counted, conformed), paths.silver if conformed else paths.untyped, day, mode)
     bad = seen.get["bad"]
+    if mode == "overwrite":
+        # What the day's earlier loads set aside is no longer so.
+        files.delete(spark, one_day(paths.rejected, day))
     if bad:
-        broken = hits.filter(bad_hit(hits)).select(F.coalesce(CORRUPT, F.to_json(F.struct("*"))).alias("value"))
-        broken.write.mode(mode).text(one_day(paths.rejected, day))
+        rejected_texts(hits).write.mode(mode).text(one_day(paths.rejected, day))
     return bad

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from starfold.operators.clean import clean
 from starfold.paths import LakePaths, dated
-from starfold.plans import pipeline
+from starfold.plans import pipeline, serving
+from starfold.plans.fact import ROLES
 from starfold.plans.silver import load_csv_by_dose_date, load_hits, silver_from_csv, silver_from_hits
 from starfold.queries import feed as stand_in
 from starfold.queries.dimensions import PATIENT_SQL
 from starfold.queries.facts import FACT_CTES, resolved
 from starfold.queries.feed import EXPRESSIONS, FEED_SQL, table, wide_feed
 from starfold.queries.registry import query
-from starfold.schema import DIMENSIONS, DOSE_DATE, FACT, FEED, LOT, PATIENTS
+from starfold.schema import DIMENSIONS, DOSE_DATE, FACT, FACT_DATE, FACT_ID, FEED, LOT, PATIENTS
 from starfold.session import scratch_dir
 from starfold.sources.feed import read_feed_csv, read_hits_json, read_silver, read_trusted
 from starfold.sources.sinks import publish, write_day, write_partitioned, write_table
@@ -82,7 +83,14 @@ def json_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_from_hits(read_hits_json(spark, path))
 
 
-PAGES = 64
+# Orders a page: the number of pages grows with the feed, their size does not.
+ORDERS_A_PAGE = 500
+
+
+def order_pages(rows: DataFrame) -> DataFrame:
+    """``rows`` with the page that their order belongs to."""
+    order = F.substring_index("document_id", "-", 1).cast("bigint")
+    return rows.withColumn("page", F.floor(order / ORDERS_A_PAGE))
 
 
 @query(CLEAN_SQL + " select * from feed")
@@ -99,8 +107,7 @@ def json_pages_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_multiline_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that are laid out over many lines, one a file, and one that broke off."""
     path = scratch_dir(spark, "json-multi-line")
-    rows = hits(dirty_feed(spark, sf_dir)).withColumn("page", F.pmod(F.xxhash64("document_id"), F.lit(PAGES)))
-    pages = rows.groupBy("page").agg(F.to_json(F.collect_list("hit"), {"pretty": "true"}).alias("value"))
+    pages = order_pages(hits(dirty_feed(spark, sf_dir))).groupBy("page").agg(F.to_json(F.collect_list("hit"), {"pretty": "true"}).alias("value"))
     pages.write.partitionBy("page").text(path)
     pages.limit(1).select(F.lit(-1).alias("page"), F.left("value", F.lit(99)).alias("value")).write.mode("append").partitionBy("page").text(path)
     return silver_from_hits(read_hits_json(spark, f"{path}/*", multi_line=True))
@@ -211,6 +218,14 @@ def pipeline_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
 
 
+@query(FACT_CTES + "select * from fact")
+def pipeline_bulk_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the types found in the files, through the untyped folder."""
+    paths = landed_csv(spark, sf_dir, "pipeline-bulk-inferred")
+    pipeline.run_bulk(spark, paths, "2024-01-31", infer=True)
+    return resolved(pipeline.read_fact(spark, paths), gold_dims(spark, paths))
+
+
 @query(FACT_CTES + "select * from fact")
 def pipeline_bulk_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through silver laid out by dose date."""
@@ -224,7 +239,7 @@ def published(spark: SparkSession, sf_dir: str, label: str) -> dict[str, DataFra
     paths, out = landed_csv(spark, sf_dir, label), scratch_dir(spark, f"{label}-store")
     pipeline.run_bulk(spark, paths, "2024-01-31")
     for _ in range(2):
-        pipeline.publish_gold(spark, paths, "parquet", lambda name: {"path": f"{out}/{name}"}, "2024-01-31")
+        serving.publish_gold(spark, paths, "parquet", lambda name: {"path": f"{out}/{name}"}, "2024-01-31")
     return {name: spark.read.parquet(f"{out}/{name}") for name in [*DIMENSIONS, FACT]}
 
 
@@ -235,21 +250,35 @@ def pipeline_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved(store[FACT], store)
 
 
+SOURCES_SQL = {
+    "dm_campanhas": "campaigns", "dm_estabelecimentos": "establishments", "dm_municipios": "municipalities",
+    "dm_pacientes": "patients", "dm_vacinas": "vaccines", "ft_vacinacao": "fact",
+}
+PUBLISHED_COLUMNS = {name: [*dim.keys, *dim.attributes] for name, dim in DIMENSIONS.items()}
+PUBLISHED_COLUMNS[FACT] = [FACT_ID, FACT_DATE, *(column for role in ROLES for column in role.on)]
+# The i-th columns of all tables, as text, are one column.
+WIDEST = max(map(len, PUBLISHED_COLUMNS.values()))
 PUBLISHED_SQL = " union all ".join(
-    f"select '{name}' as name, count(*) as n_rows from {table_}"
-    for name, table_ in {
-        "dm_campanhas": "campaigns", "dm_estabelecimentos": "establishments", "dm_municipios": "municipalities",
-        "dm_pacientes": "patients", "dm_vacinas": "vaccines", "ft_vacinacao": "fact",
-    }.items()
+    f"select '{name}' as name, "
+    + ", ".join(f"{f'cast({columns[i]} as varchar)' if i < len(columns) else 'null'} as column_{i}" for i in range(WIDEST))
+    + f" from {SOURCES_SQL[name]}"
+    for name, columns in PUBLISHED_COLUMNS.items()
 )
 
 
-@query(FACT_CTES + PUBLISHED_SQL)
+@query(FACT_CTES.replace(FEED_SQL, CLEAN_SQL) + PUBLISHED_SQL)
 def pipeline_publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every published table is there once."""
+    """Every column of every published table, each row once."""
     store = published(spark, sf_dir, "pipeline-publish-tables")
-    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows") for name, df in store.items()]
-    return reduce(DataFrame.unionByName, counts)
+    store[FACT] = resolved(store[FACT], store)
+    frames = [
+        store[name].select(
+            F.lit(name).alias("name"),
+            *((F.col(columns[i]) if i < len(columns) else F.lit(None)).cast("string").alias(f"column_{i}") for i in range(WIDEST)),
+        )
+        for name, columns in PUBLISHED_COLUMNS.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query(FACT_CTES + "select * from fact")

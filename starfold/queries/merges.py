@@ -110,6 +110,31 @@ def upsert_newer_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frames(old, new, ["customer"], newer_by="day")
 
 
+NAMELESS = "code % 5 = 0"
+
+
+@query(f"""
+    select code, case when code % 7 = 0 then null when {NAMELESS} or code % 2 = 0 then old_name else new_name end as name,
+           case when code % 3 = 0 then region else new_region end as region
+    from (select c_custkey as code, concat('old ', c_name) as old_name, concat('new ', c_name) as new_name,
+                 c_nationkey as region, c_nationkey + 100 as new_region from customer)
+""")
+def upsert_keep_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that lacks values does not wipe stored ones, column by column; what neither side has stays missing."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("code"), F.col("c_name").alias("full_name"), F.col("c_nationkey").alias("nation")
+    )
+    old = customers.selectExpr("code", "case when code % 7 = 0 then null else concat('old ', full_name) end as name", "nation as region")
+    new = customers.selectExpr(
+        "code", f"case when {NAMELESS} or code % 2 = 0 or code % 7 = 0 then null else concat('new ', full_name) end as name",
+        "case when code % 3 = 0 then null else nation + 100 end as region",
+    )
+    stored = SnapshotTable(spark, scratch_dir(spark, "upsert-keep-filled"))
+    for batch in (old, new, new):
+        stored.upsert(batch, ["code"], keep_filled=["name", "region"])
+    return stored.read()
+
+
 @query("""
     select c_custkey as a, null as b, case when c_nationkey < 12 then 'new' else 'old' end as batch from customer
     union all select null, c_custkey, 'new' from customer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.paths import ALL_DATES, DAY_IN_PATH, dated, dated_range, day_of
+from starfold.paths import ALL_DATES, DAY_IN_PATH, dated, dated_days, dated_range, day_of
 from starfold.schema import CORRUPT, DOSE_DATE, FEED, HIT, SILVER
 from starfold.sources import files
 
@@ -70,6 +71,19 @@ def read_silver(
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
+def read_silver_days(spark: SparkSession, base: str, days: Iterable[date], day_column: str | None = None) -> DataFrame:
+    """Silver of some run dates, with the date in ``day_column`` if asked for.
+
+    Dates never loaded have no rows; folders of other dates are not listed.
+    """
+    loaded = files.matching(spark, dated_days(base, days))
+    if not loaded:
+        schema = SILVER if day_column is None else T.StructType([*SILVER, T.StructField(day_column, T.DateType())])
+        return spark.createDataFrame([], schema)
+    silver = spark.read.schema(SILVER).option("recursiveFileLookup", True).parquet(*loaded)
+    return silver if day_column is None else with_day(silver, day_column)
+
+
 def with_day(silver: DataFrame, column: str) -> DataFrame:
     """Rows read from day folders with their folder's day."""
     digits = F.regexp_replace(F.col("_metadata.file_path"), DAY_IN_PATH, "$1-$2-$3")

@@ -67,6 +67,17 @@ def jdbc_options(
     return options
 
 
+def parallel_read(fmt: str, options: Mapping[str, str], column: str) -> dict[str, str]:
+    """Options for reading a published table back: over JDBC in as many ranges of a 64-bit hash column as may connect.
+
+    Other connectors split by themselves, as does a table without that column if it is read without this.
+    """
+    if fmt != "jdbc" or "numPartitions" not in options:
+        return dict(options)
+    bounds = {"partitionColumn": column, "lowerBound": str(-(2**63)), "upperBound": str(2**63 - 1)}
+    return {**options, **bounds}
+
+
 def warehouse_options(table: str, staging_bucket: str | None = None) -> dict[str, str]:
     """Options for ``publish(df, "bigquery", ...)``; the connector is supplied by the user."""
     options = {"table": table}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.operators.merge import known_among, merge_frames, newest, not_in
+from starfold.operators.merge import known_among, merge_frames, not_in, winners
 from starfold.session import scratch_dir
 from starfold.sources import files
 
@@ -99,9 +99,11 @@ class SnapshotTable:
         df.write.parquet(path)
         self._commit(path)
 
-    def upsert(self, df: DataFrame, key: Sequence[str], newer_by: str | None = None) -> None:
+    def upsert(
+        self, df: DataFrame, key: Sequence[str], newer_by: str | None = None, keep_filled: Sequence[str] = ()
+    ) -> None:
         """Create the table on first use, merge into it afterwards."""
-        self.replace(merge_frames(self.read(), df, key, newer_by) if self.exists() else df)
+        self.replace(merge_frames(self.read(), df, key, newer_by, keep_filled) if self.exists() else df)
 
     def load_batch(self, df: DataFrame, load_date: str) -> None:
         """Make ``df`` the rows of one load date; loading the date again replaces them, also by nothing."""
@@ -138,7 +140,7 @@ class SnapshotTable:
         for load_date, live in self.batches(snapshot).items() if snapshot else ():
             folder = f"{snapshot}/{LOAD_DATE}={load_date}"
             old = [v for v in self._committed(folder, f"{VERSION}=") if f"{folder}/{v}" < min(live)]
-            for name in old[: len(old) + 1 - max(keep, 1)]:
+            for name in old[: max(0, len(old) + 1 - max(keep, 1))]:
                 files.delete(self.spark, f"{folder}/{name}")
 
 
@@ -154,10 +156,12 @@ class DeltaBackedTable(SnapshotTable):
     def replace(self, df: DataFrame) -> None:
         df.write.format("delta").mode("overwrite").save(self.path)
 
-    def upsert(self, df: DataFrame, key: Sequence[str], newer_by: str | None = None) -> None:
+    def upsert(
+        self, df: DataFrame, key: Sequence[str], newer_by: str | None = None, keep_filled: Sequence[str] = ()
+    ) -> None:
         if not self.exists():
             return self.replace(df)
-        rows = df if newer_by is None else newest(self.read(), df, key, newer_by)
+        rows = winners(self.read(), df, key, newer_by, keep_filled)
         same_key = " AND ".join(f"stored.{k} <=> batch.{k}" for k in key)
         merge = DeltaTable.forPath(self.spark, self.path).alias("stored").merge(rows.alias("batch"), same_key)
         merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()

@@ -2,7 +2,7 @@ from minifeed import row, write_csv, write_page
 
 from starfold.__main__ import main
 from starfold.paths import LakePaths
-from starfold.plans import pipeline
+from starfold.plans import pipeline, serving
 from starfold.schema import DIMENSIONS, FACT
 from starfold.sources.tables import LOAD_DATE, SnapshotTable
 from starfold.streaming.landing import load_new_landings
@@ -110,7 +110,7 @@ def test_publish_gold(spark, tmp_path):
     write_page(DAY1, tmp_path / FEED / "json/2021/06/01")
     pipeline.run_day(spark, paths, "2021-06-01")
     for _ in range(2):
-        pipeline.publish_gold(spark, paths, "parquet", lambda t: {"path": f"{tmp_path}/out/{t}"}, "2021-06-01")
+        serving.publish_gold(spark, paths, "parquet", lambda t: {"path": f"{tmp_path}/out/{t}"}, "2021-06-01")
     out = {t: spark.read.parquet(f"{tmp_path}/out/{t}") for t in [*DIMENSIONS, FACT]}
     assert out["dm_pacientes"].count() == 3 and out[FACT].count() == 3
     assert "last_dose" not in out["dm_pacientes"].columns

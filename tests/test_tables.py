@@ -10,7 +10,7 @@ from starfold.operators.lookup import lookup
 from starfold.operators.merge import merge_frames
 from starfold.paths import LakePaths, dated
 from starfold.plans import dimensions as dims
-from starfold.plans import pipeline
+from starfold.plans import pipeline, serving
 from starfold.plans.silver import load_csv, load_hits
 from starfold.schema import DIMENSIONS, FACT, MUNICIPALITIES, SILVER
 from starfold.sources.feed import read_silver, read_trusted, read_untyped
@@ -242,7 +242,7 @@ def test_publishing_again_adds_nothing(spark, tmp_path):
     pipeline.backfill(spark, paths, "2021-06-01", "2021-06-03")
 
     def publish(**options):
-        pipeline.publish_gold(spark, paths, "parquet", lambda t: {"path": f"{tmp_path}/out/{t}"}, **options)
+        serving.publish_gold(spark, paths, "parquet", lambda t: {"path": f"{tmp_path}/out/{t}"}, **options)
         return sorted(r.CD_VACINACAO for r in spark.read.parquet(f"{tmp_path}/out/{FACT}").collect())
 
     assert publish(fact_load_date="2021-06-01") == ["1", "2"]

@@ -1,0 +1,346 @@
+"""Late keys, changed rows in the serving store, missed days, landed pages and fields."""
+
+import json
+import re
+from datetime import date
+from pathlib import Path
+
+import pytest
+from minifeed import row, write_page
+from pyspark.sql import functions as F
+
+from starfold.__main__ import main
+from starfold.operators.compare import fingerprint, row_changes
+from starfold.operators.drift import landed_variants, schema_drift
+from starfold.operators.merge import merge_frames
+from starfold.paths import LakePaths
+from starfold.plans import ledger, pipeline, refresh, serving
+from starfold.plans.silver import load_hits
+from starfold.schema import DIMENSIONS, FACT, FEED
+from starfold.sources.pages import landed_pages, page_gaps
+from starfold.sources.sinks import jdbc_options, parallel_read
+from starfold.sources.tables import LOAD_DATE, SnapshotTable
+from starfold.streaming.landing import load_new_landings
+
+JSON = "bronze/vacinacao/json"
+D1, D2, D3 = (date(2021, 6, n) for n in (1, 2, 3))
+
+
+def land(root, day, rows, name="p_1.json"):
+    write_page(rows, root / JSON / f"2021/06/{day:02d}", name)
+
+
+def versions(spark, paths):
+    table = pipeline.fact_table(spark, paths)
+    snapshot = Path(table.current())
+    return {day: len(list(snapshot.glob(f"load_date={day}/version=*"))) for day in table.batches(str(snapshot))}
+
+
+def keys(spark, paths, column):
+    return {r.CD_VACINACAO: r[column] for r in pipeline.read_fact(spark, paths).collect()}
+
+
+@pytest.fixture
+def late_star(spark, tmp_path):
+    """Three days; vaccine 7 of the second day and patient z of the third have no dimension row yet."""
+    paths = LakePaths(str(tmp_path))
+    land(tmp_path, 1, [row("1"), row("2", vacina_codigo=None)])
+    land(tmp_path, 2, [row("3"), row("4", vacina_codigo="7"), row("2", vacina_codigo="7")])
+    land(tmp_path, 3, [row("5", paciente_id="z")])
+    for day in ("2021-06-01", "2021-06-02", "2021-06-03"):
+        load_hits(spark, paths, day)
+    pipeline.load_dimensions(spark, paths)
+    for name, lost in (("dm_vacinas", "CD_VACINA = 7"), ("dm_pacientes", "CD_PACIENTE = 'z'")):
+        table = pipeline.dimension_table(spark, paths, name)
+        table.replace(table.read().filter(f"not coalesce({lost}, false)"))
+    for day in ("2021-06-01", "2021-06-02", "2021-06-03"):
+        pipeline.load_fact(spark, paths, day)
+    return paths
+
+
+def test_late_keys_are_found_and_only_their_dates_rewritten(spark, late_star):
+    assert refresh.refresh_fact_keys(spark, late_star) == []
+    before = keys(spark, late_star, "SK_DM_VACINAS")
+    assert before["4"] is None and before["3"] is not None and before["2"] is None
+    pipeline.load_dimension(spark, late_star, "dm_vacinas")
+    assert refresh.refresh_fact_keys(spark, late_star) == [D2]
+    after = keys(spark, late_star, "SK_DM_VACINAS")
+    # Dose 2 is stored as the first day had it, without a vaccine; the second day's copy of it lends no key.
+    assert after["4"] is not None and after["2"] is None and {k: v for k, v in after.items() if k != "4"} == {
+        k: v for k, v in before.items() if k != "4"
+    }
+    assert versions(spark, late_star) == {"2021-06-01": 1, "2021-06-02": 2, "2021-06-03": 1}
+    assert keys(spark, late_star, "SK_DM_PACIENTES")["5"] is None
+    pipeline.load_dimension(spark, late_star, "dm_pacientes")
+    assert refresh.refresh_fact_keys(spark, late_star) == [D3]
+    assert refresh.refresh_fact_keys(spark, late_star) == []
+    assert keys(spark, late_star, "SK_DM_PACIENTES")["5"] is not None
+    assert pipeline.read_fact(spark, late_star).count() == 5
+
+
+def test_late_keys_of_a_table_without_rows(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    assert refresh.refresh_fact_keys(spark, paths) == []
+
+
+def test_late_keys_with_silver_given(spark, late_star):
+    """Where the load date is no run date of silver, the silver is said."""
+    pipeline.load_fact(spark, late_star, run_date="2021-07-01", mode="reload")
+    pipeline.load_dimensions(spark, late_star)
+    assert refresh.refresh_fact_keys(spark, late_star) == []
+    silver = pipeline.read_silver(spark, late_star.silver)
+    assert refresh.refresh_fact_keys(spark, late_star, silver=silver) == [date(2021, 7, 1)]
+    assert keys(spark, late_star, "SK_DM_VACINAS")["4"] is not None
+
+
+def test_rows_of_untouched_dates_are_read_for_nulls_alone(spark, late_star):
+    stored = pipeline.fact_table(spark, late_star).read()
+    lacking = stored.filter(F.col("SK_DM_VACINAS").isNull() | F.col("SK_DM_PACIENTES").isNull())
+    plan = lacking._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(SK_DM_VACINAS),IsNull(SK_DM_PACIENTES))]" in plan
+    some = stored.filter(F.col(LOAD_DATE).isin([F.lit(D2)]))
+    assert re.search(r"PartitionFilters: \[[^\]]*load_date", some._jdf.queryExecution().executedPlan().toString())
+    paths = [r[0] for r in some.select("_metadata.file_path").distinct().collect()]
+    assert paths and all("load_date=2021-06-02" in path for path in paths)
+
+
+def test_row_changes(spark):
+    schema = "k long, a string, b int"
+    old = spark.createDataFrame([(1, "x", 1), (2, None, 2), (3, "y", None), (4, "z", 4), (None, "n", 0), (6, "s", 1), (6, "s", 1)], schema)
+    new = spark.createDataFrame([(1, "x", 1), (2, "", 2), (3, None, None), (5, "z", 4), (None, "m", 0), (6, "s", 1)], schema)
+    found = {r.k: r.change for r in row_changes(old, new, ["k"]).collect()}
+    assert found == {2: "changed", 3: "changed", 4: "gone", 5: "new", None: "changed", 6: "changed"}
+    assert row_changes(new, new.withColumn("b", F.col("b").cast("int")), ["k"]).isEmpty()
+    assert row_changes(new.withColumn("b", F.col("b").cast("decimal(10,0)")), new, ["k"]).isEmpty()
+
+
+def test_fingerprints_tell_multisets(spark):
+    rows = [(1, "a"), (1, "a"), (2, None), (None, "2")]
+    base = spark.createDataFrame(rows, "x long, y string")
+    prints = lambda df: tuple(fingerprint(df, ["x", "y"]).first())
+    assert prints(base) == prints(base.orderBy("y").repartition(3)) and prints(base)[0] == 4
+    others = [rows[1:], rows + rows[:1], [(1, "a"), (1, "a"), (None, None), (2, "2")], [(1, "a"), (1, "b"), (2, None), (None, "2")], []]
+    assert len({prints(spark.createDataFrame(o, base.schema)) for o in [rows, *others]}) == 6
+
+
+@pytest.fixture
+def store(tmp_path):
+    return lambda name: {"path": f"{tmp_path}/store/{name}"}
+
+
+def stored_keys(spark, store):
+    return {r.CD_VACINACAO: r.SK_DM_VACINAS for r in spark.read.parquet(store(FACT)["path"]).collect()}
+
+
+def test_changed_doses_reach_the_store(spark, late_star, store):
+    publish = lambda day=None: serving.publish_gold(spark, late_star, "parquet", store, day)
+    assert publish("2021-06-01") == {"new": 2, "changed": 0, "gone": 0}
+    assert publish("2021-06-02") == {"new": 2, "changed": 0, "gone": 0}
+    assert publish("2021-06-02") == {"new": 0, "changed": 0, "gone": 0}
+    pipeline.load_dimension(spark, late_star, "dm_vacinas")
+    refresh.refresh_fact_keys(spark, late_star)
+    assert stored_keys(spark, store)["4"] is None
+    assert publish("2021-06-02") == {"new": 0, "changed": 1, "gone": 0}
+    assert stored_keys(spark, store) == {k: v for k, v in keys(spark, late_star, "SK_DM_VACINAS").items() if k != "5"}
+    # A rerun of the date without one of its doses, and the last date, never published.
+    land(Path(late_star.root), 2, [row("3")])
+    pipeline.run_day(spark, late_star, "2021-06-02")
+    assert publish("2021-06-02") == {"new": 0, "changed": 0, "gone": 1}
+    assert sorted(stored_keys(spark, store)) == ["1", "2", "3"]
+    assert serving.publish_changes(spark, late_star, "parquet", store) == {"new": 1, "changed": 0, "gone": 0}
+    assert stored_keys(spark, store) == keys(spark, late_star, "SK_DM_VACINAS")
+
+
+def test_a_store_that_merges_is_handed_the_changes(spark, late_star, store):
+    serving.publish_gold(spark, late_star, "parquet", store)
+    before = stored_keys(spark, store)
+    pipeline.load_dimensions(spark, late_star)
+    refresh.refresh_fact_keys(spark, late_star)
+    handed = []
+    counts = serving.publish_changes(spark, late_star, "parquet", store, merge=lambda df: handed.append(df.collect()))
+    assert counts == {"new": 0, "changed": 2, "gone": 0} and stored_keys(spark, store) == before
+    assert sorted((r.CD_VACINACAO, r.change) for r in handed[0]) == [("4", "changed"), ("5", "changed")]
+
+
+def test_store_and_gold_are_told_apart_by_one_cell(spark, late_star, store):
+    report = lambda where=store: {
+        (r.table_name, r.load_date): (r.gold_rows, r.store_rows, r.same) for r in serving.reconcile(spark, late_star, "parquet", where).collect()
+    }
+    lacking = report()
+    assert all(not same and rows == 0 for _, rows, same in lacking.values())
+    serving.publish_gold(spark, late_star, "parquet", store)
+    whole = report()
+    assert set(whole) == {(name, None) for name in DIMENSIONS} | {(FACT, d) for d in (D1, D2, D3)}
+    assert all(gold == rows and same for gold, rows, same in whole.values())
+    copies = {name: spark.read.parquet(store(name)["path"]) for name in [*DIMENSIONS, FACT]}
+    spoiled = lambda name: {"path": store(f"spoiled/{name}")["path"]}
+    one_cell = F.when(F.col("CD_VACINACAO") == "3", F.lit("2020-01-01").cast("date")).otherwise(F.col("DT_VACINACAO"))
+    copies[FACT].withColumn("DT_VACINACAO", one_cell).write.parquet(spoiled(FACT)["path"])
+    no_name = F.when(F.col("CD_VACINA") == 86, F.lit(None)).otherwise(F.col("NM_VACINA"))
+    copies["dm_vacinas"].withColumn("NM_VACINA", no_name).write.parquet(spoiled("dm_vacinas")["path"])
+    for name in set(DIMENSIONS) - {"dm_vacinas"}:
+        copies[name].write.parquet(spoiled(name)["path"])
+    differing = {group for group, (_, _, same) in report(spoiled).items() if not same}
+    assert differing == {("dm_vacinas", None), (FACT, D2)}
+
+
+def test_reading_back_over_jdbc_is_split():
+    options = parallel_read("jdbc", jdbc_options("jdbc:x", "t", "d", connections=9), "SK")
+    assert options["partitionColumn"] == "SK" and options["numPartitions"] == "9"
+    assert int(options["lowerBound"]) == -(2**63) and int(options["upperBound"]) == 2**63 - 1
+    assert parallel_read("parquet", {"path": "p"}, "SK") == {"path": "p"}
+
+
+def ids(spark, paths):
+    return sorted(r.CD_VACINACAO for r in pipeline.read_fact(spark, paths).collect())
+
+
+def test_catching_up(spark, tmp_path, monkeypatch):
+    paths = LakePaths(str(tmp_path))
+    assert ledger.catch_up(spark, paths) == []
+    land(tmp_path, 3, [row("5")])
+    land(tmp_path, 1, [row("1")])
+    assert ledger.catch_up(spark, paths, until="2021-06-03") == [D1]
+    assert ledger.catch_up(spark, paths) == [D3]
+    assert ledger.catch_up(spark, paths) == []
+    # A late file reopens its day, a day never landed before comes with it; one day a run.
+    land(tmp_path, 1, [row("2")], "p_2.json")
+    land(tmp_path, 2, [row("3")])
+    assert ledger.catch_up(spark, paths, most_days=1) == [D1] and ids(spark, paths) == ["1", "2", "5"]
+    assert ledger.catch_up(spark, paths) == [D2] and ids(spark, paths) == ["1", "2", "3", "5"]
+    # A file that is replaced or taken away reopens it, too.
+    land(tmp_path, 2, [row("3"), row("4")])
+    (tmp_path / JSON / "2021/06/01/p_2.json").unlink()
+    assert ledger.catch_up(spark, paths) == [D1, D2] and ids(spark, paths) == ["1", "3", "4", "5"]
+    # A run that fails before the star is committed leaves the day due.
+    land(tmp_path, 2, [row("3"), row("4"), row("6")])
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "load_fact_days", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ledger.catch_up(spark, paths)
+    assert ledger.catch_up(spark, paths) == [D2] and ids(spark, paths) == ["1", "3", "4", "5", "6"]
+    state = {r.day: r.n_files for r in ledger.read_ledger(spark, paths).collect()}
+    assert state == {D1: 1, D2: 1, D3: 1}
+
+
+def page(folder, name, cursors, text=None, **more):
+    folder.mkdir(parents=True, exist_ok=True)
+    hits = [{"_source": {"document_id": d, **more}, "sort": [t, d]} for t, d in cursors]
+    (folder / name).write_text(json.dumps(hits, indent=1) if text is None else text)
+
+
+def problems(spark, base, **options):
+    found = page_gaps(landed_pages(spark, str(base)), **options)
+    return sorted((r.day.day, r.page, r.problem) for r in found.collect())
+
+
+def test_pages_of_a_day(spark, tmp_path):
+    good, bad = tmp_path / "2021/06/01", tmp_path / "2021/06/02"
+    page(good, "2021-06-01_1.json", [(9, "a"), (9, "b")])
+    page(good, "2021-06-01_2.json", [(10, "a"), (10, "c")])
+    page(good, "2021-06-01_10.json", [(12, "z")])
+    for n in range(3, 10):
+        page(good, f"2021-06-01_{n}.json", [(11, f"{n}a"), (11, f"{n}b")])
+    assert problems(spark, tmp_path) == [] == problems(spark, tmp_path, page_size=2)
+    page(bad, "2021-06-02_2.json", [(1, "a"), (1, "b")])
+    page(bad, "2021-06-02_3.json", [(1, "a"), (1, "b")])
+    page(bad, "2021-06-02_4.json", [(1, "b"), (1, "c")])
+    page(bad, "2021-06-02_7.json", [(1, "d")])
+    page(bad, "2021-06-02_8.json", [(1, "e"), (1, "e")])
+    page(bad, "2021-06-02_9.json", [], text='[{"_source": {"docu')
+    page(bad, "2021-06-02_10.json", [(2, "a")])
+    want = [(2, 1, "missing"), (2, 3, "twice"), (2, 4, "overlap"), (2, 5, "missing"), (2, 6, "missing"), (2, 8, "repeated hits"), (2, 9, "broken")]
+    assert problems(spark, tmp_path) == want
+    assert problems(spark, tmp_path, page_size=2) == sorted([*want, (2, 7, "short"), (2, 9, "short")])
+
+
+def test_equal_rows_of_other_pages_are_not_twice(spark, tmp_path):
+    page(tmp_path / "2021/06/01", "p_1.json", [(1, "a"), (1, "b")], sistema_origem="x")
+    page(tmp_path / "2021/06/01", "p_2.json", [(1, "a"), (1, "b")], sistema_origem="y")
+    assert problems(spark, tmp_path) == [(1, 2, "overlap")]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_fields_that_drift(spark, tmp_path, multi_line):
+    plain = {f.name: 1 if f.dataType.typeName() == "integer" else "x" for f in FEED}
+    changed = {**plain, "vacina_codigo": "86", "extra": {"a": 1}, "paciente_idade": None}
+    del changed["sistema_origem"]
+    days = {1: [plain, plain], 2: [plain, changed, {**plain, "extra": {"a": "t"}}, {**plain, "extra": None}]}
+    for day, sources in days.items():
+        folder = tmp_path / JSON / f"2021/06/{day:02d}"
+        folder.mkdir(parents=True)
+        (folder / "p.json").write_text(json.dumps([{"_source": s, "sort": [1]} for s in sources], indent=1 if multi_line else None))
+        (folder / "broken.json").write_text('[{"_source')
+        (folder / "empty.json").write_text("")
+    found = schema_drift(landed_variants(spark, f"{tmp_path}/{JSON}", multi_line=multi_line))
+    rows = sorted((r.day.day, r.field, r.drift, r.found, r.n_hits) for r in found.collect())
+    assert rows == [
+        (2, "extra", "unknown", "OBJECT<a: VARIANT>", 3), (2, "sistema_origem", "missing", None, 1),
+        (2, "vacina_codigo", "retyped", "STRING", 1),
+    ]
+
+
+def test_a_repaired_page_leaves_no_rejects(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    folder = tmp_path / JSON / "2021/06/01"
+    land(tmp_path, 1, [row("1")])
+    (folder / "broken.json").write_text('[{"_source": {"docu')
+    assert load_hits(spark, paths, "2021-06-01") == 1
+    rejects = tmp_path / "rejected/vacinacao/2021/06/01"
+    assert rejects.exists()
+    (folder / "broken.json").unlink()
+    assert load_hits(spark, paths, "2021-06-01") == 0 and not rejects.exists()
+
+
+def test_the_stream_sets_rejects_aside_by_day(spark, tmp_path):
+    paths = LakePaths(f"{tmp_path}/lake")
+    land(tmp_path / "lake", 1, [row("1")])
+    land(tmp_path / "lake", 2, [row("2")])
+    (tmp_path / "lake" / JSON / "2021/06/02/broken.json").write_text('[{"_source": {"docu')
+    for _ in range(2):
+        load_new_landings(spark, paths, "2021-06-10", f"{tmp_path}/checkpoint").awaitTermination()
+    rejects = tmp_path / "lake/rejected/vacinacao/2021/06"
+    assert [p.name for p in rejects.iterdir()] == ["02"]
+    assert spark.read.text(f"{rejects}/02/batch-00000000").first()[0].startswith('[{"_source"')
+    assert ids(spark, paths) == ["1", "2"]
+
+
+@pytest.mark.parametrize("keep", [1, 2, 3, 4, 5, 6])
+def test_versions_kept(spark, tmp_path, keep):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for n in range(4):
+        table.load_batch(spark.range(n), "2021-06-01")
+    table.drop_old_snapshots(keep)
+    left = list((tmp_path / "t").glob("snapshot-*/load_date=2021-06-01/version=*"))
+    assert len(left) == min(keep, 4) and table.read().count() == 3
+
+
+def test_keeping_filled_attributes(spark):
+    schema = "k string, day int, name string, state string"
+    old = spark.createDataFrame([("a", 5, "A", None), ("b", 5, "B", "x"), (None, 5, "N", "n"), ("d", 1, "D", "d")], schema)
+    new = spark.createDataFrame([("a", 3, None, "s"), ("b", 9, None, None), (None, 9, None, "m"), ("c", 9, None, None)], schema)
+    merged = lambda **o: {r.k: tuple(r)[1:] for r in merge_frames(old, new, ["k"], keep_filled=["name", "state"], **o).collect()}
+    assert merged() == {"a": (3, "A", "s"), "b": (9, "B", "x"), None: (9, "N", "m"), "c": (9, None, None), "d": (1, "D", "d")}
+    assert merged(newer_by="day") == {"a": (5, "A", "s"), "b": (9, "B", "x"), None: (9, "N", "m"), "c": (9, None, None), "d": (1, "D", "d")}
+
+
+def test_a_nameless_row_does_not_wipe_a_name(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    for day, name in ((1, "SAO PAULO"), (2, "None")):
+        land(tmp_path, day, [row(str(day), paciente_endereco_nmMunicipio=name, estabelecimento_municipio_nome=name)])
+        load_hits(spark, paths, f"2021-06-0{day}")
+        pipeline.load_dimension(spark, paths, "dm_municipios", f"2021-06-0{day}", keep_filled=True)
+    names = {r.NM_MUNICIPIO for r in pipeline.read_dimension(spark, paths, "dm_municipios").collect()}
+    assert names == {"SAO PAULO"}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    land(tmp_path, 1, [row("1")])
+    root = ["--root", str(tmp_path)]
+    main([*root, "catch-up"])
+    assert "2021-06-01" in capsys.readouterr().out
+    main([*root, "catch-up"])
+    main([*root, "refresh-keys"])
+    main([*root, "check-pages"])
+    main([*root, "check-fields"])
+    assert ids(spark, LakePaths(str(tmp_path))) == ["1"]
