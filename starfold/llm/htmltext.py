@@ -1,8 +1,9 @@
 """Main text of web pages by scoring the page's tree.
 
 A page is read into a tree of its block elements; inline elements only leave their text. Navigation, headers and footers of
-the page, asides, forms, scripts, adverts, notices and comments are taken out by element, role, and the words of class and
-id, and so are lists that are mostly links. Paragraphs then pass points for their length and commas to five ancestors, all
+the page, asides, controls, scripts and what is hidden are taken out by element and role, with all they hold, and so are lists
+that are mostly links. Forms, and elements whose class or id names an advert, a notice, a sidebar, remarks and the like, are
+suspect only: they go unless they hold the page's article or most of its text (``judge``). Paragraphs then pass points for their length and commas to five ancestors, all
 to the parent, half to the next one up, then a third and so on; every container's points are discounted by the share of its
 text that is links. The container with the most points is the article, or the article or main element around it. Its
 siblings are kept where they score enough beside it or are plain paragraphs and headings.
@@ -43,7 +44,7 @@ ENDS_OPEN = {
     "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-DROPPED = frozenset("head nav footer aside form button select textarea dialog menu search fieldset option frameset".split())
+DROPPED = frozenset("head nav footer aside button select textarea dialog menu search fieldset option frameset".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 # Words of class and id that name what is not the article, wherever they stand.
 DROPPED_WORDS = frozenset(
@@ -53,6 +54,8 @@ DROPPED_WORDS = frozenset(
     "footnav masthead topbar share sharing social related recommended recommendations outbrain taboola widget widgets pagination "
     "pager skip toolbar".split()
 )
+# Those of them that name what readers wrote.
+REMARK_WORDS = frozenset("comment comments disqus respond replies reply".split())
 # Beginnings of words that do so too.
 DROPPED_STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "adsby")
 # Inline elements whose class or id can name an advert or a notice.
@@ -67,6 +70,8 @@ ANCESTORS = 5
 # Siblings are kept from this share of the best container's points on, and below this share of linked text.
 SIBLING_SHARE = 0.2
 LINKED_SHARE = 0.25
+# Suspects that together weigh so many times what is not suspect hold the article between them.
+SCATTERED = 4
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
@@ -193,14 +198,13 @@ def parse(page: str) -> list[Node]:
     return found
 
 
-def unwanted(node: Node) -> bool:
-    """Whether an element is no part of any article, by its name, role, class and id."""
-    if node.tag in DROPPED:
-        return True
-    if node.tag == "header" and not node.in_article:
-        return True
-    if not node.attributes.strip(" /"):
-        return False
+WANTED, GONE, SUSPECT, REMARKS = range(4)
+
+
+def verdict(node: Node) -> int:
+    """What an element's name, role, class and id say of it: no part of any article, suspect, or perhaps readers' remarks."""
+    if node.tag in DROPPED or node.tag == "header" and not node.in_article:
+        return GONE
     spared = node.tag in ("html", "body", "article", "main")
     words: set[str] = set()
     for name, value in _ATTRIBUTE.findall(node.attributes):
@@ -208,14 +212,18 @@ def unwanted(node: Node) -> bool:
         if name in ("class", "id"):
             words.update(word.lower() for word in _WORDS.findall(value))
         elif name == "role" and value.strip().lower() in DROPPED_ROLES and not spared:
-            return True
+            return GONE
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-    if node.tag == "article" and words & {"comment", "comments", "reply"}:
-        return True
+            return GONE
+    if node.tag == "article":
+        return REMARKS if words & {"comment", "comments", "reply"} else WANTED
     if spared or words & SPARED_WORDS:
-        return False
-    return dropping(words) or "header" in words and node.tag == "div" and not node.in_article
+        return SUSPECT if node.tag == "form" else WANTED
+    if words & REMARK_WORDS or any(word.startswith("comment") and word != "commentary" for word in words):
+        return REMARKS
+    if node.tag == "form" or dropping(words) or "header" in words and node.tag == "div" and not node.in_article:
+        return SUSPECT
+    return WANTED
 
 
 def dropping(words: set[str]) -> bool:
@@ -228,10 +236,112 @@ def unwanted_inline(attributes: str) -> bool:
     return dropping({word.lower() for value in values for word in _WORDS.findall(html.unescape(value))})
 
 
+def judge(found: list[Node]) -> None:
+    """Mark what is unwanted.
+
+    Names and words alone only make an element suspect. A suspect goes, but not if it holds the page's weightiest article (or
+    main) element. Where no such element has text of its own outside suspects, half of that weight is enough, and a suspect
+    stays if it weighs more than all that is not suspect and than the other suspects, or, if suspects together weigh far more than the rest, if it shares
+    a listed word with the heaviest and is hardly linked. Weight is paragraph points. What is within a kept suspect is judged
+    again beside it.
+    """
+    says = {id(node): verdict(node) for node in found}
+    for node in found[1:]:
+        node.gone = node.parent.gone or says[id(node)] == GONE
+        # An article with a remark's class is one only among remarks or within another article.
+        if node.tag == "article" and says[id(node)] == REMARKS:
+            at = node.parent
+            while at is not None and not (at.tag == "article" or says[id(at)] == REMARKS):
+                at = at.parent
+            if at is None:
+                says[id(node)] = WANTED
+    weight, held, linked, length = {}, {}, {}, {}
+    for node in reversed(found):
+        own = 0 if node.gone or node.tag in HEADINGS else sum(
+            points(part.text) * (1 - part.links / len(part.text)) for part in node.parts if isinstance(part, Block)
+        )
+        kids = [part for part in node.parts if isinstance(part, Node) and not part.gone]
+        at = id(node)
+        weight[at] = own + sum(weight[id(kid)] for kid in kids)
+        mine = [part for part in node.parts if isinstance(part, Block)]
+        length[at] = sum(len(part.text) for part in mine) + sum(length[id(kid)] for kid in kids)
+        linked[at] = sum(part.links for part in mine) + sum(linked[id(kid)] for kid in kids)
+        real = node.tag in ("article", "main") and says[at] == WANTED
+        held[at] = max([weight[at] if real else 0, *(held[id(kid)] for kid in kids)])
+
+    def clean(top: Node) -> float:
+        """Weight below a node outside suspects."""
+        total, waiting = weight[id(top)], [part for part in top.parts if isinstance(part, Node)]
+        while waiting:
+            node = waiting.pop()
+            if node.gone:
+                continue
+            if says[id(node)] != WANTED:
+                total -= weight[id(node)]
+            else:
+                waiting.extend(part for part in node.parts if isinstance(part, Node))
+        return total
+
+    root, waiting = found[0], [found[0]]
+    outside = clean(root)
+    told = any(
+        not node.gone and says[id(node)] == WANTED and (node.tag == "article" and clean(node) >= 1 or node.tag == "main" and clean(node) >= weight[id(root)] / 4)
+        for node in outermost(found, says)
+    )
+    while waiting:
+        suspects, layer = [], waiting
+        waiting = []
+        while layer:
+            node = layer.pop()
+            for part in node.parts:
+                if isinstance(part, Node) and not part.gone:
+                    (layer if says[id(part)] == WANTED else suspects).append(part)
+        plain = [node for node in suspects if says[id(node)] == SUSPECT]
+        heaviest = max(plain, key=lambda node: weight[id(node)], default=None)
+        suspected = sum(weight[id(node)] for node in plain)
+        scattered = SCATTERED * outside < suspected
+        for node in suspects:
+            at = id(node)
+            keep = held[at] > 0 and (1 if told else 2) * held[at] >= held[id(root)]
+            if says[at] == SUSPECT and not told and weight[at]:
+                alike = linked[at] < LINKED_SHARE * length[at] and listed(node) & listed(heaviest)
+                keep = keep or weight[at] > max(outside, suspected / 2) or scattered and bool(alike)
+            if keep:
+                waiting.append(node)
+            else:
+                hide(node)
+        outside += sum(clean(node) for node in waiting)
+
+
+def listed(node: Node) -> set[str]:
+    """The words of class and id that make an element suspect."""
+    values = [value for name, value in _ATTRIBUTE.findall(node.attributes) if name.lower() in ("class", "id")]
+    return {word for value in values for word in map(str.lower, _WORDS.findall(html.unescape(value))) if dropping({word})}
+
+
+def outermost(found: list[Node], says: dict[int, int]) -> Iterator[Node]:
+    """Article and main elements that no suspect element is around; of nested ones all."""
+    waiting = [found[0]]
+    while waiting:
+        node = waiting.pop()
+        if node.gone or says[id(node)] != WANTED:
+            continue
+        if node.tag in ("article", "main"):
+            yield node
+        waiting.extend(part for part in node.parts if isinstance(part, Node))
+
+
+def hide(top: Node) -> None:
+    waiting = [top]
+    while waiting:
+        node = waiting.pop()
+        node.gone = True
+        waiting.extend(part for part in node.parts if isinstance(part, Node))
+
+
 def prune(found: list[Node]) -> None:
     """Mark what is unwanted, and count text and link characters of what is left."""
-    for node in found[1:]:
-        node.gone = node.parent.gone or unwanted(node)
+    judge(found)
     for node in reversed(found):
         for part in node.parts:
             if isinstance(part, Block):

@@ -58,6 +58,52 @@ def test_siblings_are_kept():
     assert main_text(page(body)) == "\n\n".join(["Title", P1, P2, P3, P1, "Short end."])
 
 
+LONG_ARTICLE = "".join(f"<p>{text}</p>" for text in (P1, P2, P3) * 4)
+WANTED = "\n\n".join([P1, P2, P3] * 4)
+
+
+@pytest.mark.parametrize("junk", ["", *BOILERPLATE, "".join(BOILERPLATE)])
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<form id="aspnet"><article>', "</article></form>"),
+        ('<form method="post"><div>', "</div></form>"),
+        ('<div class="elementor-widget"><article>', "</article></div>"),
+        ('<div class="elementor-widget"><div class="elementor-widget-container">', "</div></div>"),
+        ('<div class="social-news"><article>', "</article></div>"),
+        ('<div class="social-news">', "</div>"),
+        ('<article class="post hentry comment-status open comments-open">', "</article>"),
+        ('<div class="post share-enabled">', "</div>"),
+        ('<section id="discussion-paper">', "</section>"),
+        ('<section id="discussion-paper"><article>', "</article></section>"),
+        ('<main><div class="widget"><article>', "</article></div></main>"),
+        ('<form><div class="widget modal"><section id="promo">', "</section></div></form>"),
+    ],
+)
+def test_words_do_not_delete_the_article(start, end, junk):
+    assert main_text(page(f"{junk}{start}{LONG_ARTICLE}{end}{junk}")) == WANTED
+    if "<header" not in junk:
+        assert main_text(page(f"{start}{junk}{LONG_ARTICLE}{junk}{end}")) == WANTED
+
+
+def test_an_article_in_several_suspects():
+    body = "".join(f'<div class="elementor-widget"><p>{text}</p><p>{P1}</p></div>' for text in (P1, P2, P3))
+    assert main_text(page(f"<div>{body}</div>{''.join(BOILERPLATE)}")) == "\n\n".join([P1, P1, P2, P1, P3, P1])
+
+
+def test_long_suspects_beside_an_article_go():
+    side = f'<div class="sidebar">{LONG_ARTICLE}</div>'
+    remarks = "".join(f'<article class="comment"><p>{P2}</p></article>' for _ in range(9))
+    cards = "".join(f"<article><p>{P3}</p></article>" for _ in range(4))
+    body = f'{side}<article><p>{P1}</p><p>{P2}</p><p>{P1}</p></article><section id="comments">{remarks}</section><div class="related">{cards}</div>'
+    assert main_text(page(body)) == "\n\n".join([P1, P2, P1])
+
+
+def test_many_nested_suspects():
+    deep = '<div class="widget">' * 2000 + f"<p>{P1}</p>" + "</div>" * 2000
+    assert main_text(page(deep)) == P1
+
+
 def test_blocks_and_white_space():
     body = f"<article><p>  One\n\t two&nbsp;&amp; <b>bo</b>ld<br>line </p><ul><li>item <i>a</i><li>item b</ul>loose <a href=x>link</a> text<pre>a\n  b</pre><p>{P1}</article>"
     assert main_text(page(body)) == "\n\n".join(["One two & bold line", "item a", "item b", "loose link text", "a b", P1])
