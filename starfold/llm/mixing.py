@@ -11,6 +11,8 @@ by size; equal rows are interchangeable. Reruns and other partitionings give the
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +57,18 @@ def source_targets(sizes: DataFrame, source: str = "source", size: str = "size",
     )
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str = "size", cap: int = MOST_EPOCHS) -> DataFrame:
+def mix(
+    docs: DataFrame, key: str = "doc_id", source: str = "source", size: str = "size", cap: int = MOST_EPOCHS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """What the mix takes of each row: ``key``, ``source``, ``size``, ``source_size``, ``target``, ``taken``.
 
-    ``docs`` holds the three columns; others are left behind. ``taken`` counts words over all epochs; a source's sum is
+    ``docs`` holds the three columns; of others those to ``carry`` stay, the rest is left behind. ``taken`` counts words over all epochs; a source's sum is
     its target rounded down.
     """
     rows = docs.select(
         F.col(key).alias("__key"), F.col(source).alias("__source"), F.col(size).cast("long").alias("__size"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("__at"),
+        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("__at"), *carry,
     ).withColumn("__range", F.substring("__at", 1, RANGE_DIGITS))
     # Three passes follow; written once, the sizes are not counted from the texts each time.
     rows = written(rows, "mix-sizes")
@@ -85,7 +90,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str
     last = F.least(F.greatest(rest - (F.col("__start") + F.col("__before")), F.lit(0)), F.col("__size"))
     return placed.select(
         F.col("__key").alias(key), F.col("__source").alias(source), F.col("__size").alias(size),
-        "source_size", "target", (epochs * F.col("__size") + last).cast("long").alias("taken"),
+        "source_size", "target", *carry, (epochs * F.col("__size") + last).cast("long").alias("taken"),
     )
 
 
