@@ -1,20 +1,22 @@
 """Document scores by masked pseudo-likelihood.
 
 A small network sees the two words before and the two after a place and predicts the word that is masked there: each
-neighbour adds the vector of its word at that distance, a tanh layer follows, and the word is predicted as a class of words
-and a member of the class. The 1,023 most frequent words are members of 32 classes; all others are one more class, whose
-members are the leaves of a binary tree. A document's score is the sum over all its words of the log-probability of each given
-the words on both sides.
-
-The vocabulary is every word that occurs ``FREQUENT`` times or more in all documents, and the 4,095 most frequent in any case,
-so it grows with the corpus; words meet by 64-bit hashes. Each word beyond it has the probability of an unknown word there
-times that of its spelling, by a model of byte trigrams counted over all such words. The network is trained in numpy by every
-task on all of its documents, from the same start, and the tasks' networks are averaged: what all words share by the number of
-words a task saw, a word's vectors and a tree node's weights by how often the task met them. All steps go through every
-document, once each by default. The driver and each task hold one network, of some 330 bytes a word of the vocabulary. The
-average depends on how the input is split into tasks, so scores are compared within a run.
-
-Words are what stands between ASCII white space, A-Z in lower case. Null and empty texts have no words and score 0.
+neighbour adds the vector of its word at that distance, a tanh layer follows, and the word is predicted as a class of symbols
+and a member of the class. The 1,024 most frequent words are symbols of their own; every other word falls by its hash into one
+of 1,024 buckets, which are symbols too, and is one of the words of its bucket with a chance that its count in all documents
+gives. A document's score is the sum over all its words of the log-probability of each given the words on both sides.
+
+So the network has one size for any corpus, some 0.7 MB in the driver and in each task, while the counts grow with the corpus
+and stay a table: the words of the documents are shuffled to their counts, never the counts to a task or the driver. No such
+word is hot, as 1,024 others are more frequent. A count is lowered by ``DISCOUNT``, and what this frees is shared among all words
+by their spelling, a model of byte trigrams counted over all words in buckets; a word that no document had has this share alone.
+
+The network is trained in numpy by every task on its split of the documents, from the same start, and the tasks' networks are
+averaged: a word's vectors by how often the task met them, all else by the number of words a task saw. All steps go through
+every document, once each by default. The average depends on how the input is split, so scores are compared within a run.
+
+Words are what stands between ASCII white space, A-Z in lower case, and meet by 64-bit hashes. Null and empty texts have no
+words and score 0.
 """
 
 from __future__ import annotations
@@ -25,15 +27,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Words seen so often are in the vocabulary, and so many words in any case.
-FREQUENT = 50
-LEAST = 4095
-CLASSES = MEMBERS = 32
+from starfold.llm.recovery import written
+
+# Most frequent words, and buckets of all others.
+FREQUENT = 1024
+BUCKET_BITS = 10
+BUCKETS = 1 << BUCKET_BITS
+CLASSES, MEMBERS = 32, 64
 WORDS = CLASSES * MEMBERS
 EDGE = WORDS
+# What is taken off each word's count for words that are told by their spelling.
+DISCOUNT = 0.75
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
 BATCH = 8192
@@ -51,6 +60,7 @@ TRUST = 5.0
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([code + 32 if 65 <= code <= 90 else code for code in range(256)], np.uint64) + np.uint64(1)
 _WEIGHTS = np.random.default_rng(SEED).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+_FARTHER = np.uint64(0x9E3779B97F4A7C15)
 
 Params = list[np.ndarray]
 
@@ -92,7 +102,10 @@ def _hashed(data: np.ndarray, inside: np.ndarray, first: np.ndarray, last: np.nd
     heads = np.cumsum(lengths) - lengths
     letters = data[first[0] : last[-1]][inside[first[0] : last[-1]]]
     place = np.arange(len(letters)) - np.repeat(heads, lengths)
-    hashes = np.add.reduceat(_LOWER[letters] * _WEIGHTS[place & 63], heads)
+    weights = _WEIGHTS[place & 63]
+    if lengths.max() > 64:
+        weights = weights + (place >> 6).astype(np.uint64) * _FARTHER
+    hashes = np.add.reduceat(_LOWER[letters] * weights, heads)
     hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return (hashes ^ (hashes >> np.uint64(29))).view(np.int64)
 
@@ -173,68 +186,71 @@ class Spelling:
 
 
 class Vocabulary:
-    """Word ids by hash: 1 for the most frequent word, and so on, without ``EDGE``; 0 for what is not in it."""
-
-    def __init__(self, hashes: np.ndarray):
-        order = np.argsort(hashes.view(np.uint64))
-        # One more of each ends the last run; no word can be found there.
-        self.hashes, self.ids = np.append(hashes[order], 0), np.append(order + 1 + (order + 1 >= EDGE), 0)
-        # The first bits of a hash name a run of the sorted hashes.
-        self.shift = np.uint64(64 - (len(hashes).bit_length() + 3))
-        slots = hashes[order].view(np.uint64) >> self.shift
-        self.starts = np.searchsorted(slots, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
-        self.longest = int(np.diff(self.starts).max())
-        self.rare = max(0, len(hashes) + 1 - WORDS)
+    """Symbols by hash, and what the words of each bucket share.
+
+    ``counts`` is the table of ``hash`` and ``n`` of all words of the corpus.
+    """
+
+    def __init__(self, hashes: np.ndarray, counts: DataFrame):
+        """``hashes`` of the most frequent words, the first being symbol 0."""
+        order = np.argsort(hashes)
+        self.hashes, self.ranks = hashes[order], order
+        self.counts = counts
+        self.totals, self.different = np.zeros(BUCKETS), np.zeros(BUCKETS)
         self.spelling = Spelling(np.empty(0, np.int64), np.empty(0, np.int64))
 
     def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
         wanted = np.asarray(hashes, np.int64)
-        at = self.starts[wanted.view(np.uint64) >> self.shift]
-        ids = np.zeros(wanted.shape, np.int64)
-        for step in range(self.longest):
-            here = np.minimum(at + step, len(self.hashes) - 1)
-            ids = np.where(self.hashes[here] == wanted, self.ids[here], ids)
+        ids = FREQUENT + bucket(wanted)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+            ids = np.where(self.hashes[at] == wanted, self.ranks[at], ids)
         return ids
 
+    def __getstate__(self):
+        # The counts stay a table; tasks get what is of one size.
+        return {**self.__dict__, "counts": None}
+
+
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
-def _unknown(vocabulary: Vocabulary, found: tuple[np.ndarray, ...], ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of the words without id, some at a time: their trigrams, and the row each is in."""
-    _, rows, data, first, last = found
-    unknown = np.flatnonzero(ids == 0)
-    for low in range(0, len(unknown), WORDS_AT_ONCE):
-        part = unknown[low : low + WORDS_AT_ONCE]
-        codes, word = spelled(data, first[part], last[part])
-        yield codes, rows[part[word]]
+
+def _bucketed(found: tuple[np.ndarray, ...], ids: np.ndarray) -> Iterator[np.ndarray]:
+    """The trigrams of the words in buckets, some words at a time."""
+    _, _, data, first, last = found
+    others = np.flatnonzero(ids >= FREQUENT)
+    for low in range(0, len(others), WORDS_AT_ONCE):
+        part = others[low : low + WORDS_AT_ONCE]
+        yield spelled(data, first[part], last[part])[0]
 
 
 def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """All frequent words of all documents, and the spelling of the others."""
-    counts = _count(docs, text, "hash", lambda column: [word_bins(column)[0]])
-    top = counts.filter(F.col("n") >= FREQUENT).toArrow()
-    if top.num_rows < LEAST:
-        top = counts.orderBy(F.desc("n"), "hash").limit(LEAST).toArrow()
-    hashes, n = (top.column(name).to_numpy().astype(np.int64) for name in ("hash", "n"))
-    known = Vocabulary(hashes[np.lexsort((hashes, -n))])
+    """Counts of all words of all documents, the most frequent ones, and the spelling of the others."""
+    counts = written(_count(docs, text, "hash", lambda column: [word_bins(column)[0]]), "word-counts")
+    top = counts.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
+    known = Vocabulary(top.column("hash").to_numpy().astype(np.int64), counts)
+    # At most so many rows as there are frequent words, and a row for each bucket.
+    frequent = F.broadcast(docs.sparkSession.createDataFrame([(int(one),) for one in known.hashes], "hash long"))
+    others = counts.join(frequent, "hash", "left_anti").groupBy(F.shiftrightunsigned("hash", 64 - BUCKET_BITS).alias("bucket"))
+    shares = others.agg(F.sum("n").alias("total"), F.count("*").alias("different")).toArrow()
+    at = shares.column("bucket").to_numpy()
+    known.totals[at], known.different[at] = (shares.column(name).to_numpy() for name in ("total", "different"))
 
     def trigrams(column: pa.Array) -> Iterator[np.ndarray]:
         found = _words(column)
-        return (codes for codes, _ in _unknown(known, found, known[found[0]]))
+        return _bucketed(found, known[found[0]])
 
     seen = _count(docs, text, "code", trigrams).toArrow()
     known.spelling = Spelling(*(seen.column(name).to_numpy().astype(np.int64) for name in ("code", "n")))
     return known
 
 
-def fresh(rare: int = 0) -> Params:
-    """Vectors of the words at each offset, hidden bias, class weights and bias, member weights and bias.
-
-    With ``rare`` words from id ``EDGE`` + 1 on there are one more class and its tree: a node's weights and last its bias.
-    """
+def fresh() -> Params:
+    """Vectors of the symbols at each offset, hidden bias, class weights and bias, member weights and bias."""
     draws = np.random.default_rng(SEED)
-    classes = CLASSES + (rare > 0)
-    shapes = [(len(OFFSETS) * (WORDS + 1 + rare), HIDDEN), (HIDDEN,), (HIDDEN, classes), (classes,), (CLASSES, HIDDEN, MEMBERS), (CLASSES, MEMBERS)]
-    params = [draws.normal(0, 0.1, shape).astype(np.float32) if len(shape) > 1 else np.zeros(shape, np.float32) for shape in shapes]
-    return params + ([np.zeros((rare, HIDDEN + 1), np.float32)] if rare else [])
+    shapes = [(len(OFFSETS) * (WORDS + 1), HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,), (CLASSES, HIDDEN, MEMBERS), (CLASSES, MEMBERS)]
+    return [draws.normal(0, 0.1, shape).astype(np.float32) if len(shape) > 1 else np.zeros(shape, np.float32) for shape in shapes]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -251,20 +267,18 @@ class Pass:
     hidden: np.ndarray
     classes: np.ndarray
     members: list[tuple[int, np.ndarray, np.ndarray]]
-    # Of the words in the tree: their places, the nodes above them, the nodes' weights, and the slopes there.
-    tree: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None
 
 
 def forward(params: Params, around: np.ndarray, ids: np.ndarray) -> Pass:
     """Log-probability of each word given its window; ``around`` has a row per offset."""
-    vectors, hidden_bias, class_w, class_b, member_w, member_b, *nodes_w = params
+    vectors, hidden_bias, class_w, class_b, member_w, member_b = params
     rows = around + (np.arange(len(OFFSETS)) * (len(vectors) // len(OFFSETS)))[:, None]
     total = np.take(vectors, rows[0], axis=0)
     for row in rows[1:]:
         total += np.take(vectors, row, axis=0)
     hidden = np.tanh(total + hidden_bias)
     classes = _softmax(hidden @ class_w + class_b)
-    kinds = np.minimum(ids // MEMBERS, CLASSES).astype(np.int8)
+    kinds = (ids // MEMBERS).astype(np.int8)
     log_p = np.log(classes[np.arange(len(ids)), kinds])
     order = np.argsort(kinds, kind="stable")
     ends = np.cumsum(np.bincount(kinds, minlength=CLASSES))
@@ -275,18 +289,7 @@ def forward(params: Params, around: np.ndarray, ids: np.ndarray) -> Pass:
             chances = _softmax(hidden[here] @ member_w[kind] + member_b[kind])
             log_p[here] += np.log(chances[np.arange(len(here)), ids[here] % MEMBERS])
             members.append((kind, here, chances))
-    here, tree = order[ends[CLASSES - 1] :], None
-    if len(here):
-        # Leaves are numbered on from the nodes as in a heap: half a number is the node above, its last bit the side.
-        leaves = ids[here] - EDGE - 1 + len(nodes_w[0])
-        up = np.arange(int(leaves.max()).bit_length() - 1)
-        nodes, side = leaves[:, None] >> (up + 1), np.where(leaves[:, None] >> up & 1, 1, -1).astype(hidden.dtype)
-        weights = np.take(nodes_w[0], nodes, axis=0)
-        logits = np.einsum("ndh,nh->nd", weights[:, :, :-1], hidden[here]) + weights[:, :, -1]
-        odds = np.where(nodes > 0, np.exp(np.minimum(-side * logits, 80)), 0)
-        log_p[here] -= np.log1p(odds).sum(axis=1)
-        tree = here, nodes, weights, -side * odds / (1 + odds)
-    return Pass(log_p, rows, hidden, classes, members, tree)
+    return Pass(log_p, rows, hidden, classes, members)
 
 
 @dataclass
@@ -311,10 +314,10 @@ def _row_sums(rows: np.ndarray, columns: Iterator[np.ndarray], width: int, size:
 
 
 def _gradients(params: Params, done: Pass, ids: np.ndarray) -> list[np.ndarray | Sparse]:
-    """Of the mean negative log-probability, sparse for vectors and tree; uses up what the pass has left."""
-    vectors, _, class_w, _, member_w, member_b, *nodes_w = params
+    """Of the mean negative log-probability, sparse for vectors; uses up what the pass has left."""
+    vectors, _, class_w, _, member_w, member_b = params
     count = np.float32(len(ids))
-    done.classes[np.arange(len(ids)), np.minimum(ids // MEMBERS, CLASSES)] -= 1
+    done.classes[np.arange(len(ids)), ids // MEMBERS] -= 1
     back = done.classes @ class_w.T
     member_w_g, member_b_g = np.zeros_like(member_w), np.zeros_like(member_b)
     for kind, here, chances in done.members:
@@ -322,20 +325,10 @@ def _gradients(params: Params, done: Pass, ids: np.ndarray) -> list[np.ndarray |
         member_w_g[kind] = done.hidden[here].T @ chances
         member_b_g[kind] = chances.sum(axis=0)
         back[here] += chances @ member_w[kind].T
-    tree = []
-    if nodes_w:
-        tree = [Sparse(np.empty(0, np.int64), np.empty((0, HIDDEN + 1), np.float32), np.empty(0, np.int64))]
-    if done.tree is not None:
-        here, nodes, weights, slopes = done.tree
-        back[here] += np.einsum("nd,ndh->nh", slopes, weights[:, :, :-1])
-        real = nodes > 0
-        flat, slope, word = nodes[real], slopes[real], np.broadcast_to(here[:, None], nodes.shape)[real]
-        columns = (slope * done.hidden[word, column] if column < HIDDEN else slope for column in range(HIDDEN + 1))
-        tree = [_row_sums(flat, columns, HIDDEN + 1, len(nodes_w[0]))]
     back *= 1 - done.hidden**2
     columns = (np.tile(back[:, column], len(OFFSETS)) for column in range(HIDDEN))
     vectors_g = _row_sums(done.rows.ravel(), columns, HIDDEN, len(vectors))
-    found = [vectors_g, back.sum(axis=0), done.hidden.T @ done.classes, done.classes.sum(axis=0), member_w_g, member_b_g, *tree]
+    found = [vectors_g, back.sum(axis=0), done.hidden.T @ done.classes, done.classes.sum(axis=0), member_w_g, member_b_g]
     for gradient in found:
         values = gradient.values if isinstance(gradient, Sparse) else gradient
         values /= count
@@ -373,8 +366,8 @@ def train_on(params: Params, squares: Params, around: np.ndarray, ids: np.ndarra
 
 
 # Networks are added up in rows of so many numbers.
-WIDTH = HIDDEN + 1
-SPARSE = (0, 6)
+WIDTH = HIDDEN
+SPARSE = (0,)
 
 
 def _in_rows(value: np.ndarray, number: int) -> np.ndarray:
@@ -386,7 +379,7 @@ def _in_rows(value: np.ndarray, number: int) -> np.ndarray:
 
 def train(docs: DataFrame, ids_of_bins: Vocabulary, text: str = "text", rounds: int = 1) -> Params:
     """The average of the networks that the tasks have trained on all their documents; the driver holds one network."""
-    params = fresh(ids_of_bins.rare)
+    params = fresh()
     columns = [f"x{column}" for column in range(WIDTH)]
     sizes = [len(_in_rows(value, number)) for number, value in enumerate(params)]
     starts = np.cumsum([0, *sizes]).tolist()
@@ -416,9 +409,7 @@ def train(docs: DataFrame, ids_of_bins: Vocabulary, text: str = "text", rounds:
 
         schema = ", ".join(["i int, w long", *(f"{column} float" for column in columns)])
         means = [(F.sum(F.col("w") * F.col(column).cast("double")) / F.sum("w")).cast("float").alias(column) for column in columns]
-        # Each task hands on a network: one for each core, however large the input, not one for each split.
-        tasks = docs.sparkSession.sparkContext.defaultParallelism
-        sums = docs.select(text).coalesce(tasks).mapInArrow(run, schema).groupBy("i").agg(*means).toArrow()
+        sums = docs.select(text).mapInArrow(run, schema).groupBy("i").agg(*means).toArrow()
         if sums.num_rows:
             whole = np.concatenate([_in_rows(value, number) for number, value in enumerate(start)])
             whole[sums.column("i").to_numpy()] = np.stack([sums.column(column).to_numpy() for column in columns], axis=1)
@@ -429,33 +420,81 @@ def train(docs: DataFrame, ids_of_bins: Vocabulary, text: str = "text", rounds:
     return params
 
 
+def _distinct_words(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words with their rows: the place of one of each word of a row, and how often it is there."""
+    order = np.lexsort((hashes, rows))
+    starts = np.flatnonzero(np.r_[True, (np.diff(hashes[order]) != 0) | (np.diff(rows[order]) != 0)])
+    return order[starts], np.diff(np.r_[starts, len(order)])
+
+
 def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_words``, ``log_likelihood`` and its mean a word (null without words).
 
-    Columns of these names are replaced.
+    Columns of these names are replaced. A row is known by its place in its partition, so ``docs`` is a scan or a written
+    table, which gives the same rows again when a task is repeated.
     """
     outs = ["n_words", "log_likelihood", "mean_log_likelihood"]
     names = [name for name in docs.columns if name != text and name not in outs]
+    inner = [f"c{number}" for number in range(len(names))]
+    parts = ["row", "hash", "times", "spelling", "words", "known"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each row one with the sum of its symbols, then one for each of its words in buckets, with its spelling."""
+        number = TaskContext.get().partitionId() << 33
         for batch in _slices(batches):
             found = _words(batch.column(len(names)))
-            bins, rows = found[:2]
+            bins, rows, data, first, last = found
             sums = np.zeros(batch.num_rows)
+            ids = ids_of_bins[bins]
             if len(bins):
-                ids = ids_of_bins[bins]
                 around = windows(ids, rows)
-                for codes, row in _unknown(ids_of_bins, found, ids):
-                    sums += np.bincount(row, ids_of_bins.spelling.log_chances(codes), batch.num_rows)
                 for low in range(0, len(ids), BATCH):
                     log_p = forward(params, around[:, low : low + BATCH], ids[low : low + BATCH]).log_p
                     sums += np.bincount(rows[low : low + BATCH], log_p, batch.num_rows)
             counts = np.bincount(rows, minlength=batch.num_rows)
-            means = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(sums), means], [*names, *outs])
-
-    seen = docs.select(*(F.col(f"`{name}`") for name in names), F.col(text))
-    schema = seen.drop(text).schema if names else seen.select().schema
-    for name, kind in zip(outs, ("long", "double", "double")):
+            none = np.zeros(batch.num_rows)
+            ends = number + np.arange(batch.num_rows)
+            # Heads have hashes that spread them; what stands there is not looked at.
+            heads = (ends.astype(np.uint64) * _FARTHER).view(np.int64)
+            arrays = [pa.array(ends), pa.array(heads), pa.array(none, pa.int32()), pa.array(none, pa.float32()), pa.array(counts, pa.int64()), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], [*inner, *parts])
+            others = np.flatnonzero(ids >= FREQUENT)
+            for low in range(0, len(others), WORDS_AT_ONCE):
+                part = others[low : low + WORDS_AT_ONCE]
+                at, times = _distinct_words(bins[part], rows[part])
+                here = part[at]
+                codes, word = spelled(data, first[here], last[here])
+                spelling = np.bincount(word, ids_of_bins.spelling.log_chances(codes), len(here))
+                empty = [pa.nulls(len(here), column.type) for column in batch.columns[:-1]]
+                arrays = [
+                    pa.array(number + rows[here]), pa.array(bins[here]), pa.array(times, pa.int32()), pa.array(spelling, pa.float32()),
+                    pa.nulls(len(here), pa.int64()), pa.nulls(len(here), pa.float64()),
+                ]
+                yield pa.RecordBatch.from_arrays([*empty, *arrays], [*inner, *parts])
+            number += batch.num_rows
+
+    seen = docs.select(*(F.col(f"`{name}`").alias(one) for name, one in zip(names, inner)), F.col(text).alias("text"))
+    schema = T.StructType([T.StructField(one, seen.schema[one].dataType) for one in inner])
+    for name, kind in zip(parts, ("long", "long", "integer", "float", "long", "double")):
         schema = schema.add(name, kind)
-    return seen.mapInArrow(run, schema)
+    counts = ids_of_bins.counts.select(F.col("hash").alias("__hash"), F.col("n").alias("__n"))
+    # A row for each bucket.
+    shares = F.broadcast(docs.sparkSession.createDataFrame(
+        [(number, float(total), float(kinds)) for number, (total, kinds) in enumerate(zip(ids_of_bins.totals, ids_of_bins.different))],
+        "__bucket int, __total double, __different double",
+    ))
+    words = seen.mapInArrow(run, schema).join(counts, F.col("hash") == F.col("__hash"), "left")
+    words = words.join(shares, F.shiftrightunsigned("hash", 64 - BUCKET_BITS) == F.col("__bucket"))
+    # What the discounts free is the chance of any word of the bucket by its spelling.
+    total = F.greatest("__total", F.lit(1.0))
+    freed = F.lit(DISCOUNT) * F.greatest("__different", F.lit(1.0)) / total
+    spelling = F.least(F.col("spelling") + F.lit(float(BUCKET_BITS * np.log(2))), F.lit(0.0))
+    counted = (F.col("__n") - F.lit(DISCOUNT)) / total
+    log_chance = F.when(F.col("__n").isNull(), F.log(freed) + spelling).otherwise(F.log(counted + freed * F.exp(spelling)))
+    value = F.when(F.col("times") > 0, F.col("times") * log_chance).otherwise(F.col("known"))
+    firsts = [F.first(one, ignorenulls=True).alias(one) for one in inner]
+    sums = words.groupBy("row").agg(F.sum(value).alias("log_likelihood"), F.max("words").alias("n_words"), *firsts)
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return sums.select(
+        *(F.col(one).alias(name) for name, one in zip(names, inner)), "n_words", "log_likelihood", mean.alias("mean_log_likelihood")
+    )

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -85,24 +87,108 @@ def test_prose_scores_above_the_same_words_shuffled(spark):
     assert all(rows[i]["mean_log_likelihood"] > rows[100 + i]["mean_log_likelihood"] + 0.5 for i in range(50))
 
 
-def test_scores_are_sums_of_word_scores(spark):
-    docs = documents(spark, [words(i, 30 + i) for i in range(30)] + [words(99, 20_000)])
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def plain_scores(texts, wanted, params):
+    """Word by word: symbols by counting, windows by index, chances by whole softmaxes, spellings by dictionaries."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", lowered(text or "")) for text in texts]
+    counts = Counter(word for parts in split for word in parts)
+    hashes = {word: int(pseudo.word_bins(pa.array([word]))[0][0]) for word in counts | Counter(lowered(" ".join(wanted)).split())}
+    top = sorted(counts, key=lambda word: (-counts[word], hashes[word]))[: pseudo.FREQUENT]
+    ids = {word: top.index(word) if word in top else pseudo.FREQUENT + (hashes[word] % 2**64 >> 54) for word in hashes}
+    others = [word for word in counts if ids[word] >= pseudo.FREQUENT]
+    grams = Counter()
+    for word in others:
+        stream = [0, 0, *(byte + 1 for byte in word.encode()), 0]
+        for three in zip(stream, stream[1:], stream[2:]):
+            grams[three] += counts[word]
+    pairs, before, single = Counter(), Counter(), Counter()
+    for (a, b, c), n in grams.items():
+        pairs[b, c] += n
+        before[a, b] += n
+        single[c] += n
+    after = Counter()
+    for (b, _), n in pairs.items():
+        after[b] += n
+    all_bytes = sum(single.values())
+
+    def spelling(word):
+        stream, total = [0, 0, *(byte + 1 for byte in word.encode()), 0], 0.0
+        for a, b, c in zip(stream, stream[1:], stream[2:]):
+            none = (single[c] + 1) / (all_bytes + pseudo.LETTERS)
+            one = (pairs[b, c] + pseudo.TRUST * none) / (after[b] + pseudo.TRUST)
+            total += math.log((grams[a, b, c] + pseudo.TRUST * one) / (before[a, b] + pseudo.TRUST))
+        return total
+
+    vectors, hidden_bias, class_w, class_b, member_w, member_b = (value.astype(float) for value in params)
+    scores = []
+    for text in wanted:
+        parts = [ids[word] for word in lowered(text).split()]
+        total = 0.0
+        for at, (word, one) in enumerate(zip(lowered(text).split(), parts)):
+            hidden = hidden_bias.copy()
+            for place, offset in enumerate(pseudo.OFFSETS):
+                near = parts[at + offset] if 0 <= at + offset < len(parts) else pseudo.EDGE
+                hidden += vectors[place * (pseudo.WORDS + 1) + near]
+            hidden, (kind, member) = np.tanh(hidden), divmod(one, pseudo.MEMBERS)
+            for logits, pick in ((hidden @ class_w + class_b, kind), (hidden @ member_w[kind] + member_b[kind], member)):
+                total += logits[pick] - math.log(np.exp(logits).sum())
+            if one >= pseudo.FREQUENT:
+                mates = [counts[other] for other in others if ids[other] == one]
+                freed = pseudo.DISCOUNT * max(len(mates), 1) / max(sum(mates), 1)
+                spelled = min(0.0, spelling(word) + math.log(pseudo.BUCKETS))
+                if counts[word]:
+                    total += math.log((counts[word] - pseudo.DISCOUNT) / sum(mates) + freed * math.exp(spelled))
+                else:
+                    total += math.log(freed) + spelled
+        scores.append(total)
+    return scores
+
+
+def many_words(count):
+    """Texts of words of which only some are frequent."""
+    draws = random.Random(6)
+    known = [f"{a}{b}{c}{d}" for a in "bcdfg" for b in "aeiou" for c in "klmnr" for d in "aeiou"] + [f"w{i}x" for i in range(900)]
+    return [" ".join(draws.choices(known, weights=range(len(known), 0, -1), k=80)) for _ in range(count)]
+
+
+def test_scores_of_a_plain_scorer(spark):
+    texts = [*many_words(40), "Bake bake é ÉÉ", None, "", "x" * 130]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    ids = pseudo.vocabulary(docs)
+    params = pseudo.train(docs, ids, rounds=2)
+    wanted = [texts[0], texts[40], "never seenbefore bake w899x w899x", "y" * 400, texts[43], ""]
+    tests = spark.createDataFrame(list(enumerate(wanted)), "doc_id long, text string")
+    rows = {row["doc_id"]: row for row in pseudo.score(tests, ids, params).collect()}
+    for number, want in enumerate(plain_scores(texts, wanted, params)):
+        assert rows[number]["log_likelihood"] == pytest.approx(want, rel=1e-4, abs=1e-6)
+        assert rows[number]["n_words"] == len(wanted[number].split())
+
+
+def test_counts_grow_with_the_corpus_and_tell_copies(spark):
+    texts = many_words(60)
+    texts += [texts[0], "qqrrz kkwwv zzpty", "qqrrz kkwwv zzpty", "qqrrt kkwwd zzptz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     ids = pseudo.vocabulary(docs)
-    params = pseudo.train(docs, ids)
-    for row in pseudo.score(docs.select("doc_id", "text", "d"), ids, params).collect():
-        text = {r["doc_id"]: r["text"] for r in docs.collect()}[row["doc_id"]] if row["doc_id"] is not None else "no id"
-        bins, rows = pseudo.word_bins(pa.array([text]))
-        log_p = pseudo.forward(params, pseudo.windows(ids[bins], rows), ids[bins]).log_p
-        assert row["n_words"] == len(text.split())
-        assert row["log_likelihood"] == pytest.approx(float(log_p.sum()), rel=1e-3)
-        assert row["mean_log_likelihood"] == pytest.approx(row["log_likelihood"] / row["n_words"])
+    assert ids.counts.count() == len({word for text in texts for word in text.split()}) > pseudo.FREQUENT == len(ids.hashes)
+    assert ids.different.sum() == ids.counts.count() - pseudo.FREQUENT
+    found = {row["doc_id"]: row["log_likelihood"] for row in pseudo.score(docs, ids, pseudo.fresh()).collect()}
+    assert found[0] == pytest.approx(found[60]) and found[61] == pytest.approx(found[62])
+    assert found[61] > found[63] + 2
+
+
+def test_long_words_differ_by_place():
+    one, other = ("a" * 64 + "b" * 64, "b" * 64 + "a" * 64)
+    assert len(set(pseudo.word_bins(pa.array([one, other, one + " x"]))[0].tolist())) == 3
 
 
 def test_vocabulary_is_counted_over_all(spark):
     docs = documents(spark, ["b b b a a c"] * 5)
     ids = pseudo.vocabulary(docs)
     bins = {word: pseudo.word_bins(pa.array([word]))[0][0] for word in "abc"}
-    assert [ids[bins[word]] for word in "bac"] == [1, 2, 3]
+    assert [ids[bins[word]] for word in "bac"] == [0, 1, 2]
 
 
 def test_messy_and_empty_tables(spark):
@@ -122,40 +208,3 @@ def test_query(spark):
     rows = op10_masked_likelihood(spark, "/root/testdata/sf0.001").collect()
     assert len({row["doc_id"] for row in rows}) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert all(row["log_likelihood"] < 0 for row in rows)
-
-
-def test_chances_and_gradients_of_a_grown_vocabulary():
-    words = np.r_[: pseudo.EDGE, pseudo.EDGE + 1 : pseudo.EDGE + 78]
-    params = [value.astype(np.float64) for value in pseudo.fresh(77)]
-    params[6] += np.random.default_rng(3).normal(0, 0.3, params[6].shape)
-    around = np.random.default_rng(4).integers(0, pseudo.EDGE + 78, (len(pseudo.OFFSETS), 1))
-    log_p = pseudo.forward(params, np.repeat(around, len(words), axis=1), words).log_p
-    assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-4)
-    draws = np.random.default_rng(5)
-    around, ids = draws.integers(0, pseudo.EDGE + 78, (len(pseudo.OFFSETS), 300)), draws.choice(words, 300)
-    found = pseudo.gradients(params, pseudo.forward(params, around, ids), ids)
-    for number, value in enumerate(params):
-        flat, gradient = value.reshape(-1), np.asarray(found[number]).reshape(-1)
-        at = int(np.abs(gradient).argmax())
-        sides = []
-        for step in (1e-5, -2e-5):
-            flat[at] += step
-            sides.append(-pseudo.forward(params, around, ids).log_p.mean())
-        flat[at] += 1e-5
-        assert gradient[at] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-2, abs=1e-6)
-
-
-def test_vocabulary_grows_and_other_words_are_spelled(spark):
-    frequent = [f"word{i}" for i in range(5000)]
-    rare = [f"{a}{b}and{c}" for a in "bcd" for b in "aeiou" for c in "klm"]
-    texts = [" ".join(frequent)] * pseudo.FREQUENT + rare
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    ids = pseudo.vocabulary(docs)
-    found = ids[pseudo.word_bins(pa.array([" ".join(frequent)]))[0]]
-    assert sorted(found.tolist()) == [i for i in range(1, 5002) if i != pseudo.EDGE]
-    assert not ids[pseudo.word_bins(pa.array([" ".join(rare)]))[0]].any()
-    assert np.exp(ids.spelling.log_chances(np.arange(pseudo.LETTERS) + 99 * pseudo.LETTERS)).sum() == pytest.approx(1)
-    params = pseudo.train(docs, ids)
-    tests = spark.createDataFrame([(0, "bakandk baandm"), (1, "xq9zv7 w0jjqx"), (2, "word1 bakandk"), (3, "word1 candand")], "doc_id long, text string")
-    scores = {row["doc_id"]: row["log_likelihood"] for row in pseudo.score(tests, ids, params).collect()}
-    assert scores[0] > scores[1] + 5 and scores[2] != scores[3]
