@@ -52,6 +52,7 @@ BYTES_AT_ONCE = 1 << 21
 WORDS_AT_ONCE = 1 << 17
 # Different words that a task counts before it hands its counts on.
 COUNTED_AT_ONCE = 1 << 20
+COUNTED_BYTES = 1 << 26
 # Bytes of words, lower case and from 1 on, and the end of a word.
 LETTERS = 257
 # How many sightings the shorter context's guess is worth in a spelling.
@@ -130,27 +131,38 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(low, high - low)
 
 
-def _counted(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different values and the sum of each one's counts."""
-    found, at = np.unique(values, return_inverse=True)
-    return found, np.bincount(at, counts, len(found)).astype(np.int64)
+def _lowered_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The bytes of words, A-Z in lower case."""
+    lengths = last - first
+    offsets = np.r_[0, np.cumsum(lengths)]
+    at = np.repeat(first - offsets[:-1], lengths) + np.arange(offsets[-1])
+    letters = (_LOWER[data[at]] - np.uint64(1)).astype(np.uint8)
+    return pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
 
 
-def _count(docs: DataFrame, text: str, name: str, seen) -> DataFrame:
-    """``name`` and ``n``: how often ``seen`` gives each whole number for the texts of all documents."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``hash``, ``word`` and ``n``: how often each word is in the texts of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        values, counts, words = np.empty(0, np.int64), np.empty(0, np.int64), pa.array([], pa.large_binary())
+
+        def held() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(values), words.cast(pa.binary()), pa.array(counts)], ["hash", "word", "n"])
+
         for batch in _slices(batches):
-            for more in seen(batch.column(0)):
-                found, n = np.unique(more, return_counts=True)
-                values, counts = _counted(np.r_[values, found], np.r_[counts, n])
-                if len(values) > COUNTED_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], [name, "n"])
-                    values, counts = values[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], [name, "n"])
+            bins, _, data, first, last = _words(batch.column(0))
+            found, at, n = np.unique(bins, return_index=True, return_counts=True)
+            both, place, group = np.unique(np.r_[values, found], return_index=True, return_inverse=True)
+            words = pa.concat_arrays([words, _lowered_words(data, first[at], last[at])]).take(pa.array(place))
+            counts = np.bincount(group, np.r_[counts, n], len(both)).astype(np.int64)
+            values = both
+            if len(values) > COUNTED_AT_ONCE or words.nbytes > COUNTED_BYTES:
+                yield held()
+                values, counts, words = values[:0], counts[:0], words[:0]
+        yield held()
 
-    return docs.select(text).mapInArrow(run, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
+    seen = docs.select(text).mapInArrow(run, "hash long, word binary, n long")
+    return seen.groupBy("hash", "word").agg(F.sum("n").alias("n"))
 
 
 def spelled(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,14 +200,14 @@ class Spelling:
 class Vocabulary:
     """Symbols by hash, and what the words of each bucket share.
 
-    ``counts`` is the table of ``hash`` and ``n`` of all words of the corpus.
+    ``counts`` is the table of ``hash``, ``n`` and ``spelling`` of all words of the corpus.
     """
 
-    def __init__(self, hashes: np.ndarray, counts: DataFrame):
+    def __init__(self, hashes: np.ndarray):
         """``hashes`` of the most frequent words, the first being symbol 0."""
         order = np.argsort(hashes)
         self.hashes, self.ranks = hashes[order], order
-        self.counts = counts
+        self.counts: DataFrame | None = None
         self.totals, self.different = np.zeros(BUCKETS), np.zeros(BUCKETS)
         self.spelling = Spelling(np.empty(0, np.int64), np.empty(0, np.int64))
 
@@ -216,33 +228,64 @@ def bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _bucketed(found: tuple[np.ndarray, ...], ids: np.ndarray) -> Iterator[np.ndarray]:
-    """The trigrams of the words in buckets, some words at a time."""
-    _, _, data, first, last = found
-    others = np.flatnonzero(ids >= FREQUENT)
-    for low in range(0, len(others), WORDS_AT_ONCE):
-        part = others[low : low + WORDS_AT_ONCE]
-        yield spelled(data, first[part], last[part])[0]
+def _column_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, and where in them each value begins and ends."""
+    column = column.cast(pa.large_binary())
+    _, offsets, buffer = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(buffer, np.uint8), ends[:-1], ends[1:]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with about ``BYTES_AT_ONCE`` of letters, or one longer word; a batch without words is left out."""
+    return (part for part in _slices(batches) if part.num_rows)
+
+
+def _spelling(counts: DataFrame, known: Vocabulary) -> Spelling:
+    """The trigrams of all words in buckets, each as often as the word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in _parts(batches):
+            hashes, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 1))
+            data, first, last = _column_words(batch.column(2))
+            here = np.flatnonzero(known[hashes] >= FREQUENT)
+            found, word = spelled(data, first[here], last[here])
+            codes, group = np.unique(np.r_[codes, found], return_inverse=True)
+            sums = np.bincount(group, np.r_[sums, n[here][word]], len(codes)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums)], ["code", "n"])
+
+    seen = counts.select("hash", "n", "word").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    # At most 257^3 trigrams.
+    seen = seen.toArrow()
+    return Spelling(*(seen.column(name).to_numpy().astype(np.int64) for name in ("code", "n")))
+
+
+def _spelled_words(counts: DataFrame, spelling: Spelling) -> DataFrame:
+    """``hash``, ``n`` and ``spelling``, the log-probability of each word's letters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            codes, word = spelled(*_column_words(batch.column(2)))
+            logs = np.bincount(word, spelling.log_chances(codes), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(logs)], ["hash", "n", "spelling"])
+
+    return counts.select("hash", "n", "word").mapInArrow(run, "hash long, n long, spelling double")
 
 
 def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
     """Counts of all words of all documents, the most frequent ones, and the spelling of the others."""
-    counts = written(_count(docs, text, "hash", lambda column: [word_bins(column)[0]]), "word-counts")
-    top = counts.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
-    known = Vocabulary(top.column("hash").to_numpy().astype(np.int64), counts)
+    counts = written(word_counts(docs, text), "word-counts")
+    top = counts.select("hash", "n").orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
+    known = Vocabulary(top.column("hash").to_numpy().astype(np.int64))
     # At most so many rows as there are frequent words, and a row for each bucket.
     frequent = F.broadcast(docs.sparkSession.createDataFrame([(int(one),) for one in known.hashes], "hash long"))
     others = counts.join(frequent, "hash", "left_anti").groupBy(F.shiftrightunsigned("hash", 64 - BUCKET_BITS).alias("bucket"))
     shares = others.agg(F.sum("n").alias("total"), F.count("*").alias("different")).toArrow()
     at = shares.column("bucket").to_numpy()
     known.totals[at], known.different[at] = (shares.column(name).to_numpy() for name in ("total", "different"))
-
-    def trigrams(column: pa.Array) -> Iterator[np.ndarray]:
-        found = _words(column)
-        return _bucketed(found, known[found[0]])
-
-    seen = _count(docs, text, "code", trigrams).toArrow()
-    known.spelling = Spelling(*(seen.column(name).to_numpy().astype(np.int64) for name in ("code", "n")))
+    known.spelling = _spelling(counts, known)
+    known.counts = written(_spelled_words(counts, known.spelling), "spelled-words")
     return known
 
 
@@ -427,23 +470,24 @@ def _distinct_words(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, n
     return order[starts], np.diff(np.r_[starts, len(order)])
 
 
-def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str = "text", counted: bool = False) -> DataFrame:
     """``docs`` without ``text``, with ``n_words``, ``log_likelihood`` and its mean a word (null without words).
 
-    Columns of these names are replaced. A row is known by its place in its partition, so ``docs`` is a scan or a written
+    Columns of these names are replaced. Words that the counts lack are looked for and spelled, unless the caller knows by
+    ``counted`` that all documents are among those counted. A row is known by its place in its partition, so ``docs`` is a scan or a written
     table, which gives the same rows again when a task is repeated.
     """
     outs = ["n_words", "log_likelihood", "mean_log_likelihood"]
     names = [name for name in docs.columns if name != text and name not in outs]
     inner = [f"c{number}" for number in range(len(names))]
-    parts = ["row", "hash", "times", "spelling", "words", "known"]
+    parts = ["row", "hash", "times", "words", "known"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each row one with the sum of its symbols, then one for each of its words in buckets, with its spelling."""
+        """For each row one with the sum of its symbols, then one for each of its words in buckets."""
         number = TaskContext.get().partitionId() << 33
         for batch in _slices(batches):
             found = _words(batch.column(len(names)))
-            bins, rows, data, first, last = found
+            bins, rows = found[:2]
             sums = np.zeros(batch.num_rows)
             ids = ids_of_bins[bins]
             if len(bins):
@@ -456,18 +500,16 @@ def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str =
             ends = number + np.arange(batch.num_rows)
             # Heads have hashes that spread them; what stands there is not looked at.
             heads = (ends.astype(np.uint64) * _FARTHER).view(np.int64)
-            arrays = [pa.array(ends), pa.array(heads), pa.array(none, pa.int32()), pa.array(none, pa.float32()), pa.array(counts, pa.int64()), pa.array(sums)]
+            arrays = [pa.array(ends), pa.array(heads), pa.array(none, pa.int32()), pa.array(counts, pa.int64()), pa.array(sums)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], [*inner, *parts])
             others = np.flatnonzero(ids >= FREQUENT)
             for low in range(0, len(others), WORDS_AT_ONCE):
                 part = others[low : low + WORDS_AT_ONCE]
                 at, times = _distinct_words(bins[part], rows[part])
                 here = part[at]
-                codes, word = spelled(data, first[here], last[here])
-                spelling = np.bincount(word, ids_of_bins.spelling.log_chances(codes), len(here))
                 empty = [pa.nulls(len(here), column.type) for column in batch.columns[:-1]]
                 arrays = [
-                    pa.array(number + rows[here]), pa.array(bins[here]), pa.array(times, pa.int32()), pa.array(spelling, pa.float32()),
+                    pa.array(number + rows[here]), pa.array(bins[here]), pa.array(times, pa.int32()),
                     pa.nulls(len(here), pa.int64()), pa.nulls(len(here), pa.float64()),
                 ]
                 yield pa.RecordBatch.from_arrays([*empty, *arrays], [*inner, *parts])
@@ -475,9 +517,13 @@ def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str =
 
     seen = docs.select(*(F.col(f"`{name}`").alias(one) for name, one in zip(names, inner)), F.col(text).alias("text"))
     schema = T.StructType([T.StructField(one, seen.schema[one].dataType) for one in inner])
-    for name, kind in zip(parts, ("long", "long", "integer", "float", "long", "double")):
+    for name, kind in zip(parts, ("long", "long", "integer", "long", "double")):
         schema = schema.add(name, kind)
-    counts = ids_of_bins.counts.select(F.col("hash").alias("__hash"), F.col("n").alias("__n"))
+    counts = ids_of_bins.counts
+    if not counted:
+        new = written(word_counts(docs, text), "words-to-score").join(counts.select("hash"), "hash", "left_anti")
+        counts = counts.unionByName(_spelled_words(new.withColumn("n", F.lit(0).cast("long")), ids_of_bins.spelling))
+    counts = counts.select(F.col("hash").alias("__hash"), F.col("n").alias("__n"), "spelling")
     # A row for each bucket.
     shares = F.broadcast(docs.sparkSession.createDataFrame(
         [(number, float(total), float(kinds)) for number, (total, kinds) in enumerate(zip(ids_of_bins.totals, ids_of_bins.different))],
@@ -489,8 +535,8 @@ def score(docs: DataFrame, ids_of_bins: Vocabulary, params: Params, text: str =
     total = F.greatest("__total", F.lit(1.0))
     freed = F.lit(DISCOUNT) * F.greatest("__different", F.lit(1.0)) / total
     spelling = F.least(F.col("spelling") + F.lit(float(BUCKET_BITS * np.log(2))), F.lit(0.0))
-    counted = (F.col("__n") - F.lit(DISCOUNT)) / total
-    log_chance = F.when(F.col("__n").isNull(), F.log(freed) + spelling).otherwise(F.log(counted + freed * F.exp(spelling)))
+    kept = (F.col("__n") - F.lit(DISCOUNT)) / total
+    log_chance = F.when(F.col("__n") == 0, F.log(freed) + spelling).otherwise(F.log(kept + freed * F.exp(spelling)))
     value = F.when(F.col("times") > 0, F.col("times") * log_chance).otherwise(F.col("known"))
     firsts = [F.first(one, ignorenulls=True).alias(one) for one in inner]
     sums = words.groupBy("row").agg(F.sum(value).alias("log_likelihood"), F.max("words").alias("n_words"), *firsts)

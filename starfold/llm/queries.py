@@ -183,7 +183,7 @@ def op10_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pseudo-likelihood of every document under a network trained on all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids_of_bins = pseudo.vocabulary(docs)
-    return pseudo.score(docs, ids_of_bins, pseudo.train(docs, ids_of_bins))
+    return pseudo.score(docs, ids_of_bins, pseudo.train(docs, ids_of_bins), counted=True)
 
 
 @query
