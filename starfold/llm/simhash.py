@@ -6,9 +6,10 @@ Under a key that holds very many fingerprints the other 32 bits are split once m
 verified by its Hamming distance; of the links found under a key a spanning forest is kept, which connects the same
 fingerprints. Equal fingerprints are one from the start.
 
-That rule finds texts that hardly differ. For copies of a given similarity there are wide fingerprints of 256 bits, of which
-fixed random choices of 20 bits are the blocks: such copies differ in a known share of bits, and share a block with a chance
-that ``near_copies`` states. What meets is verified by its Hamming distance in the same way.
+That rule finds texts that hardly differ. For copies of a given similarity there are wide fingerprints of 256 bits over the
+different shingles, of which fixed random choices of 20 bits are the blocks. Of what meets under a block within the bits that
+such copies differ in, three deviations added, a least spanning forest is kept; its links are candidates, and hold where the
+whole shingle sets have the similarity (``near_copies``).
 
 Null and empty texts, and those of white space, have fingerprint 0 and link like any other. A text of fewer words than a
 shingle is one shingle. Null ids are fingerprinted and grouped, but name no component: one of null ids only has a null id.
@@ -42,7 +43,8 @@ _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bito
 
 # Wide fingerprints and their blocks.
 WIDE_BITS = 256
-BLOCKS, BLOCK_BITS = 64, 20
+BLOCKS, BLOCK_BITS = 80, 20
+DRAWN_AT_ONCE = 1 << 16
 BUCKET_AT_ONCE = 8192
 _DRAWS = np.random.default_rng(SEED).integers(1, 1 << 63, WIDE_BITS // 64, dtype=np.uint64)
 _CHOICES = np.stack([np.random.default_rng(SEED + block).choice(WIDE_BITS, BLOCK_BITS, replace=False) for block in range(BLOCKS)])
@@ -97,7 +99,14 @@ def wide_fingerprint(text: str | None, shingle: int = 5) -> bytes:
         wide = (wide ^ (wide >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         return (wide ^ (wide >> np.uint64(29))).view(np.uint8).reshape(len(hashes), WIDE_BITS // 8)
 
-    return _majority(map(drawn, _shingle_hashes(text, shingle)), WIDE_BITS // 8).tobytes()
+    hashes = shingle_set(text, shingle)
+    rows = (drawn(hashes[low : low + DRAWN_AT_ONCE]) for low in range(0, len(hashes), DRAWN_AT_ONCE))
+    return _majority(rows, WIDE_BITS // 8).tobytes()
+
+
+def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """The hashes of a text's different shingles, in order."""
+    return np.unique(np.concatenate([np.empty(0, "<u8"), *_shingle_hashes(text, shingle)]))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,6 +171,26 @@ def forest(values: np.ndarray, apart: int = BITS_APART) -> list[tuple[int, int]]
     return edges
 
 
+def least_forest(values: np.ndarray, apart: int) -> list[tuple[int, int]]:
+    """Places of a spanning forest of least total distance: at every limit up to ``apart`` it connects what all links would."""
+    words = values.reshape(len(values), -1)
+    edges, here = [], 0
+    waiting = np.arange(1, len(words))
+    best, nearest = np.full(len(waiting), apart + 1), np.zeros(len(waiting), np.int64)
+    while len(waiting):
+        bits = np.bitwise_count(words[waiting] ^ words[here]).sum(axis=1, dtype=np.int64)
+        closer = bits < best
+        best[closer], nearest[closer] = bits[closer], here
+        at = int(best.argmin())
+        here = int(waiting[at])
+        if best[at] <= apart:
+            edges.append((int(nearest[at]), here))
+        for column in (waiting, best, nearest):
+            column[at] = column[-1]
+        waiting, best, nearest = waiting[:-1], best[:-1], nearest[:-1]
+    return edges
+
+
 def _bucket_links(apart: int):
     """Links of sorted (bucket, fingerprint) rows; a bucket may go on in the next batch."""
 
@@ -224,8 +253,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, apart: int = BITS_APART,
 
 
 def bits_apart(similarity: float, bits: int = WIDE_BITS) -> int:
-    """How many of ``bits`` differ, on average, between texts whose shingle sets have this Jaccard similarity."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """How many of ``bits`` differ between texts whose shingle sets have this Jaccard similarity: the mean and three deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
 
 
 def _wide_keys(column: pa.Array) -> Iterator[np.ndarray]:
@@ -280,7 +310,7 @@ def _wide_links(apart: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(prints: list[bytes]) -> list[tuple[bytes, bytes]]:
             values = np.frombuffer(b"".join(prints), np.uint64).reshape(len(prints), -1)
-            return [(prints[a], prints[b]) for a, b in forest(values, apart)]
+            return [(prints[a], prints[b]) for a, b in least_forest(values, apart)]
 
         bucket, prints, out = None, [], []
         for batch in batches:
@@ -317,16 +347,45 @@ def _wide_edges(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs)], ["a", "b"])
 
 
+def verified(edges: DataFrame, named: DataFrame, docs: DataFrame, shingle: int, similarity: float, key: str, text: str) -> DataFrame:
+    """The ``edges`` between fingerprints whose whole texts have shingle sets of this Jaccard similarity or more.
+
+    ``named`` has a document's key and text hash for each fingerprint. Only texts on edges are read for their shingles; sets too
+    unlike in size are not compared, so what is shuffled grows with the edges and the texts on them.
+    """
+    ends = edges.select(F.col("a").alias("fingerprint")).union(edges.select("b")).distinct()
+    wanted = named.join(ends, "fingerprint").select("fingerprint", F.col(f"least.{key}").alias("__key"), F.col("least.hash").alias("__hash"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (_text_hash(text) == F.col("__hash"))
+    texts = docs.select(key, text).join(wanted, same).select(F.col("fingerprint").alias("__print"), text).dropDuplicates(["__print"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                hashes = shingle_set(batch.column(1)[row].as_py(), shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), pa.array([hashes], pa.list_(pa.int64()))], ["print", "shingles"])
+
+    sets = written(texts.mapInArrow(run, "print binary, shingles array<long>"), "shingle-sets")
+    one, other = (sets.select(F.col("print").alias(f"{side}_print"), F.col("shingles").alias(f"{side}_set")) for side in "ab")
+    pairs = edges.join(one, F.col("a") == F.col("a_print")).join(other, F.col("b") == F.col("b_print"))
+    few, many = F.least(F.size("a_set"), F.size("b_set")), F.greatest(F.size("a_set"), F.size("b_set"))
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    near = F.when(few >= many * F.lit(similarity) - 1e-9, both >= (few + many - both) * F.lit(similarity) - 1e-9)
+    return pairs.filter(near).select("a", "b")
+
+
+def _text_hash(text: str):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: the least key, then the least hash of the text.
 
-    Copies are texts whose wide fingerprints differ in as few bits as texts of this Jaccard similarity do on average; the
-    shingles themselves are not compared. By the binomial model two texts are linked with a chance of 0.21 at 0.75, 0.53 at
-    0.8, 0.86 at 0.85 and 0.99 at 0.9;
-    equal texts are one from the start. Every row goes through; a null key is the least of all. Rows that are equal in key
-    and text count as copies.
+    Copies are texts whose sets of shingles have this Jaccard similarity or more; each link is verified on whole texts, and
+    links connect. Candidates meet under blocks of wide fingerprints: by the binomial model two texts share one with a chance of
+    0.95 at 0.8, 0.99 at 0.85 and more above. Equal fingerprints are one from the start. Null and empty texts are copies of each
+    other. Every row goes through; a null key is the least of all. Rows that are equal in key and text count as copies.
     """
-    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
+    hashed = _text_hash(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +396,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
     prints = written(docs.select(key, hashed.alias("hash"), text).mapInArrow(run, schema), "wide-fingerprints")
     least = F.min(F.struct(key, "hash")).alias("least")
     distinct = written(prints.groupBy("fingerprint").agg(least), "distinct-wide-fingerprints")
-    roots = components(wide_links(distinct, bits_apart(similarity)))
+    links = written(wide_links(distinct, bits_apart(similarity)).distinct(), "candidate-links")
+    roots = components(verified(links, distinct, docs, shingle, similarity, key, text))
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         F.coalesce("root", "fingerprint").alias("root"), "least"
     )

@@ -153,3 +153,40 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch):
     found = [roots.get(one, one) for one in (value.to_bytes(32, "little") for value in values)]
     want = brute_components([(value.to_bytes(32, "little"), value) for value in values], 39)
     assert found == want and len(set(want)) == 60
+
+
+def replaced(text, count, seed):
+    """``count`` words, at least five apart, replaced: each takes five shingles out of both sets."""
+    parts = text.split()
+    for number in range(count):
+        parts[10 + 30 * number] = f"other{seed}x{number}"
+    return " ".join(parts)
+
+
+def test_copies_are_those_of_the_stated_similarity(spark):
+    rows, alike = [], {}
+    for count in (5, 6, 7, 8):
+        for number in range(60):
+            base, at = words(1000 * count + number, 300), 10_000 * count + 2 * number
+            rows += [(at, base), (at + 1, replaced(base, count, at))]
+            one, other = (set(simhash.shingle_set(text).tolist()) for _, text in rows[-2:])
+            alike[at + 1] = len(one & other) / len(one | other)
+    kept = {row["doc_id"] for row in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(at in kept for at, _ in rows if at % 2 == 0)
+    assert all(at in kept for at, share in alike.items() if share < 0.8)
+    close = [at for at, share in alike.items() if share >= 0.8]
+    assert len(close) >= 100 and sum(at not in kept for at in close) >= 0.9 * len(close)
+
+
+def test_least_forest_connects_at_every_limit():
+    draws = np.random.default_rng(2)
+    values = draws.integers(0, 1 << 12, 60).astype(np.uint64)
+    edges = simhash.least_forest(values, 4)
+    for limit in range(5):
+        prints = [(i, int(value)) for i, value in enumerate(values)]
+        roots = list(range(len(values)))
+        for a, b in edges:
+            if (int(values[a]) ^ int(values[b])).bit_count() <= limit:
+                old, new = max(roots[a], roots[b]), min(roots[a], roots[b])
+                roots = [new if root == old else root for root in roots]
+        assert roots == brute_components(prints, limit)
