@@ -1,13 +1,15 @@
 """Exact top-k search by sequential reads of sorted lists, without random access.
 
-A shard keeps one list per component, sorted by value. A query reads the lists of its positive components from the top and
-those of its negative ones from the bottom, all to the same depth. What has been read of a vector is known; what has not
-lies between the list's last value and the value at the depth, which bounds the vector's score from both sides. A vector
-whose upper bound is below the k-th best lower bound is an outsider. Reading ends when few enough vectors are not
-outsiders; their scores are then resolved.
-
-The method is evaluated, not carried out by reading: at four fixed depths the bounds of many queries are dense matrix products
-over the whole shard, and what is left is resolved from the full rows. Components are whole numbers and the sums exact.
+A shard keeps one list per component, sorted by value. A query reads the lists of its positive components from the top,
+those of its negative ones from the bottom, and those of its zeros never. What has been read of a vector is known; what has
+not lies between the last value read of its list and the list's far end, which bounds the vector's score from both sides.
+Each step reads on in the lists where most of the score is still uncertain, adds what was read to the lower bounds of the
+vectors met, and takes it from what is unread of them. A vector whose upper bound is below the k-th best lower bound is an
+outsider for good. Reading ends when few enough vectors are not outsiders; only then are their rows looked up, and their
+scores resolved.
+
+Components are whole numbers, so all sums are exact. Where values are spread evenly over the lists, bounds come close late
+and most of the lists is read.
 """
 
 from __future__ import annotations
@@ -18,51 +20,76 @@ from pyspark.sql import functions as F
 
 from starfold.llm.vectors import search, usable
 
-# Shares of the lists that have been read when the bounds are compared.
-DEPTHS = (0.5, 0.75, 0.9, 1.0)
+# A step reads this share of a list.
+STEP = 1 / 8
 # Reading ends when at most so many times k vectors can still be among the best.
 RESOLVED_TIMES_K = 12
-QUERIES_AT_ONCE = 256
+
+
+class Lists:
+    """A shard's vectors as one list per component, the largest value first, cut into steps.
+
+    The last step is filled up with entries of a vector that is none, at place ``count``.
+    """
+
+    def __init__(self, rows: np.ndarray):
+        self.count = len(rows)
+        step = max(1, round(STEP * self.count))
+        missing = -self.count % step
+        members = np.argsort(-rows, axis=0, kind="stable").T
+        values = np.take_along_axis(rows.T, members, axis=1)
+        self.least, self.largest = values[:, -1], values[:, 0]
+        shape = (rows.shape[1], -1, step)
+        self.members = np.pad(members, ((0, 0), (0, missing)), constant_values=self.count).reshape(shape)
+        self.values = np.pad(values, ((0, 0), (0, missing)), mode="edge").reshape(shape)
+
+    def candidates(self, query: np.ndarray, k: int, own: int = -1, kind: type = np.float64) -> tuple[np.ndarray, int]:
+        """Places of all vectors that may be among the ``k`` best but ``own``, and how many entries were read to tell.
+
+        ``kind`` is a type of floats in which twice the largest possible score is exact.
+        """
+        left = np.arange(self.count)
+        left = left[left != own]
+        used = np.flatnonzero(query)
+        weights, down = query[used], query[used] > 0
+        far = np.where(down, self.least[used], self.largest[used])
+        # What a list can add to the score beyond its far end, for a vector that was not met in it yet.
+        spans = weights * (np.where(down, self.largest[used], self.least[used]) - far)
+        lower = np.full(self.count + 1, weights @ far)
+        unread = np.ones((len(used), self.count + 1), kind)
+        steps, done, read = self.values.shape[1], np.zeros(len(used), np.int64), 0
+        while len(left) > RESOLVED_TIMES_K * k and spans.any():
+            at = np.flatnonzero((spans >= spans[spans > 0].mean()) & (spans > 0))
+            piece = np.where(down[at], done[at], steps - 1 - done[at])
+            members, values = self.members[used[at], piece], self.values[used[at], piece]
+            gains = weights[at, None] * (values - far[at, None])
+            lower += np.bincount(members.ravel(), gains.ravel(), self.count + 1)
+            unread.ravel()[members + at[:, None] * (self.count + 1)] = 0
+            read += members.size
+            done[at] += 1
+            last = np.where(down[at], values[:, -1], values[:, 0])
+            spans[at] = np.where(done[at] < steps, weights[at] * (last - far[at]), 0)
+            bar = np.partition(lower[left], -k)[-k]
+            left = left[(lower + spans.astype(kind) @ unread)[left] >= bar]
+        return left, read
 
 
 def top_in_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
     """Each query's best ``k`` of one shard (see ``vectors.Search``)."""
     exact, exact_queries = rows.astype(np.int64), queries.astype(np.int64)
     largest = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * rows.shape[1]
-    kind = np.float32 if largest < 1 << 24 else np.float64
-    x, lists = rows.astype(kind), np.sort(rows, axis=0).astype(kind)
+    kind = np.float32 if 2 * largest < 1 << 24 else np.float64
+    lists = Lists(rows)
     own = np.searchsorted(ids, query_ids)
     own = np.where((own < len(ids)) & (ids[np.minimum(own, len(ids) - 1)] == query_ids), own, -1)
-    readings = []
-    for share in DEPTHS:
-        depth = max(1, int(np.ceil(share * len(ids))))
-        top, bottom = lists[-depth], lists[depth - 1]
-        upper = np.c_[np.maximum(x, top), np.minimum(x, bottom)].T
-        lower = np.c_[np.where(x >= top, x, lists[0]), np.where(x <= bottom, x, lists[-1])].T
-        readings.append((share == DEPTHS[-1], np.ascontiguousarray(lower), np.ascontiguousarray(upper)))
     out_place, out_id, out_score = [], [], []
-    for low in range(0, len(queries), QUERIES_AT_ONCE):
-        reading = np.arange(low, min(low + QUERIES_AT_ONCE, len(queries)))
-        for last, lower, upper in readings:
-            q = queries[reading].astype(kind)
-            signed = np.c_[np.maximum(q, 0), np.minimum(q, 0)]
-            worst, best = signed @ lower, signed @ upper
-            mine = np.flatnonzero(own[reading] >= 0)
-            worst[mine, own[reading][mine]] = best[mine, own[reading][mine]] = -np.inf
-            bar = np.partition(worst, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(reading), -np.inf, kind)
-            open_ = best >= bar[:, None]
-            open_[mine, own[reading][mine]] = False
-            done = np.full(len(reading), True) if last else open_.sum(axis=1) <= RESOLVED_TIMES_K * k
-            for at in np.flatnonzero(done):
-                left = np.flatnonzero(open_[at])
-                scores = exact[left] @ exact_queries[reading[at]]
-                keep = np.lexsort((ids[left], -scores))[:k]
-                out_place.append(np.full(len(keep), reading[at]))
-                out_id.append(ids[left[keep]])
-                out_score.append(scores[keep])
-            reading = reading[~done]
-            if not len(reading):
-                break
+    for place, query in enumerate(queries):
+        left, _ = lists.candidates(query, k, own[place], kind)
+        scores = exact[left] @ exact_queries[place]
+        keep = np.lexsort((ids[left], -scores))[:k]
+        out_place.append(np.full(len(keep), place))
+        out_id.append(ids[left[keep]])
+        out_score.append(scores[keep])
     return np.concatenate(out_place), np.concatenate(out_id), np.concatenate(out_score)
 
 

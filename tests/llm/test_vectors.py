@@ -52,6 +52,29 @@ def test_top_scores_beyond_single_precision(spark):
     assert got(topk.top_scores(table(spark, rows), QUERY, k=5, scale=64)) == ranking(np.arange(100), rows, 5, whole=True)
 
 
+def test_lists_are_read_until_outsiders_are_known():
+    # Few large components in a vector: the best are met at the heads of the lists.
+    draws = np.random.default_rng(4)
+    rows = np.floor(draws.pareto(1.0, (3000, 12)))
+    lists = topk.Lists(rows)
+    for own, query in ((-1, np.eye(12)[3]), (7, rows[7]), (-1, rows[8] * (np.arange(12) < 5)), (-1, np.zeros(12))):
+        left, read = lists.candidates(query, 20, own)
+        scores = rows @ query
+        order = [i for i in np.argsort(-scores, kind="stable") if i != own]
+        bar = scores[order[19]]
+        assert {i for i in order if scores[i] >= bar} <= set(left.tolist()) and own not in left
+        assert read == 0 if not query.any() else read < rows.size / 2
+
+
+@pytest.mark.parametrize("count", [1, 2, 17, 250, 999])
+def test_lists_of_any_length(count):
+    rows = np.random.default_rng(count).integers(-3, 4, (count, 5)).astype(float)
+    ids = np.arange(count)
+    place, found, scores = topk.top_in_shard(ids[::20], rows[::20], ids, rows, 3)
+    want = {i: [pair[0] for pair in best] for i, best in ranking(ids, rows / 64, 3, whole=True).items()}
+    assert {int(ids[::20][p]): found[place == p].tolist() for p in range(len(ids[::20]))} == want
+
+
 @pytest.mark.parametrize("search", [collision.nearest, topk.top_scores])
 def test_vectors_that_take_no_part(spark, search):
     rows = [[1, 2], None, [], [1, None], [float("nan"), 1], [float("inf"), 1], [0, 0], [2, 1], [1, 2, 3], [3, 3]]
