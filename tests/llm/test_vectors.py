@@ -56,14 +56,15 @@ def test_lists_are_read_until_outsiders_are_known():
     # Few large components in a vector: the best are met at the heads of the lists.
     draws = np.random.default_rng(4)
     rows = np.floor(draws.pareto(1.0, (3000, 12)))
-    lists = topk.Lists(rows)
-    for own, query in ((-1, np.eye(12)[3]), (7, rows[7]), (-1, rows[8] * (np.arange(12) < 5)), (-1, np.zeros(12))):
-        left, read = lists.candidates(query, 20, own)
-        scores = rows @ query
-        order = [i for i in np.argsort(-scores, kind="stable") if i != own]
-        bar = scores[order[19]]
-        assert {i for i in order if scores[i] >= bar} <= set(left.tolist()) and own not in left
-        assert read == 0 if not query.any() else read < rows.size / 2
+    queries = np.stack([np.eye(12)[3], rows[7], rows[8] * (np.arange(12) < 5), np.zeros(12)])
+    seen = {}
+    for numbers, left, depth in topk.Lists(rows).open(queries, 20, np.array([-1, 7, -1, -1])):
+        for number, open_ in zip(numbers, left.T):
+            seen[number] = depth
+            scores = rows @ queries[number]
+            scores[7] = -np.inf if number == 1 else scores[7]
+            assert open_[scores >= np.sort(scores)[-20]].all() and not (number == 1 and open_[7])
+    assert sorted(seen) == [0, 1, 2, 3] and max(seen[0], seen[1], seen[2]) < 1500 and seen[3] == 3000
 
 
 @pytest.mark.parametrize("count", [1, 2, 17, 250, 999])
