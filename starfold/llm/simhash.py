@@ -7,7 +7,7 @@ verified by its Hamming distance; of the links found under a key a spanning fore
 fingerprints. Equal fingerprints are one from the start.
 
 That rule finds texts that hardly differ. For copies of a given similarity there are wide fingerprints of 256 bits over the
-different shingles, of which fixed random choices of 20 bits are the blocks. Of what meets under a block within the bits that
+different shingles, of which fixed random choices of bits are the blocks, wider and more as there are more fingerprints. Of what meets under a block within the bits that
 such copies differ in, three deviations added, a least spanning forest is kept; its links are candidates, and hold where the
 whole shingle sets have the similarity (``near_copies``).
 
@@ -43,11 +43,14 @@ _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bito
 
 # Wide fingerprints and their blocks.
 WIDE_BITS = 256
-BLOCKS, BLOCK_BITS = 80, 20
+# A block is as wide as it takes for a key to hold at most so many unrelated fingerprints, and at least so many bits.
+UNRELATED_AT_A_KEY = 8
+LEAST_BLOCK_BITS = 20
+# There are as many blocks as it takes for two copies to share one with this chance.
+MEETING = 0.95
 DRAWN_AT_ONCE = 1 << 16
 BUCKET_AT_ONCE = 8192
 _DRAWS = np.random.default_rng(SEED).integers(1, 1 << 63, WIDE_BITS // 64, dtype=np.uint64)
-_CHOICES = np.stack([np.random.default_rng(SEED + block).choice(WIDE_BITS, BLOCK_BITS, replace=False) for block in range(BLOCKS)])
 
 
 def _shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
@@ -252,54 +255,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, apart: int = BITS_APART,
     return prints.join(named, F.col("fingerprint") == F.col("__print")).select(key, "fingerprint", "component_id")
 
 
+def _differing(similarity: float) -> float:
+    """The share of bits that differ on average between texts whose shingle sets have this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
 def bits_apart(similarity: float, bits: int = WIDE_BITS) -> int:
     """How many of ``bits`` differ between texts whose shingle sets have this Jaccard similarity: the mean and three deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    share = _differing(similarity)
     return round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
 
 
-def _wide_keys(column: pa.Array) -> Iterator[np.ndarray]:
-    """The keys of fingerprints, one block after the other."""
-    values = 1 << np.arange(BLOCK_BITS)
-    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE_BITS // 8)
-    bits = np.unpackbits(packed, axis=1, bitorder="little")
-    for block, choice in enumerate(_CHOICES):
-        yield (bits[:, choice] @ values) | block << BLOCK_BITS
-
-
-def _wide_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for low in range(0, batch.num_rows, BUCKET_AT_ONCE):
-            for keys in _wide_keys(batch.column(0).slice(low, BUCKET_AT_ONCE)):
-                yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
+def wide_blocks(count: int, similarity: float) -> np.ndarray:
+    """The bits of each block for ``count`` fingerprints: fixed random choices.
 
+    Wider blocks keep a key's unrelated fingerprints few however many there are; the more of them make up for the
+    narrower chance to agree in a block, at a number that grows far slower than ``count``.
+    """
+    width = max(LEAST_BLOCK_BITS, math.ceil(math.log2(max(1, count) / UNRELATED_AT_A_KEY)))
+    blocks = math.ceil(math.log(1 - MEETING) / math.log(1 - (1 - _differing(similarity)) ** width))
+    return np.stack([np.random.default_rng(SEED + block).choice(WIDE_BITS, width, replace=False) for block in range(blocks)])
 
-def _wide_cells(crowded: dict[int, int], rows: int):
-    """Rows of key, cell and fingerprint.
 
-    A key of more than ``rows`` fingerprints is dealt into parts of about half as many, and each two parts meet in a cell,
-    so that all its pairs meet and no cell holds many more than ``rows``.
-    """
-    many = np.array(sorted(crowded), np.int64)
-    parts_of_many = np.array([-(-2 * crowded[key] // rows) for key in many.tolist()], np.int64)
+def _wide_keys(choices: np.ndarray):
+    """The keys of fingerprints, one block after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = 1 << np.arange(choices.shape[1])
         for batch in batches:
-            for low in range(0, batch.num_rows, rows):
-                column = batch.column(0).slice(low, rows)
-                dealt = np.array([xxhash.xxh64_intdigest(value, SEED) >> 1 for value in column.to_pylist()], np.int64)
-                for keys in _wide_keys(column):
-                    parts = np.ones(len(keys), np.int64)
-                    if len(many):
-                        at = np.minimum(np.searchsorted(many, keys), len(many) - 1)
-                        parts = np.where(many[at] == keys, parts_of_many[at], 1)
-                    part = dealt % parts
-                    for other in range(int(parts.max())):
-                        here = np.flatnonzero(other < parts)
-                        cells = np.minimum(part[here], other) * parts[here] + np.maximum(part[here], other)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(keys[here]), pa.array(cells), column.take(pa.array(here))], ["key", "cell", "fingerprint"]
-                        )
+            for low in range(0, batch.num_rows, BUCKET_AT_ONCE):
+                column = batch.column(0).slice(low, BUCKET_AT_ONCE)
+                packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE_BITS // 8)
+                bits = np.unpackbits(packed, axis=1, bitorder="little")
+                for block, choice in enumerate(choices):
+                    keys = (bits[:, choice] @ values) | block << choices.shape[1]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), column], ["key", "fingerprint"])
 
     return run
 
@@ -331,14 +321,25 @@ def _wide_links(apart: int):
     return run
 
 
-def wide_links(distinct: DataFrame, apart: int) -> DataFrame:
-    """Edges ``a`` < ``b`` that connect what meets under a key within ``apart`` bits, of a table of distinct wide ``fingerprint``."""
-    prints = distinct.select("fingerprint")
+def wide_links(distinct: DataFrame, choices: np.ndarray, apart: int) -> DataFrame:
+    """Edges ``a`` < ``b`` that connect what meets under a key within ``apart`` bits, of a table of distinct wide ``fingerprint``.
+
+    The few keys of very many fingerprints are a table of their own, which Spark joins as its size allows. Such a key is
+    dealt into parts of about half of ``BUCKET_AT_ONCE``, and each two parts meet in a cell, so that all its pairs meet and no
+    cell holds many more.
+    """
     rows = BUCKET_AT_ONCE
-    counts = prints.mapInArrow(_wide_counts, "key long").groupBy("key").agg(F.count("*").alias("n"))
-    crowded = {row["key"]: row["n"] for row in counts.filter(F.col("n") > rows).toLocalIterator()}
-    keyed = prints.mapInArrow(_wide_cells(crowded, rows), "key long, cell long, fingerprint binary")
-    dealt = keyed.repartition("key", "cell").sortWithinPartitions("key", "cell", "fingerprint")
+    keyed = distinct.select("fingerprint").mapInArrow(_wide_keys(choices), "key long, fingerprint binary")
+    crowded = written(
+        keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > rows)
+        .select(F.col("key").alias("crowded"), F.ceil(F.col("n") * 2 / rows).alias("parts")),
+        "crowded-keys",
+    )
+    part = F.expr("pmod(xxhash64(fingerprint), parts)").alias("part")
+    cells = "transform(sequence(0L, parts - 1), other -> least(part, other) * parts + greatest(part, other))"
+    placed = keyed.join(crowded, F.col("key") == F.col("crowded"), "left").select("key", "fingerprint", "parts", part)
+    cell = F.explode(F.expr(f"if(parts is null, array(0L), {cells})")).alias("cell")
+    dealt = placed.select("key", cell, "fingerprint").repartition("key", "cell").sortWithinPartitions("key", "cell", "fingerprint")
     return dealt.mapInArrow(_wide_links(apart), "a binary, b binary")
 
 
@@ -382,7 +383,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
 
     Copies are texts whose sets of shingles have this Jaccard similarity or more; each link is verified on whole texts, and
     links connect. Candidates meet under blocks of wide fingerprints: by the binomial model two texts share one with a chance of
-    0.95 at 0.8, 0.99 at 0.85 and more above. Equal fingerprints are one from the start. Null and empty texts are copies of each
+    0.95 at the similarity and more above, however many texts there are. Equal fingerprints are one from the start. Null and empty texts are copies of each
     other. Every row goes through; a null key is the least of all. Rows that are equal in key and text count as copies.
     """
     hashed = _text_hash(text)
@@ -396,7 +397,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
     prints = written(docs.select(key, hashed.alias("hash"), text).mapInArrow(run, schema), "wide-fingerprints")
     least = F.min(F.struct(key, "hash")).alias("least")
     distinct = written(prints.groupBy("fingerprint").agg(least), "distinct-wide-fingerprints")
-    links = written(wide_links(distinct, bits_apart(similarity)).distinct(), "candidate-links")
+    choices = wide_blocks(distinct.count(), similarity)
+    links = written(wide_links(distinct, choices, bits_apart(similarity)).distinct(), "candidate-links")
     roots = components(verified(links, distinct, docs, shingle, similarity, key, text))
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         F.coalesce("root", "fingerprint").alias("root"), "least"

@@ -137,8 +137,8 @@ def test_near_copies_of_a_crowd(spark, monkeypatch):
 def test_crowded_keys_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET_AT_ONCE", 50)
     # One key, so that no other can make up for a lost link.
-    monkeypatch.setattr(simhash, "_CHOICES", simhash._CHOICES[:1])
-    free = [bit for bit in range(simhash.WIDE_BITS) if bit not in set(simhash._CHOICES[0].tolist())]
+    choices = simhash.wide_blocks(1000, 0.8)[:1]
+    free = [bit for bit in range(simhash.WIDE_BITS) if bit not in set(choices[0].tolist())]
     draws = random.Random(8)
     values = set()
     for _ in range(60):
@@ -149,12 +149,24 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch):
                 value ^= 1 << bit
     values = sorted(values)
     frame = spark.createDataFrame([(value.to_bytes(32, "little"),) for value in values], "fingerprint binary")
-    roots = {bytes(row["node"]): bytes(row["root"]) for row in components(simhash.wide_links(frame, 39)).collect()}
+    roots = {bytes(row["node"]): bytes(row["root"]) for row in components(simhash.wide_links(frame, choices, 39)).collect()}
     found = [roots.get(one, one) for one in (value.to_bytes(32, "little") for value in values)]
     want = brute_components([(value.to_bytes(32, "little"), value) for value in values], 39)
     assert found == want and len(set(want)) == 60
 
 
+def test_blocks_grow_with_the_corpus():
+    before = 0
+    for count in (0, 1, 10**6, 10**7, 10**9, 10**11):
+        blocks, width = simhash.wide_blocks(count, 0.8).shape
+        assert count / 2**width <= simhash.UNRELATED_AT_A_KEY
+        assert 1 - (1 - (1 - simhash._differing(0.8)) ** width) ** blocks >= 0.95
+        assert blocks >= before and blocks << width < 1 << 63
+        before = blocks
+    # Far slower than the corpus.
+    assert len(simhash.wide_blocks(10**9, 0.8)) < 10 * len(simhash.wide_blocks(10**6, 0.8))
+
+
 def replaced(text, count, seed):
     """``count`` words, at least five apart, replaced: each takes five shingles out of both sets."""
     parts = text.split()
