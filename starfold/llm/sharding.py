@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Rows are numbered within hash buckets first: one bucket is the most that a single task orders.
 SLOT_BUCKETS = 4096
+# Equal rows get their numbers in pieces of at most so many.
+SLOTS_AT_ONCE = 65536
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ def numbered(rows: DataFrame, group: str, order: list[str], out: str = "slot") -
     """Gapless numbers from 0 within ``group``, for a table of few groups and any number of rows.
 
     Returns ``group``, ``order`` and ``out``. Equal rows are counted before they are shuffled and dealt out again after
-    it. Rows fall into a fixed number of hash buckets, each ordered on its own; the buckets' counts, a table of
+    it, in pieces of bounded size however many they are. Rows fall into a fixed number of hash buckets, each ordered on its own; the buckets' counts, a table of
     ``SLOT_BUCKETS`` rows a group, give where each bucket starts. Numbers depend on the rows alone.
     """
     columns = [group, *order]
@@ -98,4 +100,6 @@ def numbered(rows: DataFrame, group: str, order: list[str], out: str = "slot") -
     )
     placed = ranked.join(starts, F.col(group).eqNullSafe(F.col("__group")) & (F.col("__bucket") == F.col("__at")))
     first = F.col("__start") + F.col("__upto") - F.col("__n")
-    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("__n") - 1)).alias(out))
+    last, step = first + F.col("__n") - 1, F.lit(SLOTS_AT_ONCE)
+    pieces = placed.select(*columns, last.alias("__last"), F.explode(F.sequence(first, last, step.cast("long"))).alias("__piece"))
+    return pieces.select(*columns, F.explode(F.sequence("__piece", F.least("__last", F.col("__piece") + step - 1))).alias(out))

@@ -1,9 +1,13 @@
+import math
+import struct
 import zlib
 
 import pytest
+import xxhash
 from messy import documents
 from pyspark.sql import functions as F
 
+from starfold.llm import sharding
 from starfold.llm.queries import op7_hash_tree_shards
 from starfold.llm.sharding import Node, even_tree, hash_tree_shards, numbered
 
@@ -18,6 +22,45 @@ def counts(df):
     return {row[0]: row[1] for row in df.groupBy("shard").count().collect()}
 
 
+def plain_shard(key, tree):
+    """The shard that a whole-number or null key descends to, with every draw worked out by itself."""
+    here = tree
+    while here.children:
+        best = None
+        for child in here.children:
+            if child.weight > 0:
+                seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+                bits = xxhash.xxh64_intdigest(child.name.encode(), seed) >> 12
+                drawn = math.log((bits + 0.5) / 2**52) / child.weight
+                best = max(best or (-math.inf,), (drawn, child), key=lambda pair: pair[0])
+        here = best[1]
+    return here.shard
+
+
+def test_descents_are_those_of_plain_draws(spark):
+    uneven = Node("root", (
+        Node("east", (Node("e1", (Node("s0", own_weight=1, shard=0), Node("s1", own_weight=3, shard=1))), Node("e2", (Node("s2", own_weight=0.5, shard=2),)))),
+        Node("west", (Node("w1", (Node("s3", own_weight=4, shard=3), Node("s4", own_weight=0, shard=4))),)),
+    ))
+    keys = [*range(-200, 1500), 2**40, None]
+    docs = spark.createDataFrame([(key,) for key in keys], "doc_id long")
+    for tree in (even_tree(8), even_tree(9), even_tree(3), uneven):
+        found = {row["doc_id"]: row["shard"] for row in hash_tree_shards(docs, tree).collect()}
+        assert found == {key: plain_shard(key, tree) for key in keys}
+    rows = op7_hash_tree_shards(spark, SF).select("doc_id", "shard", "grown_shard").collect()
+    assert all(row["shard"] == plain_shard(row["doc_id"], even_tree(8)) for row in rows)
+    assert all(row["grown_shard"] == plain_shard(row["doc_id"], even_tree(9)) for row in rows)
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 65536])
+def test_many_equal_rows_are_numbered_in_pieces(spark, monkeypatch, at_once):
+    monkeypatch.setattr(sharding, "SLOTS_AT_ONCE", at_once)
+    rows = spark.createDataFrame([(0, 5)] * 22 + [(0, 6), (1, 5), (1, None), (1, None)], "shard int, doc_id long")
+    found = sorted((tuple(row) for row in numbered(rows, "shard", ["doc_id"]).collect()), key=str)
+    assert len(found) == 26 and sorted(row[2] for row in found if row[0] == 0) == list(range(23))
+    assert sorted(row[2] for row in found if row[0] == 1) == [0, 1, 2]
+
+
 def test_shares_follow_weights(spark):
     tree = Node("root", (
         Node("east", (Node("e1", (Node("s0", own_weight=1, shard=0), Node("s1", own_weight=3, shard=1))),)),
