@@ -1,4 +1,6 @@
+import math
 import random
+import string
 import zlib
 
 import numpy as np
@@ -61,6 +63,60 @@ def test_a_text_between_two_is_ambiguous(spark):
     assert model.decode("zzz")[2]
 
 
+def plain_grams(text):
+    """Bins of a text's n-grams, one n-gram at a time."""
+    blank = str.maketrans(dict.fromkeys(string.punctuation + string.digits, " "))
+    data = b" " + b" ".join(text.lower().translate(blank).encode().split()) + b" "
+    for n in (2, 3, 4):
+        for at in range(len(data) - n + 1):
+            mixed = n
+            for byte in data[at : at + n]:
+                mixed = (mixed ^ byte) * 0x9E3779B1 % 2**32
+            yield mixed >> 16
+
+
+def plain_model(labelled_texts, code, names):
+    """The weight of each bit and bin that any of the texts has, and of all other bins."""
+    counts = {name: {} for name in names}
+    for text, name in labelled_texts:
+        for one in plain_grams(text):
+            counts[name][one] = counts[name].get(one, 0) + 1
+    shares = {}
+    for name in names:
+        total = sum(counts[name].values())
+        extra = langid.SMOOTHING * total / langid.BINS
+        shares[name] = lambda one, own=counts[name], extra=extra, total=total: (own.get(one, 0) + extra) / (total + extra * langid.BINS)
+
+    def weight(bit, one):
+        sides = {side: [shares[name](one) for name, row in zip(names, code) if row[bit] == side] for side in (1, -1)}
+        return math.log((sum(sides[1]) / len(sides[1])) / (sum(sides[-1]) / len(sides[-1])))
+
+    return weight
+
+
+def plain_decode(text, code, names, weight):
+    grams = list(plain_grams(text))
+    margins = [langid.SHARPNESS * sum(weight(bit, one) for one in grams) / max(1, len(grams)) for bit in range(len(code[0]))]
+    losses = [sum(math.log1p(math.exp(-int(sign) * margin)) for sign, margin in zip(row, margins)) for row in code]
+    chances = [math.exp(min(losses) - loss) for loss in losses]
+    # Languages whose losses differ by rounding alone are equally right.
+    return {name for name, loss in zip(names, losses) if loss - min(losses) < 1e-9}, max(chances) / sum(chances)
+
+
+def test_predictions_are_those_of_a_plain_decoder(spark):
+    names = list(SYLLABLES)[:4]
+    docs = labelled(spark, names, 6)
+    model = langid.fit(docs)
+    weight = plain_model([(row["text"], row["lang"]) for row in docs.collect()], model.code, names)
+    texts = [prose(name, seed) for name in names for seed in (50, 51)]
+    texts += [prose("aa", 60) + " " + prose("bb", 60), "Zzz, 12!", "É", "a.b;c"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in langid.identify(asked, model).collect():
+        best, score = plain_decode(texts[row["doc_id"]], model.code, names, weight)
+        assert row["lang_pred"] in best and row["ambiguous"] == (score < langid.CLEAR_SCORE)
+        assert row["score"] == pytest.approx(score, abs=1e-4)
+
+
 def test_counts_are_of_every_text(spark):
     docs = labelled(spark, ["aa", "bb"], 5)
     counts = {(row["language"], row["bin"]): row["n"] for row in langid.count_ngrams(docs, "text", "lang").collect()}

@@ -190,6 +190,26 @@ def test_copies_are_those_of_the_stated_similarity(spark):
     assert len(close) >= 100 and sum(at not in kept for at in close) >= 0.9 * len(close)
 
 
+def test_near_copies_keep_what_plain_comparison_keeps(spark, monkeypatch):
+    # Groups of copies of copies, some crowding their keys; similarities stay clear of the limit.
+    monkeypatch.setattr(simhash, "BUCKET_AT_ONCE", 20)
+    texts = []
+    for group in range(6):
+        base = words(40_000 + group, 200)
+        texts += [base, base] + [edited(base, 0.005, 100 * group + number) for number in range(12)]
+        texts += [edited(base, 0.1, 100 * group + number) for number in range(50, 55)]
+    sets = [set(simhash.shingle_set(text).tolist()) for text in texts]
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(texts)) for j in range(i)}
+    assert not any(0.7 < share < 0.85 for share in alike.values())
+    root = list(range(len(texts)))
+    for (i, j), share in sorted(alike.items()):
+        if share >= 0.8:
+            old, new = max(root[i], root[j]), min(root[i], root[j])
+            root = [new if one == old else one for one in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(row["doc_id"] for row in simhash.near_copies(docs).collect()) == sorted(set(root))
+
+
 def test_least_forest_connects_at_every_limit():
     draws = np.random.default_rng(2)
     values = draws.integers(0, 1 << 12, 60).astype(np.uint64)
