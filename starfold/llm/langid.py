@@ -31,6 +31,8 @@ SMOOTHING = 0.05
 SHARPNESS = 6.0
 # Texts whose best codeword is not this much likelier than the next are ambiguous.
 CLEAR_SCORE = 0.6
+# Losses nearer than this are equal: sums of single precision tell no more.
+SAME_LOSS = 1e-6
 EXHAUSTIVE_UP_TO = 6
 SEED = 42
 BYTES_AT_ONCE = 1 << 18
@@ -99,7 +101,7 @@ class Model:
         """Language, score in 0 to 1, and whether another codeword is about as near."""
         losses = self.losses(text)
         chances = np.exp(losses.min() - losses)
-        best = int(np.argmin(losses))
+        best = int(np.argmax(losses <= losses.min() + SAME_LOSS))
         score = float(chances[best] / chances.sum())
         return self.languages[best], score, score < CLEAR_SCORE and len(self.languages) > 1
 
