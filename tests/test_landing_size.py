@@ -1,10 +1,12 @@
-"""Landed files take a tenth of their texts and stay short enough to be shared by tasks."""
+"""Landed files take a tenth of their texts and stay short enough to be shared by tasks; wide cleaning stays compiled."""
 
 import gzip
+import re
 
-from minifeed import row
+from minifeed import CASES, row
 from pyspark.sql import functions as F
 
+from starfold.operators.clean import clean
 from starfold.plans.silver import silver_from_hits
 from starfold.queries import doors
 from starfold.schema import FEED
@@ -37,3 +39,11 @@ def test_compressed_pages_are_read_whole(spark, tmp_path):
     )
     assert len(landed(tmp_path / "pages")) == 3 and all(f.name.endswith(".gz") for f in landed(tmp_path / "pages"))
     assert silver_from_hits(read_hits_json(spark, f"{tmp_path}/pages/*", multi_line=True)).count() == 9
+
+
+def test_wide_cleaning_has_no_method_that_the_jvm_leaves_uncompiled(spark, tmp_path, capsys):
+    rows = [tuple(r[n] for n in FEED.names) for r in CASES.values()]
+    spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in FEED.names)).write.parquet(str(tmp_path / "feed"))
+    clean(spark.read.parquet(str(tmp_path / "feed"))).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
