@@ -1,0 +1,23 @@
+"""Wide rows are joined and shuffled once where once is enough."""
+
+from pathlib import Path
+
+import pytest
+
+from starfold.paths import LakePaths
+from starfold.queries import QUERIES, upkeep
+
+SF_DIR = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables not present")
+
+
+def test_fact_by_race_builds_the_fact_once(spark):
+    plan = QUERIES["fact_build_by_race"](spark, str(SF_DIR))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet [document_id") == 1
+
+
+def test_the_feed_of_two_days_is_joined_once(spark, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(upkeep, "write_day", lambda df, *_: read.extend(df.inputFiles()))
+    upkeep.write_two_days(spark, str(SF_DIR), LakePaths(str(tmp_path)))
+    assert read and all("both-days" in name for name in read)
