@@ -4,8 +4,12 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from starfold.paths import LakePaths
+from starfold.plans import pipeline
 from starfold.queries import QUERIES, upkeep
+from starfold.sources.tables import SnapshotTable, only_unknown
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables not present")
@@ -21,3 +25,26 @@ def test_the_feed_of_two_days_is_joined_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(upkeep, "write_day", lambda df, *_: read.extend(df.inputFiles()))
     upkeep.write_two_days(spark, str(SF_DIR), LakePaths(str(tmp_path)))
     assert read and all("both-days" in name for name in read)
+
+
+def test_a_batch_loaded_twice_is_built_once(spark, monkeypatch):
+    read, real = [], pipeline.new_doses
+
+    def new_doses(table, rows, dates):
+        read.append(rows.inputFiles())
+        return real(table, rows, dates)
+
+    monkeypatch.setattr(pipeline, "new_doses", new_doses)
+    QUERIES["fact_append_idempotent"](spark, str(SF_DIR))
+    assert len(read) == 4 and read[0] == read[1] != read[2] == read[3]
+    assert all("fact-idempotent-rows" in name for names in read for name in names)
+
+
+def test_new_rows_are_told_in_one_more_pass_over_the_batch(spark, tmp_path):
+    table, hashed = SnapshotTable(spark, str(tmp_path / "t")), ("h", F.xxhash64("id"))
+    table.load_batch(spark.range(5).withColumn("h", F.xxhash64("id")), "2021-06-01")
+    spark.range(3, 8).write.parquet(str(tmp_path / "batch"))
+    fresh = only_unknown(table, spark.read.parquet(str(tmp_path / "batch")), ["id"], hashed=hashed)
+    assert fresh.columns == ["id"] and sorted(r.id for r in fresh.collect()) == [5, 6, 7]
+    plan = fresh._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count(f"{tmp_path}/batch") == 1
