@@ -6,9 +6,10 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from starfold.operators.dedup import one_per_key
 from starfold.paths import LakePaths
 from starfold.plans import pipeline
-from starfold.queries import QUERIES, upkeep
+from starfold.queries import QUERIES, feed, upkeep
 from starfold.sources.tables import SnapshotTable, only_unknown
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -48,3 +49,19 @@ def test_new_rows_are_told_in_one_more_pass_over_the_batch(spark, tmp_path):
     assert fresh.columns == ["id"] and sorted(r.id for r in fresh.collect()) == [5, 6, 7]
     plan = fresh._jdf.queryExecution().sparkPlan().toString()
     assert plan.count(f"{tmp_path}/batch") == 1
+
+
+def test_equal_rows_of_a_small_dimension_go_before_the_sort(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 2 == 0, "x").alias("v"), F.lit("w").alias("w"))
+    kept = one_per_key(rows, ["k"], few=True)
+    assert sorted(tuple(r) for r in kept.collect()) == [(0, None, "w"), (1, None, "w"), (2, None, "w")]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
+
+
+def test_names_are_joined_to_the_lines_after_their_shuffle(spark):
+    plan = feed.wide_feed(spark, str(SF_DIR), *feed.ROLES)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line.split("Join ")[1] for line in plan.splitlines() if "Join " in line]
+    orders = next(n for n, join in enumerate(joined) if "l_orderkey" in join)
+    assert all("l_partkey" in j or "l_suppkey" in j or "nationkey" in j for j in joined[:orders])
+    assert sum("l_partkey" in j or "l_suppkey" in j for j in joined[:orders]) == 2
