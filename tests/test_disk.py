@@ -1,0 +1,117 @@
+"""Loads leave little on disk: feeds land in slices, copies go once they are read, shuffle files once their step is done."""
+
+import csv
+import gzip
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from starfold.paths import LakePaths
+from starfold.queries import QUERIES, doors, feed
+from starfold.session import release
+
+SF_DIR = Path("/root/testdata/sf0.001")
+needs_tables = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables not present")
+
+
+@pytest.fixture
+def kept(spark):
+    """Labels of the scratch tables made since the test began."""
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    return lambda: {path.name.rsplit("-", 1)[0] for path in set(root.iterdir()) - before}
+
+
+@pytest.fixture
+def sliced(monkeypatch):
+    monkeypatch.setattr(feed, "SLICE_BYTES", 40_000)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def write_tables(folder, spark):
+    """Orders of several pages, some without lines, and lines with null keys."""
+    orders = spark.range(0, 4000, 7).selectExpr(
+        "id as o_orderkey", "id % 5 as o_custkey", "'F' as o_orderstatus", "1.0D as o_totalprice",
+        "timestamp'1998-01-02' as o_orderdate", "'2-HIGH' as o_orderpriority",
+    )
+    lines = spark.range(0, 4000, 2).selectExpr(
+        "if(id % 100 = 0, null, id) as l_orderkey", "id % 3 as l_partkey", "id % 4 as l_suppkey", "cast(id % 7 as int) as l_linenumber",
+        "1.0D as l_quantity", "'R' as l_returnflag", "'O' as l_linestatus", "timestamp'1998-01-03' as l_shipdate",
+    )
+    others = {
+        "customer": spark.range(5).selectExpr("id as c_custkey", "cast(id as int) as c_nationkey", "'BUILDING' as c_mktsegment"),
+        "part": spark.range(3).selectExpr("id as p_partkey", "'n' as p_name", "'Brand#11' as p_brand", "'SMALL' as p_type"),
+        "supplier": spark.range(4).selectExpr("id as s_suppkey", "'s' as s_name", "cast(id as int) as s_nationkey"),
+        "nation": spark.range(5).selectExpr("cast(id as int) as n_nationkey", "'x' as n_name", "1 as n_regionkey"),
+    }
+    for name, df in {"orders": orders, "lineitem": lines.unionByName(lines.limit(9)), **others}.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_slices_are_the_feed_and_keep_pages_whole(spark, tmp_path, monkeypatch):
+    write_tables(tmp_path, spark)
+    monkeypatch.setattr(feed, "SLICE_BYTES", 4_000)
+    whole = rows_of(doors.dirty_feed(spark, str(tmp_path)))
+    parts = [doors.dirty_feed(spark, str(tmp_path), part).collect() for part in feed.slices(spark, str(tmp_path))]
+    assert len(parts) > 2 and len(whole) > 200
+    assert sorted(str(r) for part in parts for r in part) == whole
+    pages = [{int(r.document_id.split("-")[0]) // feed.ORDERS_A_PAGE for r in part} for part in parts]
+    assert sum(map(len, pages)) == len(set().union(*pages)) > 3
+
+
+@needs_tables
+def test_a_stored_slice_goes_after_its_turn(spark, kept, sliced):
+    turns = 0
+    for rows in feed.stored_slices(spark, str(SF_DIR), lambda part: doors.dirty_feed(spark, str(SF_DIR), part)):
+        turns += 1
+        assert rows.count() >= 0 and kept() == {"feed-slice"}
+    assert turns > 2 and kept() == set()
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["json_pages_to_silver", "json_multiline_to_silver", "landing_page_gaps", "json_all_days", "feed_schema_drift"])
+def test_landing_in_slices_changes_no_rows(spark, name, monkeypatch):
+    whole = rows_of(QUERIES[name](spark, str(SF_DIR)))
+    monkeypatch.setattr(feed, "SLICE_BYTES", 40_000)
+    assert rows_of(QUERIES[name](spark, str(SF_DIR))) == whole
+
+
+@needs_tables
+def test_the_days_of_a_feed_are_joined_once(spark, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(doors, "write_hits", lambda df, *_: read.extend(df.inputFiles()))
+    doors.land_in_order(spark, str(SF_DIR), LakePaths(str(tmp_path)))
+    assert read and all("feed-slice" in name for name in read)
+
+
+def test_delimited_files_land_compressed(spark, tmp_path):
+    texts = [("a;b", " x "), ('say "hi"', None), ("", "é")]
+    doors.write_csv(spark.createDataFrame(texts, "v string, w string").coalesce(1), str(tmp_path / "csv"))
+    (file,) = (tmp_path / "csv").glob("part-*")
+    with gzip.open(file, "rt") as lines:
+        assert next(csv.reader(lines, delimiter=";")) == ["v", "w"]
+    back = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "csv"))
+    assert back.count() == 3 and back.first()[0] == "a;b"
+
+
+def test_shuffle_files_of_finished_steps_go(spark, tmp_path):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(n).getName() for n in range(files.size()) if "shuffle_" in files.apply(n).getName()}
+
+    release(spark)
+    time.sleep(1)
+    before = shuffles()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "t"))
+    made = shuffles() - before
+    assert made
+    until = time.time() + 20
+    while shuffles() & made and time.time() < until:
+        release(spark)
+        time.sleep(0.2)
+    assert not shuffles() & made
