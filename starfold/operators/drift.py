@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starfold.paths import ALL_DATES, DAY_IN_PATH, dated
 from starfold.schema import FEED
+from starfold.session import scratch_dir
 
 UNKNOWN, MISSING, RETYPED = "unknown", "missing", "retyped"
 # What a declared type looks like in JSON; a null tells nothing.
@@ -30,14 +33,17 @@ def landed_variants(spark: SparkSession, base: str, day: str = ALL_DATES, multi_
     return texts.select("day", F.explode(hits).alias("hit")).filter(F.col("hit").isNotNull())
 
 
-def fields_found(hits: DataFrame, member: str = "$._source") -> DataFrame:
-    """``day``, ``field``, ``found`` (the type as in the hits) and in how many hits; the member's own fields."""
-    spark = hits.sparkSession
+def unfolded(hits: DataFrame, member: str = "$._source") -> DataFrame:
+    """A row per field of the member, with ``pos`` from 0; of a hit without fields one row without any."""
     sources = hits.select("day", F.try_variant_get("hit", member, "variant").alias("source"))
-    unfolded = sources.lateralJoin(spark.tvf.variant_explode(F.col("source").outer()))
-    fields = unfolded.filter(F.col("key").isNotNull())
-    return fields.groupBy("day", F.col("key").alias("field"), F.schema_of_variant("value").alias("found")).agg(
-        F.count(F.lit(1)).alias("n_hits")
+    return sources.lateralJoin(hits.sparkSession.tvf.variant_explode_outer(F.col("source").outer()))
+
+
+def fields_found(hits: DataFrame, member: str = "$._source") -> DataFrame:
+    """``day``, ``field``, ``found`` (the type as in the hits), in how many hits, and of how many it is the first; the member's
+    own fields. Hits without any field are counted under none."""
+    return unfolded(hits, member).groupBy("day", F.col("key").alias("field"), F.schema_of_variant("value").alias("found")).agg(
+        F.count(F.lit(1)).alias("n_hits"), F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("n_first")
     )
 
 
@@ -46,19 +52,25 @@ def schema_drift(hits: DataFrame) -> DataFrame:
 
     ``unknown`` fields with their type over all hits of the day (``schema_of_variant_agg`` merges them); declared fields that
     hits lack (``missing``); declared fields in another type than the feed's (``retyped``). Nulls are of no type.
+
+    The hits are gone through once, here, and days with unknown fields a second time for the types of these.
     """
     spark = hits.sparkSession
-    found = fields_found(hits)
+    path, counted = scratch_dir(spark, "fields-found"), fields_found(hits)
+    counted.write.parquet(path)
+    counted = spark.read.schema(counted.schema).parquet(path)
+    found = counted.filter(F.col("field").isNotNull())
     declared = spark.createDataFrame(list(EXPECTED.items()), "declared string, expected string")
     met = found.join(declared, F.col("field") == F.col("declared"), "left")
     retyped = met.filter((F.col("found") != F.col("expected")) & (F.col("found") != NO_TYPE)).select(
         "day", "field", F.lit(RETYPED).alias("drift"), "found", "n_hits"
     )
     unknown = found.join(declared, F.col("field") == F.col("declared"), "left_anti")
-    merged = unknown_types(hits).join(
+    days = [row["day"] for row in unknown.select("day").distinct().collect()]
+    merged = unknown_types(hits.filter(reduce(lambda a, b: a | b, [F.col("day").eqNullSafe(F.lit(d)) for d in days], F.lit(False)))).join(
         unknown.groupBy("day", "field").agg(F.sum("n_hits").alias("n_hits")), ["day", "field"]
     ).select("day", "field", F.lit(UNKNOWN).alias("drift"), "found", "n_hits")
-    totals = hits.groupBy("day").agg(F.count(F.lit(1)).alias("n_all"))
+    totals = counted.groupBy("day").agg(F.sum("n_first").alias("n_all"))
     present = met.filter(F.col("declared").isNotNull()).groupBy("day", "field").agg(F.sum("n_hits").alias("n_present"))
     every = totals.crossJoin(F.broadcast(declared.select(F.col("declared").alias("field"))))
     lacking = every.join(present, ["day", "field"], "left").select(
@@ -70,10 +82,7 @@ def schema_drift(hits: DataFrame) -> DataFrame:
 
 def unknown_types(hits: DataFrame) -> DataFrame:
     """``day``, ``field`` and the one type that all its values of the day have room in, of fields the feed does not declare."""
-    spark = hits.sparkSession
-    sources = hits.select("day", F.try_variant_get("hit", "$._source", "variant").alias("source"))
-    fields = sources.lateralJoin(spark.tvf.variant_explode(F.col("source").outer())).filter(F.col("key").isNotNull())
-    others = fields.filter(~F.col("key").isin(*EXPECTED))
+    others = unfolded(hits).filter(F.col("key").isNotNull() & ~F.col("key").isin(*EXPECTED))
     return others.groupBy("day", F.col("key").alias("field")).agg(merged_type(F.col("value")).alias("found"))
 
 

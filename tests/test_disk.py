@@ -2,14 +2,17 @@
 
 import csv
 import gzip
+import json
 import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from starfold.paths import LakePaths
+from starfold.operators.drift import landed_variants, schema_drift
+from starfold.paths import LakePaths, dated
 from starfold.queries import QUERIES, doors, feed
+from starfold.schema import FEED
 from starfold.session import release
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -99,6 +102,19 @@ def test_delimited_files_land_compressed(spark, tmp_path):
     assert back.count() == 3 and back.first()[0] == "a;b"
 
 
+def test_hits_are_gone_through_once_where_no_field_is_unknown(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    plain = {f.name: 1 if f.dataType.typeName() == "integer" else "x" for f in FEED}
+    file = Path(dated(paths.landing_json, "2021-06-01")) / "p.json"
+    file.parent.mkdir(parents=True)
+    sources = [plain, {**plain, "vacina_codigo": "86"}, {}, "no object", None, ["x", "y"]]
+    file.write_text("\n".join(json.dumps({"_source": s}) for s in sources) + '\n{"sort": [1]}')
+    found = schema_drift(landed_variants(spark, paths.landing_json, multi_line=False))
+    file.unlink()
+    rows = {(r.field, r.drift, r.found, r.n_hits) for r in found.collect()}
+    assert rows == {("vacina_codigo", "retyped", "STRING", 1), *((f.name, "missing", None, 5) for f in FEED)}
+
+
 def test_shuffle_files_of_finished_steps_go(spark, tmp_path):
     def shuffles():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
