@@ -115,6 +115,12 @@ def test_hits_are_gone_through_once_where_no_field_is_unknown(spark, tmp_path):
     assert rows == {("vacina_codigo", "retyped", "STRING", 1), *((f.name, "missing", None, 5) for f in FEED)}
 
 
+@needs_tables
+def test_copies_go_once_the_store_has_the_changes(spark, kept):
+    QUERIES["publish_changed_doses"](spark, str(SF_DIR))
+    assert not kept() & {"both-days", "open-keys", "found-keys", "fact-changes", "fact-copy"}
+
+
 def test_shuffle_files_of_finished_steps_go(spark, tmp_path):
     def shuffles():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
