@@ -7,6 +7,7 @@ import time
 from pathlib import Path
 
 import pytest
+from minifeed import row
 from pyspark.sql import functions as F
 
 from starfold.operators.drift import landed_variants, schema_drift
@@ -121,6 +122,17 @@ def test_copies_go_once_the_store_has_the_changes(spark, kept):
     assert not kept() & {"both-days", "open-keys", "found-keys", "fact-changes", "fact-copy"}
 
 
+def test_the_copy_of_a_streamed_batch_goes(spark, kept, tmp_path):
+    from starfold.streaming.landing import load_new_landings
+
+    paths = LakePaths(str(tmp_path / "lake"))
+    folder = Path(dated(paths.landing_json, "2021-06-01"))
+    folder.mkdir(parents=True)
+    (folder / "p.json").write_text(json.dumps({"_source": row("1"), "sort": ["1", "1"]}))
+    load_new_landings(spark, paths, "2021-06-01", str(tmp_path / "seen"), multi_line=False).awaitTermination()
+    assert "landed-batch" not in kept()
+
+
 def test_shuffle_files_of_finished_steps_go(spark, tmp_path):
     def shuffles():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
