@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # Tests look for paths in plans, which cut long ones short by default.
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )
